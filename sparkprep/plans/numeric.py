@@ -95,8 +95,8 @@ def fit_stage1(
     train: DataFrame, roles: VariableRoles, cleaner: NumericCleaner | None = None, text_codes=("CNT", "STRATUM")
 ) -> PipelineModel:
     """Learn stage 1 from the training table; all later tables get its columns."""
-    cleaner = (cleaner or NumericCleaner()).copy({NumericCleaner.inputCols: roles.numeric})
-    model = cleaner.fit(train)
+    cleaner = cleaner or NumericCleaner()
+    model = cleaner.fit(train, {cleaner.inputCols: roles.numeric})
     numeric = select_columns(train, roles.numeric)
     for step in model.stages:
         numeric = step.transform(numeric)

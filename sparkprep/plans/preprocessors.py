@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark import keyword_only
+from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 
@@ -204,7 +205,7 @@ class Stage2Model(StateModel):
         return RemainingFill().fit(shaped).transform(shaped)
 
 
-class Stage2(FitStep):
+class Stage2(Estimator):
     """Composites, drop of columns above a null rate, ordinal and categorical steps, final fill.
 
     Composites and drops are row-local or follow from the schema, so all
@@ -212,35 +213,25 @@ class Stage2(FitStep):
     level-frequency table over the shaped input.
     """
 
-    ordinal: "Param" = Param(Params._dummy(), "ordinal", "OrdinalPreprocessor", TypeConverters.identity)
-    categorical: "Param" = Param(Params._dummy(), "categorical", "CategoricalPreprocessor", TypeConverters.identity)
-    threshold: "Param[float]" = Param(Params._dummy(), "threshold", "null rate", TypeConverters.toFloat)
-
-    @keyword_only
-    def __init__(self, *, ordinal=None, categorical=None, threshold=None):
+    def __init__(self, ordinal: OrdinalPreprocessor, categorical: CategoricalPreprocessor, threshold: float = 0.5):
         super().__init__()
-        self._configure({"threshold": 0.5}, self._input_kwargs)
+        self.ordinal, self.categorical, self.threshold = ordinal, categorical, threshold
 
     def _fit(self, df: DataFrame) -> Stage2Model:
-        ordinal: OrdinalPreprocessor = self.getOrDefault(self.ordinal)
-        categorical: CategoricalPreprocessor = self.getOrDefault(self.categorical)
-        present = lambda step: step.copy({type(step).inputCols: step.present(df)})
-        ordinal, categorical = present(ordinal), present(categorical)
+        present = lambda step: step.copy({step.inputCols: step.present(df)})
+        ordinal, categorical = present(self.ordinal), present(self.categorical)
 
         composer = CompositeMean(definitions=ordinal.getOrDefault(ordinal.definitions))
         made = composer.applicable(df.columns)
         composed = composer.transform(df)
         rates = null_rates(composed)
-        limit = self.getOrDefault(self.threshold)
-        sparse = [c for c in composed.columns if rates[c] > limit]
+        sparse = [c for c in composed.columns if rates[c] > self.threshold]
         kept = composed.drop(*sparse)
 
         o_state, c_state = ordinal.plan(kept), categorical.plan(kept)
         used = [s for sources in made.values() for s in sources]
         o_state["composites"] = made
         o_state["vars"] = _without(o_state["vars"], used) + list(made)
-        # the candidate list was narrowed to the columns left after the drop
-        c_state["vars"] = [c for c in c_state["vars"] if c not in set(sparse)]
         o_model = OrdinalPreprocessorModel(o_state)
         shaped = CategoricalPreprocessorModel(c_state).shape(o_model.shape(kept))
 
