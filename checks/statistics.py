@@ -248,7 +248,16 @@ def _(s: Source):
     return st.compare_histograms(before, after, ["num_low_missing", "ord_a"])
 
 
-@query("dtype_counts")
+@query(
+    "dtype_counts",
+    with_survey(
+        "SELECT dtype, count(*) AS n_columns FROM (UNPIVOT (SELECT "
+        + ", ".join(
+            f"CASE typeof({c}) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END AS {c}" for c in SURVEY_COLUMNS
+        )
+        + " FROM survey ORDER BY num_sparse LIMIT 1) ON COLUMNS(*) INTO NAME variable VALUE dtype) GROUP BY dtype"
+    ),
+)
 def _(s: Source):
     return st.dtype_counts(s.survey)
 

@@ -178,8 +178,8 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     joined = join_levels(joined, ranks("x"), "kx")
     joined = join_levels(joined, ranks("y"), "ky")
     # ranks average to (N + 1) / 2, so they can be centred without another pass
-    totals = cells.groupBy("pair").agg(F.sum("n").alias("N"))
-    mid = (F.col("N") + 1) / 2.0
+    totals = cells.groupBy("pair").agg(F.sum("n").alias("rows_of_pair"))
+    mid = (F.col("rows_of_pair") + 1) / 2.0
     dx, dy = F.col("rx") - mid, F.col("ry") - mid
     sums = (
         joined.join(F.broadcast(totals), "pair")

@@ -121,3 +121,27 @@ def weighted_sum(df: DataFrame, weights: dict[str, float], name: str) -> DataFra
 def missing_flags(df: DataFrame, cols: list[str]) -> DataFrame:
     """Append ``<name>_is_missing`` (0/1) for each column."""
     return project(df, {}, append={f"{c}_is_missing": col(c).isNull().cast("int") for c in cols})
+
+
+def pca_composite(df: DataFrame, cols: list[str], name: str) -> DataFrame:
+    """First principal component of the standardised columns; missing cells count as the mean.
+
+    The sign is chosen so that the first column has a positive loading.
+    """
+    from pyspark.ml.feature import PCA, VectorAssembler
+
+    from sparkprep.operators.scale import PopulationScaler
+
+    model = PopulationScaler(inputCols=cols).fit(df)
+    scaled = model.transform(df.select(*[col(c) for c in cols])).select(
+        *[F.coalesce(col(c), F.lit(0.0)).alias(c) for c in cols]
+    )
+    vectors = VectorAssembler(inputCols=cols, outputCol="v").transform(scaled)
+    loadings = PCA(k=1, inputCol="v", outputCol="p").fit(vectors).pc.toArray()[:, 0].tolist()
+    sign = -1.0 if loadings[0] < 0 else 1.0
+    state = model.getState()
+    score = F.lit(0.0)
+    for c, w in zip(cols, loadings):
+        mean, std = state.get(c, (0.0, 1.0))
+        score = score + F.coalesce((col(c).cast("double") - F.lit(mean)) / F.lit(std), F.lit(0.0)) * F.lit(sign * w)
+    return df.select("*", score.alias(name))

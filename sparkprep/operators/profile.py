@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import cardinality_tier, is_numeric, scale_type
 from sparkprep.operators import levels as lv
+from sparkprep.operators.stats import n_unique
 from sparkprep.session import cut_lineage
 
 
@@ -171,3 +172,17 @@ def cardinality_tiers(profile: DataFrame) -> DataFrame:
     return profile.groupBy("cardinality_type").agg(
         F.count(F.lit(1)).alias("n_variables"), F.count_if(F.col("cardinality") > 50).alias("n_over_50")
     )
+
+
+def constant_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Columns with a single distinct value (null counts as one)."""
+    return n_unique(df, cols).where(F.col("n_unique") == 1).select("variable")
+
+
+def encoded_width(profile: DataFrame, max_levels: int = 10) -> DataFrame:
+    """Columns a profile's variables become: one-hot for all, or one-hot up to ``max_levels`` only."""
+    n = F.col("cardinality")
+    reduced = F.when(n.between(3, max_levels), n).otherwise(F.lit(1).cast("bigint"))
+    return profile.agg(
+        F.count(F.lit(1)).alias("n_variables"), F.sum(n).alias("one_hot_width"), F.sum(reduced).alias("encoded_width")
+    )

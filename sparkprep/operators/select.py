@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col, right_open_bin
+from sparkprep.operators.encode import OrdinalCoder
 from sparkprep.operators.quantiles import exact_quantiles
+from sparkprep.operators.shuffle import permuted_column
 from sparkprep.operators.split import fold_number
 from sparkprep.session import materialise
 
@@ -153,6 +155,19 @@ def eliminate(
     return df.sparkSession.createDataFrame(rows, "variable string, rank int, importance double")
 
 
+def forest_importance(
+    df: DataFrame, categorical: list[str], target: str, id_cols: list[str], trees=20, depth=5, seed=42
+) -> DataFrame:
+    """Importance of each categorical column, coded by level order, in one baseline forest."""
+    coded = OrdinalCoder(inputCols=categorical).fit(df).transform(df)
+    # a missing level is a code of its own
+    filled = coded.select(*[F.coalesce(col(c), F.lit(-1.0)).alias(c) for c in categorical], *[col(c) for c in [target, *id_cols]])
+    table = _training_table(filled, categorical, target, id_cols, 2, seed)
+    model = _forest(trees, depth, seed).fit(_assembled(table, categorical))
+    scores = zip(categorical, model.featureImportances.toArray().tolist())
+    return df.sparkSession.createDataFrame([(c, float(v)) for c, v in scores], "variable string, importance double")
+
+
 def feature_sets(mi: DataFrame, rfe: DataFrame) -> DataFrame:
     """Union of two ranked name tables ``(variable, rank)`` with the side each name is on."""
     a = mi.select("variable", F.col("rank").alias("rank_mi"))
@@ -190,8 +205,6 @@ def permutation_importance(df: DataFrame, model, features: list[str], target: st
     permutation pairs two hash orders of the rows through exact positions, one
     feature at a time, so that all predictions stay distributed.
     """
-    from sparkprep.operators.shuffle import permuted_column
-
     evaluator = RegressionEvaluator(labelCol="_label", metricName="mse")
     table = materialise(
         df.select(*[col(c) for c in id_cols], *[col(c).cast("double").alias(c) for c in features if c not in id_cols],

@@ -136,3 +136,33 @@ def quantile_bins(df: DataFrame, column: str, labels: list[str], name: str) -> D
 def fold_number(id_cols: list[str], folds: int, seed=42) -> Column:
     """Fold 0..folds-1 of a row from its id."""
     return F.pmod(key_number(order_key(id_cols, seed)).cast("bigint"), F.lit(folds)).cast("int")
+
+
+def stratified_folds(df: DataFrame, target: str, id_cols: list[str], folds=5, bins=10, seed=42, name="fold") -> DataFrame:
+    """Append a fold 0..folds-1 of equal size inside each percentile bin of the target."""
+    edges = quantile_edges(df, target, bins)
+    b = right_open_bin(col(target), edges[:-1])
+    key = order_key(id_cols, seed)
+    starts = lambda n: [n * i // folds for i in range(1, folds)]
+    cuts = key_cuts(df, b, key, lambda _, n: starts(n))
+    fold = F.lit(None).cast("int")
+    for g, (n, by_rank) in cuts.items():
+        passed = [(F.col("_key") >= F.lit(by_rank[r])).cast("int") for r in starts(n) if r in by_rank]
+        fold = F.when(F.col("_bin") == int(g), sum(passed, F.lit(0))).otherwise(fold)
+    return df.select("*", b.alias("_bin"), key.alias("_key")).select(*[col(c) for c in df.columns], fold.alias(name))
+
+
+def undersample(df: DataFrame, column: str, id_cols: list[str], seed=42) -> DataFrame:
+    """Keep as many rows of every class as the smallest class has, by hash order.
+
+    Meant for a column with few classes; rows without a class are dropped.
+    """
+    smallest = df.where(col(column).isNotNull()).groupBy(col(column)).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
+    if smallest is None:
+        return df.limit(0)
+    key = order_key(id_cols, seed)
+    keep = F.lit(True)
+    for g, (_, by_rank) in key_cuts(df, col(column), key, lambda _, n: [smallest]).items():
+        if smallest in by_rank:
+            keep = F.when(col(column).cast("string") == F.lit(g), key < F.lit(by_rank[smallest])).otherwise(keep)
+    return df.where(col(column).isNotNull() & keep)
