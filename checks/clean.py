@@ -221,7 +221,7 @@ _TIME = "(SELECT id, coalesce(q1_average_score, -1) AS s, CASE WHEN q1_total_tim
 @query(
     "interaction_features",
     with_survey(
-        "SELECT id, CASE WHEN t > 0 AND t < 5 THEN 1.0 ELSE 0.0 END AS q1_is_fast_guesser, "
+        "SELECT id, CASE WHEN t > 0 AND t < 5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS q1_is_fast_guesser, "
         f"round(CASE WHEN t > 0 THEN s / t ELSE -1 END, 9) AS q1_efficiency FROM {_TIME}"
     ),
 )

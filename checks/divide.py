@@ -67,6 +67,11 @@ def _(s: Source):
     return sp.sample_rows(s.survey.select("id", "target"), ["id"], fraction=0.1)
 
 
+@query("slice_rows", with_survey("SELECT id, target FROM placed WHERE rk >= 600 AND rk < 800"))
+def _(s: Source):
+    return sp.slice_rows(s.survey.select("id", "target"), ["id"], 600, 200)
+
+
 @query(
     "qcut5",
     with_survey(
@@ -106,7 +111,7 @@ _MI = (
 )
 
 
-@query("mi_rank", with_survey(f"WITH {_MI} SELECT variable, round(mi, 6) AS score, row_number() OVER (ORDER BY mi DESC, variable) AS rank FROM mi"))
+@query("mi_rank", with_survey(f"WITH {_MI} SELECT variable, round(mi, 6) AS score, CAST(row_number() OVER (ORDER BY mi DESC, variable) AS INT) AS rank FROM mi"))
 def _(s: Source):
     out = sel.ranked(sel.mutual_information(s.survey, FEATURES, "target"), "mi")
     return out.withColumn("score", F.round("score", 6))
@@ -114,8 +119,8 @@ def _(s: Source):
 
 _CR = "cr AS (" + "\nUNION ALL\n".join(f"SELECT '{c}' AS variable, abs(corr({c}, target)) AS r FROM survey" for c in FEATURES) + ")"
 _SETS = (
-    f"WITH {_MI}, {_CR}, a AS (SELECT variable, row_number() OVER (ORDER BY mi DESC, variable) AS rank_mi FROM mi QUALIFY rank_mi <= 4), "
-    "b AS (SELECT variable, row_number() OVER (ORDER BY r DESC, variable) AS rank_rfe FROM cr QUALIFY rank_rfe <= 4), "
+    f"WITH {_MI}, {_CR}, a AS (SELECT variable, CAST(row_number() OVER (ORDER BY mi DESC, variable) AS INT) AS rank_mi FROM mi QUALIFY rank_mi <= 4), "
+    "b AS (SELECT variable, CAST(row_number() OVER (ORDER BY r DESC, variable) AS INT) AS rank_rfe FROM cr QUALIFY rank_rfe <= 4), "
     "sets AS (SELECT coalesce(a.variable, b.variable) AS variable, CASE WHEN rank_mi IS NOT NULL AND rank_rfe IS NOT NULL THEN 'both' "
     "WHEN rank_mi IS NOT NULL THEN 'mi_only' ELSE 'rfe_only' END AS side, rank_mi, rank_rfe FROM a FULL JOIN b ON a.variable = b.variable) "
 )
@@ -136,7 +141,7 @@ def _(s: Source):
 @query(
     "feature_merge",
     with_survey(
-        _SETS + "SELECT variable, row_number() OVER (ORDER BY CASE WHEN side = 'both' THEN 0 ELSE 1 END, k, side) AS position FROM "
+        _SETS + "SELECT variable, CAST(row_number() OVER (ORDER BY CASE WHEN side = 'both' THEN 0 ELSE 1 END, k, side) AS INT) AS position FROM "
         "(SELECT variable, side, row_number() OVER (PARTITION BY side ORDER BY coalesce(rank_mi, rank_rfe), variable) AS k FROM sets) QUALIFY position <= 5"
     ),
 )

@@ -47,7 +47,7 @@ _HOT = {
     with_survey(
         "SELECT id, split, cat_bin, "
         + ", ".join(
-            f"""CASE WHEN coalesce(CAST({c} AS VARCHAR), 'None') = '{v}' THEN 1.0 ELSE 0.0 END AS "{c}_{v}\""""
+            f"""CASE WHEN coalesce(CAST({c} AS VARCHAR), 'None') = '{v}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS "{c}_{v}\""""
             for c, vs in _HOT.items()
             for v in vs
         )

@@ -214,8 +214,8 @@ _COUNT_NULLS = "(" + " + ".join(f"(SELECT count(*) - count({c}) FROM survey)" fo
 @query(
     "validate_report",
     with_survey(
-        "SELECT 'filled' AS run, true AS validation_passed, 0 AS missing_values, 0 AS target_changed_rows, 16 AS n_features_before, 15 AS n_features_after, "
-        "1 AS features_dropped, 10 AS n_numeric_features, 5 AS n_non_numeric_features, true AS all_checks_passed "
+        "SELECT 'filled' AS run, true AS validation_passed, 0 AS missing_values, 0 AS target_changed_rows, CAST(16 AS BIGINT) AS n_features_before, CAST(15 AS BIGINT) AS n_features_after, "
+        "CAST(1 AS BIGINT) AS features_dropped, CAST(10 AS BIGINT) AS n_numeric_features, CAST(5 AS BIGINT) AS n_non_numeric_features, true AS all_checks_passed "
         f"UNION ALL SELECT 'spoiled', {_COUNT_NULLS} = 0, {_COUNT_NULLS}, (SELECT count(*) FROM survey WHERE id % 100 = 0), 16, 16, 0, 10, 6, false"
     ),
 )
@@ -278,7 +278,7 @@ def _(s: Source):
 
 @query(
     "audit_transform",
-    "SELECT * FROM (VALUES ('dropped_ordinal', 1, 1, true), ('dropped_metadata', 1, 1, true), ('dropped_redundant', 1, 1, true), "
+    "SELECT \"check\", CAST(actual AS BIGINT) AS actual, CAST(expected AS BIGINT) AS expected, ok FROM (VALUES ('dropped_ordinal', 1, 1, true), ('dropped_metadata', 1, 1, true), ('dropped_redundant', 1, 1, true), "
     "('composites_created', 1, 1, true), ('composite_sources_removed', 2, 2, true), ('codes_grouped', 1, 1, true), "
     "('code_sources_removed', 1, 1, true)) AS t(\"check\", actual, expected, ok)",
 )

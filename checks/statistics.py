@@ -320,7 +320,7 @@ def _(s: Source):
 @query(
     "high_cardinality",
     with_survey(
-        "SELECT 'isco' AS variable, row_number() OVER (ORDER BY n DESC, v NULLS LAST) AS rank, v AS value, n FROM "
+        "SELECT 'isco' AS variable, CAST(row_number() OVER (ORDER BY n DESC, v NULLS LAST) AS INT) AS rank, v AS value, n FROM "
         "(SELECT isco AS v, count(*) AS n FROM survey GROUP BY isco) QUALIFY rank <= 10"
     ),
 )

@@ -6,6 +6,7 @@ import re
 
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.functions.scalar import col, is_numeric, lenient_double
@@ -56,6 +57,13 @@ def pairwise_complete(df: DataFrame, cols: list[str]) -> DataFrame:
     return select_columns(df, cols).dropna(subset=cols)
 
 
+def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Treat NaN as missing in the floating-point columns (all of them by default)."""
+    floating = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    names = [c for c in floating if cols is None or c in set(cols)]
+    return project(df, {c: F.when(~F.isnan(col(c)), col(c)) for c in names})
+
+
 class ColumnDropper(RowStep):
     """Drop the listed columns; with ``strict`` an absent one is an error."""
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col, efficiency, fast_guess, leading_digit, row_mean
 from sparkprep.operators.base import RowStep, keyword_only, project
+from sparkprep.operators.joins import join_levels
+from sparkprep.session import cut_lineage
 
 #: The default composite scores and their sources.
 COMPOSITES = {
@@ -98,15 +100,19 @@ def mismatch(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
 def offset_from_group_mode(df: DataFrame, value: str, group: str, name: str) -> DataFrame:
     """``value`` minus the most frequent value of its group (smallest on ties).
 
-    Value counts per group are combined before the shuffle, and the result has
-    one row per group; Spark broadcasts it when its size allows.
+    Value counts per group are combined before the shuffle; rows without a group
+    get null.
     """
     counts = (
-        df.where(col(value).isNotNull()).groupBy(col(group).alias("_g"), col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        df.where(col(value).isNotNull() & col(group).isNotNull())
+        .groupBy(col(group).alias(group), col(value).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    best = counts.groupBy("_g").agg(F.min(F.struct((-F.col("_n")).alias("neg"), F.col("_v").alias("v"))).alias("b"))
-    best = best.select("_g", F.col("b.v").alias("_mode"))
-    return df.join(best, col(group).eqNullSafe(F.col("_g")), "left").select(
+    best = counts.groupBy(group).agg(
+        F.sum("_n").alias("n"), F.min(F.struct((-F.col("_n")).alias("neg"), F.col("_v").alias("v"))).alias("_b")
+    )
+    lookup = cut_lineage(best.select(group, "n", F.col("_b.v").alias("_mode")))
+    return join_levels(df, lookup, group).select(
         *[col(c) for c in df.columns], (col(value) - F.col("_mode")).alias(name)
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col
+from sparkprep.session import cut_lineage
 
 #: A lookup table of at most this many rows is broadcast (its size is counted first).
 BROADCAST_ROWS = 500_000
@@ -42,10 +43,18 @@ def join_levels(df: DataFrame, lookup: DataFrame, key: str, lookup_rows: int | N
 def decode_dimension(df: DataFrame, column: str, dimension: DataFrame, key: str, label: str) -> DataFrame:
     """Append the label of a code from a dimension table; unknown codes give null.
 
-    Spark broadcasts the dimension when its size allows.
+    The dimension has one row per code.  Its size is counted first; a large one
+    is joined with the hot codes of ``df`` kept apart.
     """
-    dim = dimension.select(col(key).alias("_key"), col(label).alias(f"{column}_{label}"))
-    return df.join(dim, col(column) == F.col("_key"), "left").drop("_key")
+    name = f"{column}_{label}"
+    dim = dimension.select(col(key).alias(column), col(label).alias(name))
+    rows = dim.count()
+    if rows > BROADCAST_ROWS:
+        used = df.where(col(column).isNotNull()).groupBy(col(column)).agg(F.count(F.lit(1)).alias("n"))
+        dim = cut_lineage(dim.join(used, column))
+    else:
+        dim = dim.withColumn("n", F.lit(1))
+    return join_levels(df, dim, column, rows).select(*[col(c) for c in df.columns], col(name))
 
 
 def only_unmatched(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

@@ -39,28 +39,28 @@ def _profiles(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def _matrix(values):
-    import numpy as np
-
-    return np.array([[np.nan if v is None else v for v in row] for row in values], dtype=float)
-
-
 def _block_search(n_cols: int, k: int):
-    """Search of one receiver block in one donor block, for ``cogroup``."""
+    """Search of one receiver block in one donor block, for ``cogroup``.
+
+    Everything the workers need is inside, so the package need not be installed there.
+    """
     import numpy as np
     import pandas as pd
 
     columns = ["profile", "feature", "d2", "donor", "value", "n"]
 
+    def matrix(values):
+        return np.array([[np.nan if v is None else v for v in row] for row in values], dtype=float)
+
     def search(receivers: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
         if receivers.empty or donors.empty:
             return pd.DataFrame(columns=columns)
-        y = _matrix(donors["x"])
+        y = matrix(donors["x"])
         tidy = np.where(np.isnan(y), np.inf, y)
         order = np.lexsort(tidy.T[::-1])  # first column is the main key
         y, tidy, counts = y[order], tidy[order], donors["n"].to_numpy()[order]
         my, y0 = (~np.isnan(y)).astype(float), np.nan_to_num(y)
-        x_all, names = _matrix(receivers["x"]), receivers["profile"].to_numpy()
+        x_all, names = matrix(receivers["x"]), receivers["profile"].to_numpy()
         step, out = max(1, MATRIX_CELLS // len(y)), []
         for start in range(0, len(x_all), step):
             x = x_all[start : start + step]

@@ -120,6 +120,19 @@ def sample_rows(df: DataFrame, id_cols: list[str], n: int | None = None, fractio
     return df.where(key < F.lit(next(iter(cuts["all"][1].values()))))
 
 
+def slice_rows(df: DataFrame, id_cols: list[str], offset: int, length: int, seed=42) -> DataFrame:
+    """Rows at places ``offset`` to ``offset + length`` of the hash order."""
+    key = order_key(id_cols, seed)
+    cuts = key_cuts(df, F.lit("all"), key, lambda _, n: [offset, offset + length])
+    if not cuts:
+        return df
+    n, by_rank = cuts["all"]
+    if offset >= n:
+        return df.limit(0)
+    out = df.where(key >= F.lit(by_rank[offset]))
+    return out.where(key < F.lit(by_rank[offset + length])) if offset + length in by_rank else out
+
+
 def head_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """The first ``n`` rows in a stated order (a table has none of its own)."""
     return df.orderBy(*[col(c) for c in order]).limit(n)

@@ -86,9 +86,10 @@ def value_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     )
 
 
-def group_counts(df: DataFrame, column: str) -> DataFrame:
-    """Row count per value of one column; null is a group."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+def group_counts(df: DataFrame, column: str, ordered: bool = False) -> DataFrame:
+    """Row count per value of one column; null is a group.  ``ordered`` sorts by value."""
+    out = df.groupBy(col(column)).agg(F.count(F.lit(1)).alias("n"))
+    return out.orderBy(col(column).asc_nulls_last()) if ordered else out
 
 
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
