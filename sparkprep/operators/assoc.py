@@ -16,7 +16,7 @@ from sparkprep.session import cut_lineage
 
 #: Up to this many pairs are computed as JVM aggregates; wider tables use
 #: per-partition moment matrices.
-JVM_PAIRS = 300
+JVM_PAIRS = 120
 
 PAIR_SCHEMA = "var_a string, var_b string, n bigint, r double"
 
@@ -24,11 +24,17 @@ PAIR_SCHEMA = "var_a string, var_b string, n bigint, r double"
 def _pearson_pair(a: Column, b: Column, i: int) -> list[Column]:
     """Moments of one pair over the rows where both are present."""
     both = a.isNotNull() & b.isNotNull()
+
+    def spread(x: Column) -> Column:
+        # the deviation of a constant may come out as rounding noise
+        x = F.when(both, x)
+        return F.when(F.min(x) != F.max(x), F.stddev_pop(x))
+
     return [
         F.count_if(both).alias(f"n{i}"),
         F.covar_pop(a, b).alias(f"c{i}"),
-        F.stddev_pop(F.when(both, a)).alias(f"a{i}"),
-        F.stddev_pop(F.when(both, b)).alias(f"b{i}"),
+        spread(a).alias(f"a{i}"),
+        spread(b).alias(f"b{i}"),
     ]
 
 
@@ -48,8 +54,10 @@ def _pearson_moments(df: DataFrame, cols: list[str], value) -> DataFrame:
 
     data = df.select(*[value(c).alias(f"c{i}") for i, c in enumerate(cols)])
     names = data.columns
-    centres = {r.variable: r.m for r in aggregate_long(data, names, {"m": (F.avg, "double")}).collect()}
-    shift = np.array([centres[n] if centres[n] is not None else 0.0 for n in names])
+    # shifting by the mean keeps the sums small; a constant is shifted to exact zeros
+    centre = lambda c: F.coalesce(F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c)), F.lit(0.0))
+    centres = {r.variable: r.m for r in aggregate_long(data, names, {"m": (centre, "double")}).collect()}
+    shift = np.array([centres[n] for n in names])
     upper = np.triu_indices(len(names), 1)
 
     def moments(batches):
@@ -73,7 +81,11 @@ def _pearson_moments(df: DataFrame, cols: list[str], value) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "xy")]
     )
     n = F.col("n")
-    spread = lambda q, s: F.greatest(F.col(q) - F.try_divide(F.col(s) * F.col(s), n), F.lit(0.0))
+    def spread(q: str, s: str) -> Column:
+        rest = F.col(q) - F.try_divide(F.col(s) * F.col(s), n)
+        # what is left of a column that is constant on these rows is rounding noise
+        return F.when(rest > F.col(q) * F.lit(1e-12), rest)
+
     cov = F.col("xy") - F.try_divide(F.col("sa") * F.col("sb"), n)
     label = lambda k: F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(k) + 1)
     return total.select(
