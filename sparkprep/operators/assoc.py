@@ -153,10 +153,6 @@ def _cells(df: DataFrame, pairs: list[tuple[str, str]], value) -> DataFrame:
     )
 
 
-def _side_key(side: str) -> Column:
-    return F.concat_ws("#", F.col("pair").cast("string"), F.col(side).cast("string"))
-
-
 def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Spearman correlation ``(var_a, var_b, n, r)`` of each pair on its complete rows.
 
@@ -164,36 +160,39 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     from the distinct values of each side.
     """
     types = {f.name: f.dataType for f in df.schema}
-    cells = cut_lineage(_cells(df, pairs, lambda c: lenient_double(col(c), types[c])))
-    cells = cells.withColumns({"x": F.col("x") + F.lit(0.0), "y": F.col("y") + F.lit(0.0)})
+    # adding zero merges -0.0 with 0.0, as grouping does
+    cells = cut_lineage(_cells(df, pairs, lambda c: lenient_double(col(c), types[c]) + F.lit(0.0)))
 
     def ranks(side: str) -> DataFrame:
-        levels = cells.groupBy("pair", side).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("cells"))
         # shape of a level table: the pair is the variable, the weight is the row count
         levels = cut_lineage(
-            levels.select(
+            cells.groupBy("pair", side)
+            .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"))
+            .select(
+                "pair",
                 F.col("pair").cast("string").alias("variable"),
                 F.lit(None).cast("bigint").alias("v_int"),
                 F.col(side).alias("v_dbl"),
                 F.lit(None).cast("string").alias("v_str"),
-                F.col("rows").alias("n"),
+                "n",
                 "cells",
-                _side_key(side).alias(f"k{side}"),
             )
         )
-        ranked = running_totals(levels)
-        return ranked.select(
-            f"k{side}", F.col("cells").alias("n"), (F.col("before") + (F.col("n") + 1) / 2.0).alias(f"r{side}")
+        return running_totals(levels).select(
+            "pair",
+            F.col("v_dbl").alias(side),
+            F.col("cells").alias("n"),
+            (F.col("before") + (F.col("n") + 1) / 2.0).alias(f"r{side}"),
         )
 
-    joined = cells.withColumns({"kx": _side_key("x"), "ky": _side_key("y")})
-    joined = join_levels(joined, ranks("x"), "kx")
-    joined = join_levels(joined, ranks("y"), "ky")
-    # ranks average to (N + 1) / 2, so they can be centred without another pass
+    joined = join_levels(cells, ranks("x"), ["pair", "x"])
+    joined = join_levels(joined, ranks("y"), ["pair", "y"])
+    # ranks average to (rows + 1) / 2, so they can be centred without another pass
     totals = cells.groupBy("pair").agg(F.sum("n").alias("rows_of_pair"))
     mid = (F.col("rows_of_pair") + 1) / 2.0
     dx, dy = F.col("rx") - mid, F.col("ry") - mid
     sums = (
+        # one row per pair on the right
         joined.join(F.broadcast(totals), "pair")
         .groupBy("pair")
         .agg(
@@ -298,15 +297,12 @@ def cramers_v(df: DataFrame, pairs: list[tuple[str, str]], yates: bool = True) -
 
     def margin(side: str) -> DataFrame:
         return cut_lineage(
-            cells.groupBy("pair", side)
-            .agg(F.sum("n").alias(f"m{side}"), F.count(F.lit(1)).alias("n"))
-            .select("pair", _side_key(side).alias(f"k{side}"), "n", f"m{side}")
+            cells.groupBy("pair", side).agg(F.sum("n").alias(f"m{side}"), F.count(F.lit(1)).alias("n"))
         )
 
     mx, my = margin("x"), margin("y")
-    joined = cells.withColumns({"kx": _side_key("x"), "ky": _side_key("y")})
-    joined = join_levels(joined, mx.drop("pair"), "kx")
-    joined = join_levels(joined, my.drop("pair"), "ky")
+    joined = join_levels(cells, mx, ["pair", "x"])
+    joined = join_levels(joined, my, ["pair", "y"])
     share = F.col("n").cast("double") * F.col("n") / (F.col("mx").cast("double") * F.col("my"))
     sums = {
         r.pair: r

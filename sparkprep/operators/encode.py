@@ -349,11 +349,11 @@ def target_encode(df: DataFrame, column: str, target: str, fold: Column, n_folds
     outside = {r._fold: ((s_all - (r.s or 0.0)) / (c_all - r.c) if c_all > r.c else None) for r in overall}
     totals = cells.groupBy("_level").agg(F.sum("s").alias("ts"), F.sum("c").alias("tc"))
     rest = cells.join(totals, "_level").select(
-        F.concat_ws("#", F.col("_fold").cast("string"), F.col("_level")).alias("_cell"),
+        "_level",
+        "_fold",
         "n",
         F.try_divide(F.col("ts") - F.coalesce("s", F.lit(0.0)), F.col("tc") - F.col("c")).alias("_m"),
     )
-    keyed = keyed.withColumn("_cell", F.concat_ws("#", F.col("_fold").cast("string"), F.col("_level")))
-    joined = join_levels(keyed, rest, "_cell")
+    joined = join_levels(keyed, rest, ["_level", "_fold"])
     default = inline_map(F.col("_fold").cast("string"), {str(k): v for k, v in outside.items()}, F.lit(None))
     return joined.select(*[col(c) for c in df.columns], F.coalesce("_m", default.cast("double")).alias(name))

@@ -15,7 +15,7 @@ BROADCAST_ROWS = 500_000
 HOT_PARTS = 1000
 
 
-def join_levels(df: DataFrame, lookup: DataFrame, key: str, lookup_rows: int | None = None) -> DataFrame:
+def join_levels(df: DataFrame, lookup: DataFrame, key: str | list[str], lookup_rows: int | None = None) -> DataFrame:
     """Left join of ``df`` with ``lookup(key, n, ...)``, one lookup row per key.
 
     ``n`` is the number of rows the level had when it was counted; it is dropped.
@@ -24,19 +24,25 @@ def join_levels(df: DataFrame, lookup: DataFrame, key: str, lookup_rows: int | N
     level sends more than a small share of the rows to one task.  Null keys
     match nothing and are kept out of the shuffle.
     """
-    payload = [c for c in lookup.columns if c not in (key, "n")]
-    values = lookup.select(key, *payload)
+    keys = [key] if isinstance(key, str) else list(key)
+    payload = [c for c in lookup.columns if c not in (*keys, "n")]
     rows = lookup.count() if lookup_rows is None else lookup_rows
-    if rows <= BROADCAST_ROWS or df.isStreaming:
-        return df.join(F.broadcast(values) if rows <= BROADCAST_ROWS else values, key, "left")
+    if rows <= BROADCAST_ROWS:
+        return df.join(F.broadcast(lookup.select(*keys, *payload)), keys, "left")
+    if df.isStreaming:
+        return df.join(lookup.select(*keys, *payload), keys, "left")
     total = lookup.agg(F.sum("n")).first()[0]
-    hot = lookup.where(F.col("n") * F.lit(HOT_PARTS) > F.lit(total)).select(key, *payload)
-    cold = lookup.where(F.col("n") * F.lit(HOT_PARTS) <= F.lit(total)).select(key, *payload)
+    is_hot = F.col("n") * F.lit(HOT_PARTS) > F.lit(total)
+    hot = lookup.where(is_hot).select(*keys, *payload)
+    cold = lookup.where(~is_hot).select(*keys, *payload)
     types = {f.name: f.dataType for f in lookup.schema}
-    known = df.where(col(key).isNotNull())
-    nothing = df.where(col(key).isNull()).select("*", *[F.lit(None).cast(types[p]).alias(p) for p in payload])
-    on_hot = known.join(F.broadcast(hot), key)
-    on_cold = known.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & col(k).isNotNull()
+    known = df.where(complete)
+    nothing = df.where(~complete).select("*", *[F.lit(None).cast(types[p]).alias(p) for p in payload])
+    on_hot = known.join(F.broadcast(hot), keys)
+    on_cold = known.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, "left")
     return on_hot.unionByName(on_cold).unionByName(nothing)
 
 

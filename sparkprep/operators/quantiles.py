@@ -2,10 +2,17 @@
 
 ``percentile`` in Spark keeps every distinct value of a column in one
 aggregation buffer, so it does not hold for near-unique columns of a very large
-table.  Here the wanted ranks are bracketed with a bounded sketch
-(``percentile_approx``), and one more pass counts what lies below each bracket
-and the few values inside.  The answer is exact, the driver only sees brackets,
-and every pass is one aggregate with map-side combine.
+table.  Here the wanted ranks are bracketed step by step:
+
+1. one aggregate gives row count, minimum and maximum of each group;
+2. one aggregate counts equal-width bins, which settles columns with few values
+   and leaves a small part of the others;
+3. a part that is still large is cut at the quantiles of a bounded sketch
+   (``percentile_approx``), which shrinks it whatever the distribution;
+4. the few values left are counted one by one.
+
+The answer is exact, the driver only sees bins and brackets, and every pass is
+an aggregate with map-side combine.
 """
 
 from __future__ import annotations
@@ -19,6 +26,8 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col
 
+#: Equal-width bins per group.
+BINS = 512
 #: Steps of the sketch grid and its accuracy; the rank error (1/accuracy) is a
 #: tenth of a grid step, so one spare step on each side is a safe bracket.
 GRID_STEPS = 1000
@@ -43,9 +52,14 @@ class Ranked:
 
 
 def long_values(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """One row ``(g, x)`` per non-null cell; ``exprs`` maps a group name to a double."""
+    """One row ``(g, x)`` per cell with a number; ``exprs`` maps a group name to a double.
+
+    Null and NaN are left out.
+    """
     args = [a for name, e in exprs.items() for a in (F.lit(name), e.cast("double"))]
-    return df.select(F.stack(F.lit(len(exprs)), *args).alias("g", "x")).where(F.col("x").isNotNull())
+    return df.select(F.stack(F.lit(len(exprs)), *args).alias("g", "x")).where(
+        F.col("x").isNotNull() & ~F.isnan("x")
+    )
 
 
 def _bracket(grid: list[float], rank: int, n: int) -> tuple[float, float, float]:
@@ -58,6 +72,25 @@ def _bracket(grid: list[float], rank: int, n: int) -> tuple[float, float, float]
     return low, high, (hi - lo + 1) / GRID_STEPS * n
 
 
+def _binned(values: DataFrame, spans: dict[str, tuple[float, float]]) -> dict[str, list]:
+    """Ascending ``(min, max, rows)`` of the non-empty equal-width bins of each group."""
+    rows = [(g, lo, hi) for g, (lo, hi) in spans.items()]
+    table = values.sparkSession.createDataFrame(rows, "g string, lo double, hi double")
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+    place = F.least(F.floor((x - lo) / (hi - lo) * F.lit(BINS)), F.lit(BINS - 1))
+    found = (
+        # one row per group: bounded by the number of columns or bins
+        values.join(F.broadcast(table), "g")
+        .groupBy("g", place.alias("b"))
+        .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("c"))
+        .collect()
+    )
+    out: dict[str, list] = {g: [] for g in spans}
+    for row in sorted(found, key=lambda r: (r.g, r.b)):
+        out[row.g].append((row.low, row.high, row.c))
+    return out
+
+
 def select_ranks(
     values: DataFrame, ranks: Callable[[str, int], Iterable[int]]
 ) -> dict[str, tuple[int, dict[int, Ranked]]]:
@@ -68,21 +101,45 @@ def select_ranks(
     of rows and distinct values need not be.  Returns ``{group: (n, {rank: Ranked})}``.
     """
     spark = values.sparkSession
-    heads = values.groupBy("g").agg(F.count("x").alias("n"), _sketch(F.col("x")).alias("q")).collect()
-
+    heads = (
+        values.groupBy("g")
+        .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+        .collect()
+    )
     out: dict[str, tuple[int, dict[int, Ranked]]] = {}
     # ranks still open, by the bracket (group, low, high) they fall in
     wide: dict[tuple[str, float, float], set[int]] = {}
     narrow: dict[tuple[str, float, float], set[int]] = {}
+    # rows below a bracket, where an earlier pass has counted them
+    known: dict[tuple[str, float, float], int] = {}
+    wanted: dict[str, set[int]] = {}
+    spans: dict[str, tuple[float, float]] = {}
     for row in heads:
         out[row.g] = (row.n, {})
-        for r in set(ranks(row.g, row.n)):
-            low, high, rows = _bracket(row.q, r, row.n)
-            target = narrow if rows <= READ_OUT_ROWS or low == high else wide
-            target.setdefault((row.g, low, high), set()).add(r)
+        open_ranks = set(ranks(row.g, row.n))
+        if not open_ranks:
+            continue
+        if row.low == row.high:
+            out[row.g][1].update({r: Ranked(row.low, 0, row.n) for r in open_ranks})
+        elif math.isinf(row.high - row.low):
+            wide[(row.g, -math.inf, math.inf)] = open_ranks
+        else:
+            wanted[row.g], spans[row.g] = open_ranks, (row.low, row.high)
+
+    for g, bins in (_binned(values, spans) if spans else {}).items():
+        below = 0
+        for low, high, c in bins:
+            here = {r for r in wanted[g] if below <= r < below + c}
+            if here and low == high:
+                out[g][1].update({r: Ranked(low, below, c) for r in here})
+            elif here:
+                (narrow if c <= READ_OUT_ROWS else wide)[(g, low, high)] = here
+                known[(g, low, high)] = below
+            below += c
 
     def joined(brackets):
-        table = spark.createDataFrame(list(brackets), "g string, lo double, hi double")
+        rows = [(*b, b not in known) for b in brackets]
+        table = spark.createDataFrame(rows, "g string, lo double, hi double, uncounted boolean")
         # a few brackets per group: bounded by the number of columns or bins
         return values.join(F.broadcast(table), "g")
 
@@ -117,26 +174,25 @@ def select_ranks(
         wide = still
 
     if narrow:
-        # rows under the bracket fold into one null level, so the result has one
-        # row per distinct value inside the brackets
+        # rows under an uncounted bracket fold into one null level, so the result
+        # has one row per distinct value inside the brackets
         seen = (
             joined(narrow)
-            .where(x <= hi)
+            .where((x <= hi) & ((x >= lo) | F.col("uncounted")))
             .groupBy("g", "lo", "hi", F.when(x >= lo, x).alias("v"))
             .agg(F.count(F.lit(1)).alias("c"))
             .collect()
         )
         levels: dict[tuple[str, float, float], list[tuple[float, int]]] = {}
-        below: dict[tuple[str, float, float], int] = {}
         for row in seen:
             key = (row.g, row.lo, row.hi)
             if row.v is None:
-                below[key] = row.c
+                known[key] = row.c
             else:
                 levels.setdefault(key, []).append((row.v, row.c))
         for key, found in levels.items():
             open_ranks = sorted(narrow[key])
-            before = below.get(key, 0)
+            before = known.get(key, 0)
             for v, c in sorted(found):
                 while open_ranks and open_ranks[0] < before + c:
                     out[key[0]][1][open_ranks.pop(0)] = Ranked(v, before, c)
