@@ -163,7 +163,7 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     # adding zero merges -0.0 with 0.0, as grouping does
     cells = cut_lineage(_cells(df, pairs, lambda c: lenient_double(col(c), types[c]) + F.lit(0.0)))
 
-    def ranks(side: str) -> DataFrame:
+    def ranked(side: str) -> tuple[DataFrame, int]:
         # shape of a level table: the pair is the variable, the weight is the row count
         levels = cut_lineage(
             cells.groupBy("pair", side)
@@ -178,15 +178,19 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
                 "cells",
             )
         )
-        return running_totals(levels).select(
+        rows = levels.count()
+        ranks = running_totals(levels, rows).select(
             "pair",
             F.col("v_dbl").alias(side),
             F.col("cells").alias("n"),
             (F.col("before") + (F.col("n") + 1) / 2.0).alias(f"r{side}"),
         )
+        return ranks, rows
 
-    joined = join_levels(cells, ranks("x"), ["pair", "x"])
-    joined = join_levels(joined, ranks("y"), ["pair", "y"])
+    joined = cells
+    for side in ("x", "y"):
+        ranks, rows = ranked(side)
+        joined = join_levels(joined, ranks, ["pair", side], rows)
     # ranks average to (rows + 1) / 2, so they can be centred without another pass
     totals = cells.groupBy("pair").agg(F.sum("n").alias("rows_of_pair"))
     mid = (F.col("rows_of_pair") + 1) / 2.0

@@ -72,61 +72,73 @@ def _bracket(grid: list[float], rank: int, n: int) -> tuple[float, float, float]
     return low, high, (hi - lo + 1) / GRID_STEPS * n
 
 
-def _binned(values: DataFrame, spans: dict[str, tuple[float, float]]) -> dict[str, list]:
-    """Ascending ``(min, max, rows)`` of the non-empty equal-width bins of each group."""
-    rows = [(g, lo, hi) for g, (lo, hi) in spans.items()]
-    table = values.sparkSession.createDataFrame(rows, "g string, lo double, hi double")
-    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
-    place = F.least(F.floor((x - lo) / (hi - lo) * F.lit(BINS)), F.lit(BINS - 1))
+def _place(x: Column, lo: Column, hi: Column) -> Column:
+    return F.least(F.floor((x - lo) / (hi - lo) * F.lit(BINS)), F.lit(BINS - 1))
+
+
+def _binned(values: DataFrame, place: Column) -> dict[str, list]:
+    """Ascending ``(min, max, rows)`` of the non-empty bins of each group."""
     found = (
-        # one row per group: bounded by the number of columns or bins
-        values.join(F.broadcast(table), "g")
-        .groupBy("g", place.alias("b"))
+        values.groupBy("g", place.alias("b"))
         .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("c"))
         .collect()
     )
-    out: dict[str, list] = {g: [] for g in spans}
+    out: dict[str, list] = {}
     for row in sorted(found, key=lambda r: (r.g, r.b)):
-        out[row.g].append((row.low, row.high, row.c))
+        out.setdefault(row.g, []).append((row.low, row.high, row.c))
     return out
 
 
 def select_ranks(
-    values: DataFrame, ranks: Callable[[str, int], Iterable[int]]
+    values: DataFrame, ranks: Callable[[str, int], Iterable[int]], span: tuple[float, float] | None = None
 ) -> dict[str, tuple[int, dict[int, Ranked]]]:
     """Values at chosen ranks of each group of ``values(g, x)``.
 
     ``ranks(group, n)`` names the 0-based ranks wanted once the group's row count
     is known.  The number of groups must be small (columns or bins), the number
-    of rows and distinct values need not be.  Returns ``{group: (n, {rank: Ranked})}``.
+    of rows and distinct values need not be.  ``span`` are bounds of all values,
+    if they are known beforehand; that saves the first pass.  Returns
+    ``{group: (n, {rank: Ranked})}``.
     """
     spark = values.sparkSession
-    heads = (
-        values.groupBy("g")
-        .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        .collect()
-    )
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
     out: dict[str, tuple[int, dict[int, Ranked]]] = {}
     # ranks still open, by the bracket (group, low, high) they fall in
     wide: dict[tuple[str, float, float], set[int]] = {}
     narrow: dict[tuple[str, float, float], set[int]] = {}
     # rows below a bracket, where an earlier pass has counted them
     known: dict[tuple[str, float, float], int] = {}
-    wanted: dict[str, set[int]] = {}
-    spans: dict[str, tuple[float, float]] = {}
-    for row in heads:
-        out[row.g] = (row.n, {})
-        open_ranks = set(ranks(row.g, row.n))
-        if not open_ranks:
-            continue
-        if row.low == row.high:
-            out[row.g][1].update({r: Ranked(row.low, 0, row.n) for r in open_ranks})
-        elif math.isinf(row.high - row.low):
-            wide[(row.g, -math.inf, math.inf)] = open_ranks
-        else:
-            wanted[row.g], spans[row.g] = open_ranks, (row.low, row.high)
-
-    for g, bins in (_binned(values, spans) if spans else {}).items():
+
+    if span is not None:
+        bins_of = _binned(values, _place(x, F.lit(span[0]), F.lit(span[1])))
+        wanted = {}
+        for g, bins in bins_of.items():
+            n = sum(c for _, _, c in bins)
+            out[g], wanted[g] = (n, {}), set(ranks(g, n))
+    else:
+        heads = (
+            values.groupBy("g")
+            .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .collect()
+        )
+        wanted, spans = {}, []
+        for row in heads:
+            out[row.g] = (row.n, {})
+            open_ranks = set(ranks(row.g, row.n))
+            if row.low == row.high:
+                out[row.g][1].update({r: Ranked(row.low, 0, row.n) for r in open_ranks})
+            elif open_ranks and math.isinf(row.high - row.low):
+                wide[(row.g, -math.inf, math.inf)] = open_ranks
+            elif open_ranks:
+                wanted[row.g] = open_ranks
+                spans.append((row.g, row.low, row.high))
+        bins_of = {}
+        if spans:
+            table = spark.createDataFrame(spans, "g string, lo double, hi double")
+            # one row per group: bounded by the number of columns or bins
+            bins_of = _binned(values.join(F.broadcast(table), "g"), _place(x, lo, hi))
+
+    for g, bins in bins_of.items():
         below = 0
         for low, high, c in bins:
             here = {r for r in wanted[g] if below <= r < below + c}
@@ -143,7 +155,6 @@ def select_ranks(
         # a few brackets per group: bounded by the number of columns or bins
         return values.join(F.broadcast(table), "g")
 
-    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
     while wide:
         inside = (x > lo) & (x < hi)
         rows = (

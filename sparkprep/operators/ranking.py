@@ -14,7 +14,7 @@ from sparkprep.session import materialise
 ROWS_PER_RANGE = 200_000
 
 
-def running_totals(levels: DataFrame) -> DataFrame:
+def running_totals(levels: DataFrame, rows: int | None = None) -> DataFrame:
     """Append ``position`` (levels before) and ``before`` (rows before) per variable.
 
     ``levels`` has one row per (variable, level) and must be cheap to read again.
@@ -22,7 +22,7 @@ def running_totals(levels: DataFrame) -> DataFrame:
     partitioned on (variable, level); each range is ranked on its own and
     shifted by the totals of the ranges before it.
     """
-    rows = levels.count()
+    rows = levels.count() if rows is None else rows
     ranges = max(1, math.ceil(rows / ROWS_PER_RANGE))
     by = ["variable"]
     if ranges > 1:

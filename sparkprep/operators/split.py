@@ -23,7 +23,7 @@ def key_cuts(df: DataFrame, group: Column, key: Column, ranks) -> dict[str, tupl
     """
     keyed = df.select(group.cast("string").alias("g"), key.alias("k")).where(F.col("g").isNotNull())
     values = keyed.select("g", key_number(F.col("k")).alias("x"))
-    found = select_ranks(values, lambda g, n: [r for r in ranks(g, n) if r < n])
+    found = select_ranks(values, lambda g, n: [r for r in ranks(g, n) if r < n], span=(0.0, 16.0**KEY_DIGITS))
     cuts: dict[str, tuple[int, dict[int, str]]] = {}
     ties = []
     for g, (n, by_rank) in found.items():
