@@ -90,15 +90,18 @@ def _binned(values: DataFrame, place: Column) -> dict[str, list]:
 
 
 def select_ranks(
-    values: DataFrame, ranks: Callable[[str, int], Iterable[int]], span: tuple[float, float] | None = None
+    values: DataFrame,
+    ranks: Callable[[str, int], Iterable[int]],
+    span: tuple[float, float] | None = None,
+    heads: dict[str, tuple[int, float, float]] | None = None,
 ) -> dict[str, tuple[int, dict[int, Ranked]]]:
     """Values at chosen ranks of each group of ``values(g, x)``.
 
     ``ranks(group, n)`` names the 0-based ranks wanted once the group's row count
     is known.  The number of groups must be small (columns or bins), the number
-    of rows and distinct values need not be.  ``span`` are bounds of all values,
-    if they are known beforehand; that saves the first pass.  Returns
-    ``{group: (n, {rank: Ranked})}``.
+    of rows and distinct values need not be.  The first pass is saved by ``span``,
+    bounds of all values, or by ``heads``, the ``(rows, min, max)`` of each group.
+    Returns ``{group: (n, {rank: Ranked})}``.
     """
     spark = values.sparkSession
     x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
@@ -116,22 +119,22 @@ def select_ranks(
             n = sum(c for _, _, c in bins)
             out[g], wanted[g] = (n, {}), set(ranks(g, n))
     else:
-        heads = (
-            values.groupBy("g")
-            .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .collect()
-        )
+        if heads is None:
+            ends = values.groupBy("g").agg(F.count("x").alias("n"), F.min("x").alias("a"), F.max("x").alias("b"))
+            heads = {r.g: (r.n, r.a, r.b) for r in ends.collect()}
         wanted, spans = {}, []
-        for row in heads:
-            out[row.g] = (row.n, {})
-            open_ranks = set(ranks(row.g, row.n))
-            if row.low == row.high:
-                out[row.g][1].update({r: Ranked(row.low, 0, row.n) for r in open_ranks})
-            elif open_ranks and math.isinf(row.high - row.low):
-                wide[(row.g, -math.inf, math.inf)] = open_ranks
+        for g, (n, low, high) in heads.items():
+            if not n:
+                continue
+            out[g] = (n, {})
+            open_ranks = set(ranks(g, n))
+            if low == high:
+                out[g][1].update({r: Ranked(low, 0, n) for r in open_ranks})
+            elif open_ranks and math.isinf(high - low):
+                wide[(g, -math.inf, math.inf)] = open_ranks
             elif open_ranks:
-                wanted[row.g] = open_ranks
-                spans.append((row.g, row.low, row.high))
+                wanted[g] = open_ranks
+                spans.append((g, low, high))
         bins_of = {}
         if spans:
             table = spark.createDataFrame(spans, "g string, lo double, hi double")
@@ -221,13 +224,13 @@ def _ranks_for(q: float, n: int, interpolation: str) -> tuple[int, int, float]:
 
 
 def grouped_quantiles(
-    values: DataFrame, probs: list[float], interpolation: str = "linear"
+    values: DataFrame, probs: list[float], interpolation: str = "linear", heads: dict | None = None
 ) -> dict[str, list[float]]:
     """Exact quantiles of each group of ``values(g, x)``; groups without rows are absent."""
     if interpolation not in ("linear", "nearest"):
         raise ValueError(f"unknown interpolation {interpolation!r}")
     picked = select_ranks(
-        values, lambda _, n: [r for q in probs for r in _ranks_for(q, n, interpolation)[:2]]
+        values, lambda _, n: [r for q in probs for r in _ranks_for(q, n, interpolation)[:2]], heads=heads
     )
     out = {}
     for g, (n, by_rank) in picked.items():
@@ -246,11 +249,14 @@ def exact_quantiles(
     probs: list[float],
     interpolation: str = "linear",
     exclude: float | None = None,
+    heads: dict[str, tuple[int, float, float]] | None = None,
 ) -> dict[str, list[float] | None]:
-    """Exact quantiles of numeric columns, nulls (and ``exclude``) ignored.
+    """Exact quantiles of numeric columns, nulls, NaN (and ``exclude``) ignored.
 
     ``linear`` interpolates between neighbours, ``nearest`` takes the element at
-    ``round(q * (n - 1))``.  A column without values maps to ``None``.
+    ``round(q * (n - 1))``.  A column without values maps to ``None``.  ``heads``
+    are the ``(rows, min, max)`` of the columns if known; not used where they
+    count a NaN or an excluded value.
     """
     if not cols:
         return {}
@@ -258,7 +264,9 @@ def exact_quantiles(
     for c in cols:
         x = col(c).cast("double")
         exprs[c] = x if exclude is None else F.when(x != F.lit(exclude), x)
-    found = grouped_quantiles(long_values(df, exprs), probs, interpolation)
+    if heads is not None and (exclude is not None or any(h != h for _, _, h in heads.values())):
+        heads = None  # NaN sorts last, so it would be the maximum
+    found = grouped_quantiles(long_values(df, exprs), probs, interpolation, heads)
     return {c: found.get(c) for c in cols}
 
 

@@ -7,20 +7,19 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col, is_numeric, tier
 from sparkprep.operators import levels as lv
-from sparkprep.operators.quantiles import exact_quantiles
+from sparkprep.operators.quantiles import exact_quantiles, long_values
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if is_numeric(f.dataType)]
 
 
-def aggregate_long(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:
-    """One aggregate job, returned long: one row per column.
+#: Up to this many aggregates stay in one row; generated code for wider rows is
+#: too long to be compiled, and one row per cell is faster.
+WIDE_AGGREGATES = 60
 
-    ``measures`` maps an output name to ``(function of a column, type name)``.
-    """
-    if not cols:
-        raise ValueError("no columns given")
+
+def _as_row(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:
     aggs, args = [], []
     for i, c in enumerate(cols):
         args.append(F.lit(c))
@@ -30,13 +29,36 @@ def aggregate_long(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -
     return df.agg(*aggs).select(F.stack(F.lit(len(cols)), *args).alias("variable", *measures))
 
 
+def _as_cells(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:
+    cells = df.select(*[col(c).cast("double").alias(c) for c in cols]).unpivot([], [col(c) for c in cols], "variable", "x")
+    out = cells.groupBy("variable").agg(*[fn(F.col("x")).cast(t).alias(m) for m, (fn, t) in measures.items()])
+    # every column gets a row, also when the table is empty
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+    return names.join(out, "variable", "left")
+
+
+def aggregate_long(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:
+    """Aggregates of many columns in one pass, one row per column.
+
+    ``measures`` maps an output name to ``(function of a column, type name)``.
+    Many aggregates over numeric columns are computed on one row per cell, as
+    doubles, combined before the shuffle.
+    """
+    if not cols:
+        raise ValueError("no columns given")
+    types = {f.name: f.dataType for f in df.schema}
+    wide = len(cols) * len(measures) <= WIDE_AGGREGATES or not all(is_numeric(types[c]) for c in cols)
+    return (_as_row if wide else _as_cells)(df, cols, measures)
+
+
 def _nulls(c: Column) -> Column:
     return F.count(F.lit(1)) - F.count(c)
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """``(variable, missing_count, n_rows)``."""
-    return aggregate_long(
+    # one cheap aggregate per column, whatever its type
+    return _as_row(
         df,
         cols or df.columns,
         {"missing_count": (_nulls, "bigint"), "n_rows": (lambda c: F.count(F.lit(1)), "bigint")},
@@ -129,16 +151,23 @@ def attach_values(long: DataFrame, values: dict[str, dict[str, float | None]]) -
     return long.join(F.broadcast(extra), "variable", "left")
 
 
+def _with_quantiles(df: DataFrame, cols: list[str], measures: dict, probs: dict[str, float], interpolation: str) -> DataFrame:
+    """Aggregates (with ``count``, ``min`` and ``max``) plus named exact quantiles per column."""
+    base = aggregate_long(df, cols, measures)
+    rows = base.collect()  # one row per column
+    heads = {r.variable: (r["count"], r["min"], r["max"]) for r in rows}
+    found = exact_quantiles(df, cols, list(probs.values()), interpolation, heads=heads)
+    named = {c: dict(zip(probs, v or [None] * len(probs))) for c, v in found.items()}
+    return attach_values(df.sparkSession.createDataFrame(rows, base.schema), named)
+
+
+_SPREAD = {"count": (F.count, "bigint"), "min": (F.min, "double"), "max": (F.max, "double"), "mean": (F.avg, "double")}
+
+
 def value_scope(df: DataFrame, cols: list[str] | None = None, suspicious_above: float = 7200) -> DataFrame:
     """Min, max, mean and exact median per numeric column, with a flag for huge maxima."""
     cols = [c for c in (cols or df.columns) if c in set(numeric_columns(df))]
-    base = aggregate_long(
-        df,
-        cols,
-        {"min": (F.min, "double"), "max": (F.max, "double"), "mean": (F.avg, "double")},
-    )
-    medians = exact_quantiles(df, cols, [0.5])
-    out = attach_values(base, {c: {"median": v[0] if v else None} for c, v in medians.items()})
+    out = _with_quantiles(df, cols, _SPREAD, {"median": 0.5}, "linear")
     # the whole part is compared, as an integer
     big = F.col("max").cast("bigint") > F.lit(suspicious_above)
     return out.select("variable", "min", "max", "median", "mean", F.coalesce(big, F.lit(False)).alias("suspicious"))
@@ -147,21 +176,9 @@ def value_scope(df: DataFrame, cols: list[str] | None = None, suspicious_above:
 def describe(df: DataFrame, cols: list[str] | None = None, interpolation: str = "nearest") -> DataFrame:
     """Count, nulls, mean, sample deviation, min, quartiles and max per numeric column."""
     cols = cols or numeric_columns(df)
-    base = aggregate_long(
-        df,
-        cols,
-        {
-            "count": (F.count, "bigint"),
-            "null_count": (_nulls, "bigint"),
-            "mean": (F.avg, "double"),
-            "std": (F.stddev_samp, "double"),
-            "min": (F.min, "double"),
-            "max": (F.max, "double"),
-        },
-    )
-    quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75], interpolation)
-    named = {c: dict(zip(("p25", "p50", "p75"), v or [None] * 3)) for c, v in quartiles.items()}
-    return attach_values(base, named)
+    measures = {**_SPREAD, "null_count": (_nulls, "bigint"), "std": (F.stddev_samp, "double")}
+    out = _with_quantiles(df, cols, measures, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, interpolation)
+    return out.select("variable", "count", "null_count", "mean", "std", "min", "max", "p25", "p50", "p75")
 
 
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
@@ -169,24 +186,19 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
 
     A constant column is spread half a unit to each side, as plotting tools do.
     """
-    bounds = {
-        r.variable: (r.low, r.high)
-        for r in aggregate_long(df, cols, {"low": (F.min, "double"), "high": (F.max, "double")}).collect()
-    }
-    args, used = [], 0
-    for c in cols:
-        low, high = bounds[c]
-        if low is None:
-            continue
-        if low == high:
-            low, high = low - 0.5, high + 0.5
-        # bin b holds values from low + b * width up to the next edge
-        x = col(c).cast("double")
-        b = F.floor((x - F.lit(low)) / F.lit((high - low) / bins)).cast("int")
-        args += [F.lit(c), F.when(x.isNotNull(), F.least(b, F.lit(bins - 1)))]
-        used += 1
-    long = df.select(F.stack(F.lit(used), *args).alias("variable", "bin")).where(F.col("bin").isNotNull())
-    return long.groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
+    ends = aggregate_long(df, cols, {"low": (F.min, "double"), "high": (F.max, "double")}).collect()
+    spans = []
+    for r in ends:  # one row per column
+        if r.low is not None:
+            half = 0.5 if r.low == r.high else 0.0
+            low, high = r.low - half, r.high + half
+            spans.append((r.variable, low, (high - low) / bins))
+    table = df.sparkSession.createDataFrame(spans, "variable string, low double, width double")
+    cells = long_values(df, {c: col(c) for c in cols}).withColumnRenamed("g", "variable")
+    # bin b holds values from low + b * width up to the next edge
+    place = F.least(F.floor((F.col("x") - F.col("low")) / F.col("width")), F.lit(bins - 1)).cast("int")
+    joined = cells.join(F.broadcast(table), "variable")  # one row per column on the right
+    return joined.groupBy("variable", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def compare_histograms(before: DataFrame, after: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:

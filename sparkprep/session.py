@@ -49,8 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in one folder per application.
+
+    That folder may be deleted when the application and its models are done.
+    """
+    return f"{shared_dir(spark)}/sparkprep-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
