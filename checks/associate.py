@@ -178,6 +178,19 @@ def _(s: Source):
     return _r6(assoc.cramers_v(df, [(c, "target_bin") for c in ("cat_low", "cat_rare", "country")]), "chi2", "v")
 
 
+@query(
+    "weak_associations",
+    with_survey(
+        "SELECT var_a AS variable, v FROM ("
+        + "\nUNION ALL\n".join(_cramers(c, "target_bin", _BINS) for c in ("cat_low", "cat_rare", "isco"))
+        + ") WHERE v < 0.05"
+    ),
+)
+def _(s: Source):
+    df = quantile_bins(s.survey, "target", [f"b{i}" for i in range(5)], "target_bin")
+    return _r6(assoc.weak_associations(df, ["cat_low", "cat_rare", "isco"], "target_bin"), "v")
+
+
 @query(
     "point_biserial",
     with_survey("SELECT 'cat_bin' AS var_a, 'target' AS var_b, count(*) AS n, round(corr(CAST(cat_bin = 'O' AS INT), target), 6) AS r FROM survey"),

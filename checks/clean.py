@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from checks.base import Source, query, with_survey
 from sparkprep.functions.scalar import col
 from sparkprep.operators import derive, impute, scale
+from sparkprep.operators.columns import ColumnDropper
 from sparkprep.operators.knn import KnnFill
+from sparkprep.operators.stats import group_counts
 
 NUM = ["num_low_missing", "num_high_missing"]
 ORDINAL = ["ord_a", "ord_b"]
@@ -44,8 +46,9 @@ def _(s: Source):
     ),
 )
 def _(s: Source):
-    df = s.survey.select("id", *NUM, "target")
-    return impute.TieredFill(inputCols=NUM).fit(df).transform(df)
+    df = s.survey.select("id", *NUM, "num_sparse", "target")
+    kept = ColumnDropper(inputCols=["num_sparse"], strict=True).transform(df)
+    return impute.TieredFill().fit(kept).transform(kept)
 
 
 @query(
@@ -109,18 +112,23 @@ _NEAR = """(SELECT sum(t * y) / sum(t) FROM (
           FROM donors d WHERE {y} IS NOT NULL AND {d2} IS NOT NULL)) WHERE t > 0)"""
 
 
+#: ``filled``: each (ord_a, ord_b) profile of the survey with its neighbour fill from the training rows.
+KNN_CTES = (
+    "donors AS (SELECT ord_a AS a, ord_b AS b, count(*) AS n FROM train GROUP BY ord_a, ord_b),\n"
+    "seen AS (SELECT DISTINCT ord_a AS a, ord_b AS b FROM survey),\n"
+    "filled AS (SELECT s.a, s.b, "
+    "CASE WHEN s.a IS NOT NULL THEN s.a WHEN s.b IS NULL THEN (SELECT avg(ord_a) FROM train) ELSE "
+    + _NEAR.format(y="d.a", d2="(2 * (s.b - d.b) * (s.b - d.b))")
+    + " END AS fa, CASE WHEN s.b IS NOT NULL THEN s.b WHEN s.a IS NULL THEN (SELECT avg(ord_b) FROM train) ELSE "
+    + _NEAR.format(y="d.b", d2="(2 * (s.a - d.a) * (s.a - d.a))")
+    + " END AS fb FROM seen s)"
+)
+
+
 @query(
     "impute_knn",
     with_survey(
-        "WITH donors AS (SELECT ord_a AS a, ord_b AS b, count(*) AS n FROM train GROUP BY ord_a, ord_b),\n"
-        "seen AS (SELECT DISTINCT ord_a AS a, ord_b AS b FROM survey),\n"
-        "filled AS (SELECT s.a, s.b, "
-        "CASE WHEN s.a IS NOT NULL THEN s.a WHEN s.b IS NULL THEN (SELECT avg(ord_a) FROM train) ELSE "
-        + _NEAR.format(y="d.a", d2="(2 * (s.b - d.b) * (s.b - d.b))")
-        + " END AS fa, CASE WHEN s.b IS NOT NULL THEN s.b WHEN s.a IS NULL THEN (SELECT avg(ord_b) FROM train) ELSE "
-        + _NEAR.format(y="d.b", d2="(2 * (s.a - d.a) * (s.a - d.a))")
-        + " END AS fb FROM seen s)\n"
-        "SELECT v.id, round(f.fa, 6) AS ord_a, round(f.fb, 6) AS ord_b FROM survey v "
+        f"WITH {KNN_CTES}\nSELECT v.id, round(f.fa, 6) AS ord_a, round(f.fb, 6) AS ord_b FROM survey v "
         "JOIN filled f ON v.ord_a IS NOT DISTINCT FROM f.a AND v.ord_b IS NOT DISTINCT FROM f.b"
     ),
 )
@@ -175,6 +183,19 @@ def _(s: Source):
     return out.withColumns({c: F.round(c, 9) for c in names})
 
 
+def _plain(c: str) -> str:
+    lo, hi = (f"(SELECT {f}({c}) FROM survey)" for f in ("min", "max"))
+    return f"round(({c} - {lo}) / ({hi} - {lo}), 9) AS {c}"
+
+
+@query("minmax_plain", with_survey(f"SELECT id, {_plain('num_low_missing')}, {_plain('ord_a')} FROM survey"))
+def _(s: Source):
+    names = ["num_low_missing", "ord_a"]
+    df = s.survey.select("id", *names)
+    out = scale.FlagMinMaxScaler(inputCols=names, keepFlag=False).fit(df).transform(df)
+    return out.withColumns({c: F.round(c, 9) for c in names})
+
+
 def _standard(c: str) -> str:
     return f"round(({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_pop({c}) FROM train), 6) AS {c}"
 
@@ -206,6 +227,15 @@ def _(s: Source):
     return derive.OccupationGrouper(inputCols=["isco"]).transform(s.survey.select("id", "isco"))
 
 
+@query(
+    "code_distribution",
+    with_survey("SELECT TRY_CAST(substr(isco, 1, 1) AS BIGINT) AS isco_grouped, count(*) AS n FROM survey GROUP BY 1"),
+)
+def _(s: Source):
+    grouped = derive.OccupationGrouper(inputCols=["isco"]).transform(s.survey)
+    return group_counts(grouped, "isco_grouped", ordered=True)
+
+
 @query(
     "isco_group_padded",
     with_survey("SELECT id, TRY_CAST(substr(lpad(CAST(CAST(isco AS INT) AS VARCHAR), 4, '0'), 1, 1) AS BIGINT) AS isco_grouped FROM survey"),

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from checks.base import SURVEY_COLUMNS, SURVEY_SQL, Source, query, with_survey
+from checks.clean import KNN_CTES
 from sparkprep.functions.scalar import col
 from sparkprep.operators import derive
 from sparkprep.operators import validate as va
@@ -178,11 +179,58 @@ def _(s: Source):
     return _stage2_fit(s.train.drop("split")).transform_refit(test)
 
 
-@query("full_pipeline")
+def _nearest(c: str, q: float) -> str:
+    return (
+        f"(SELECT max(CASE WHEN rn = floor({q} * (n - 1) + 0.5) THEN x END) FROM (SELECT {c} AS x, "
+        f"row_number() OVER (ORDER BY {c}) - 1 AS rn, count(*) OVER () AS n FROM base WHERE split = 'train'))"
+    )
+
+
+def _coded(c: str) -> str:
+    return f"code_{c} AS (SELECT {c}, CAST(row_number() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS code FROM clipped WHERE split = 'train' GROUP BY {c})"
+
+
+def _scaled(c: str, name: str) -> str:
+    part = f"(SELECT {{f}}({c}) FROM coded WHERE split = 'train')"
+    return f"round(({c} - {part.format(f='avg')}) / {part.format(f='stddev_pop')}, 6) AS {name}"
+
+
+_LEVELS = {
+    "cat_low": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "cat_rare": ["F", "O", "Other", "P"],
+    "isco_grouped": [str(i) for i in range(10)],
+}
+
+
+@query(
+    "full_pipeline",
+    with_survey(
+        f"WITH {KNN_CTES},\n"
+        f"digits AS (SELECT *, {_CODE} AS g FROM parts),\n"
+        "base AS (SELECT p.id, p.split, p.country_id, p.target, p.num_low_missing, CAST(f.fa AS DOUBLE) AS a, CAST(f.fb AS DOUBLE) AS b, p.cat_bin, "
+        f"coalesce(p.cat_low, {_mode('cat_low', 'train')}) AS cat_low, p.cat_rare, "
+        "coalesce(p.g, (SELECT g FROM digits WHERE split = 'train' AND g IS NOT NULL GROUP BY g ORDER BY count(*) DESC, g LIMIT 1)) AS isco_grouped "
+        "FROM digits p JOIN filled f ON p.ord_a IS NOT DISTINCT FROM f.a AND p.ord_b IS NOT DISTINCT FROM f.b),\n"
+        "clipped AS (SELECT * REPLACE ("
+        + ", ".join(f"greatest({_nearest(c, 0.01)}, least({c}, {_nearest(c, 0.99)})) AS {c}" for c in "ab")
+        + "), CASE WHEN cat_rare IN (SELECT cat_rare FROM base WHERE split = 'train' GROUP BY cat_rare "
+        "HAVING count(*) / (SELECT count(*) FROM base WHERE split = 'train') < 0.01) THEN 'Other' ELSE cat_rare END AS rare FROM base),\n"
+        + ",\n".join(_coded(c) for c in "ab")
+        + ",\ncoded AS (SELECT c.* REPLACE (coalesce(x.code, -1) AS a, coalesce(y.code, -1) AS b) FROM clipped c "
+        "LEFT JOIN code_a x ON c.a = x.a LEFT JOIN code_b y ON c.b = y.b)\n"
+        f"SELECT id, split, country_id, target, num_low_missing, {_scaled('a', 'ord_a')}, {_scaled('b', 'ord_b')}, CAST(cat_bin = 'O' AS INT) AS cat_bin, "
+        + ", ".join(
+            f"""CAST({'rare' if c == 'cat_rare' else f'CAST({c} AS VARCHAR)'} = '{v}' AS DOUBLE) AS "{c}_{v}\""""
+            for c, vs in _LEVELS.items()
+            for v in vs
+        )
+        + " FROM coded"
+    ),
+)
 def _(s: Source):
     ordinal = preprocessors.OrdinalPreprocessor(inputCols=["ord_a", "ord_b"], redundantCols=["num_high_missing"], definitions={})
     out, _ = full.full_plan(s.survey, ordinal, CATEGORICAL, ["id"], leakage_prefixes=["q1_"])
-    return out
+    return out.withColumns({c: F.round(c, 6) for c in ("ord_a", "ord_b")})
 
 
 @query("knn_profiles", with_survey("SELECT ord_a, ord_b, count(*) AS n FROM train GROUP BY ord_a, ord_b"))

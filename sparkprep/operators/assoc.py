@@ -347,6 +347,12 @@ def cramers_v(df: DataFrame, pairs: list[tuple[str, str]], yates: bool = True) -
     )
 
 
+def weak_associations(df: DataFrame, cols: list[str], target_bin: str, threshold: float = 0.05) -> DataFrame:
+    """Columns hardly associated with a binned target: candidates to drop."""
+    found = cramers_v(df, [(c, target_bin) for c in cols])
+    return found.where(F.col("v") < threshold).select(F.col("var_a").alias("variable"), "v")
+
+
 def point_biserial(df: DataFrame, binary: str, one, target: str) -> DataFrame:
     """Correlation of a two-valued column (``one`` counts as 1) with a numeric target."""
     flag = F.when(col(binary).isNotNull(), (col(binary) == F.lit(one)).cast("double"))

@@ -64,34 +64,34 @@ class FlagMinMaxModel(StateModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         state, have = self.getState(), set(df.columns)
         flag = state["flag"]
-        return project(
-            df,
-            {
-                c: minmax_keeping_flag(col(c).cast("double"), lo, hi, flag)
-                for c, (lo, hi) in state["range"].items()
-                if c in have
-            },
-        )
+
+        def scaled(c: str, lo: float, hi: float):
+            x = col(c).cast("double")
+            return (x - F.lit(lo)) / F.lit(hi - lo) if flag is None else minmax_keeping_flag(x, lo, hi, flag)
+
+        return project(df, {c: scaled(c, *ends) for c, ends in state["range"].items() if c in have})
 
 
 class FlagMinMaxScaler(FitStep):
     """Scale to [0, 1] over the values that are not the flag; the flag stays.
 
     Constant and empty columns are left alone; null becomes the flag in a scaled
-    column.  Without columns given, all numeric ones are scaled.
+    column.  Without columns given, all numeric ones are scaled.  ``keepFlag=False``
+    scales all values and leaves null alone.
     """
 
     flag: "Param[float]" = Param(Params._dummy(), "flag", "flag value", TypeConverters.toFloat)
+    keepFlag: "Param[bool]" = Param(Params._dummy(), "keepFlag", "treat the flag apart", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, flag=None):
+    def __init__(self, *, inputCols=None, flag=None, keepFlag=None):
         super().__init__()
-        self._configure({"flag": -1.0}, self._input_kwargs)
+        self._configure({"flag": -1.0, "keepFlag": True}, self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> FlagMinMaxModel:
-        flag = self.getOrDefault(self.flag)
+        flag = self.getOrDefault(self.flag) if self.getOrDefault(self.keepFlag) else None
         names = self.present(df) or numeric_columns(df)
-        valid = lambda c: F.when(c != F.lit(flag), c)
+        valid = lambda c: c if flag is None else F.when(c != F.lit(flag), c)
         rows = aggregate_long(
             df,
             names,

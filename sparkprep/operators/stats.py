@@ -32,9 +32,9 @@ def _as_row(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataF
 def _as_cells(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:
     cells = df.select(*[col(c).cast("double").alias(c) for c in cols]).unpivot([], [col(c) for c in cols], "variable", "x")
     out = cells.groupBy("variable").agg(*[fn(F.col("x")).cast(t).alias(m) for m, (fn, t) in measures.items()])
-    # every column gets a row, also when the table is empty
+    # every column gets a row, also when the table is empty; both sides have one row per column
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
-    return names.join(out, "variable", "left")
+    return names.join(F.broadcast(out), "variable", "left")
 
 
 def aggregate_long(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:
