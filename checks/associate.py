@@ -51,7 +51,7 @@ def _(s: Source):
 def _(s: Source):
     # the path of wide tables: one moment matrix per partition
     value = lambda c: F.col(c).cast("double")
-    return _r6(assoc._pearson_moments(s.table("lineitem"), _LINE, value), "r")
+    return _r6(assoc.pearson_moments(s.table("lineitem"), _LINE, value), "r")
 
 
 _FLAGGED = "(SELECT coalesce(q1_average_score, -1) AS a, coalesce(q1_total_timing, -1) AS b FROM survey)"

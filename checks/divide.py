@@ -196,6 +196,6 @@ def _(s: Source):
 def _(s: Source):
     df = _complete(s)
     names = FEATURES[:4] + ["num_sparse"]
-    table = sel._training_table(df, names, "target", ["id"], 2, 42)
-    model = sel._forest(10, 5, 42).fit(sel._assembled(table, names))
+    table = sel.training_table(df, names, "target", ["id"], 2, 42)
+    model = sel.forest(10, 5, 42).fit(sel.assembled(table, names))
     return sel.permutation_importance(df, model, names, "target", ["id"])

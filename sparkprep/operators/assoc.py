@@ -47,7 +47,7 @@ def _pearson_jvm(df: DataFrame, pairs: list[tuple[str, str]], value) -> DataFram
     return df.agg(*aggs).select(F.stack(F.lit(len(pairs)), *args).alias("var_a", "var_b", "n", "r"))
 
 
-def _pearson_moments(df: DataFrame, cols: list[str], value) -> DataFrame:
+def pearson_moments(df: DataFrame, cols: list[str], value) -> DataFrame:
     """All pairs of many columns: one moment matrix per partition, summed by pair."""
     import numpy as np
     import pandas as pd
@@ -114,7 +114,7 @@ def pearson_matrix(
         return x if exclude_flag is None else F.when(x != F.lit(exclude_flag), x)
 
     pairs = list(combinations(cols, 2))
-    out = _pearson_jvm(df, pairs, value) if len(pairs) <= JVM_PAIRS else _pearson_moments(df, cols, value)
+    out = _pearson_jvm(df, pairs, value) if len(pairs) <= JVM_PAIRS else pearson_moments(df, cols, value)
     if nulls == "propagate":
         full = [c for c, rate in null_rates(df, cols).items() if rate == 0]
         ok = F.col("var_a").isin(full) & F.col("var_b").isin(full)

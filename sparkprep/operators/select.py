@@ -67,7 +67,7 @@ def ranked(scores: DataFrame, score: str, top: int | None = None) -> DataFrame:
     return out.where(F.col("rank") <= top) if top else out
 
 
-def _training_table(df: DataFrame, features: list[str], target: str, id_cols: list[str], folds: int, seed: int) -> DataFrame:
+def training_table(df: DataFrame, features: list[str], target: str, id_cols: list[str], folds: int, seed: int) -> DataFrame:
     """Only the needed columns plus the fold, stored once: a forest reads it many times."""
     table = df.select(
         *[col(c).cast("double").alias(c) for c in features],
@@ -77,11 +77,11 @@ def _training_table(df: DataFrame, features: list[str], target: str, id_cols: li
     return materialise(table, "training")
 
 
-def _assembled(table: DataFrame, features: list[str]) -> DataFrame:
+def assembled(table: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="_features").transform(table).select("_features", "_label", "_fold")
 
 
-def _forest(trees: int, depth: int | None, seed: int) -> RandomForestRegressor:
+def forest(trees: int, depth: int | None, seed: int) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="_features",
         labelCol="_label",
@@ -92,8 +92,8 @@ def _forest(trees: int, depth: int | None, seed: int) -> RandomForestRegressor:
     )
 
 
-def _search(table: DataFrame, features, trees, depths, folds, parallelism, seed):
-    rf = _forest(trees[0], depths[0], seed)
+def search_forest(table: DataFrame, features, trees, depths, folds, parallelism, seed):
+    rf = forest(trees[0], depths[0], seed)
     grid = (
         ParamGridBuilder()
         .addGrid(rf.numTrees, trees)
@@ -108,7 +108,7 @@ def _search(table: DataFrame, features, trees, depths, folds, parallelism, seed)
         foldCol="_fold",
         parallelism=parallelism,
     )
-    model = cv.fit(_assembled(table, features))
+    model = cv.fit(assembled(table, features))
     rows = [(int(g[rf.numTrees]), int(g[rf.maxDepth]), float(m)) for g, m in zip(grid, model.avgMetrics)]
     best = min(rows, key=lambda r: (r[2], r[0], r[1]))
     return rows, {"n_estimators": best[0], "max_depth": best[1], "mse": best[2]}
@@ -119,8 +119,8 @@ def forest_grid(
     trees=TREES, depths=DEPTHS, folds=5, parallelism=2, seed=42,
 ) -> DataFrame:
     """Mean squared error of each forest setting over seeded folds."""
-    table = _training_table(df, features, target, id_cols, folds, seed)
-    rows, best = _search(table, features, trees, depths, folds, parallelism, seed)
+    table = training_table(df, features, target, id_cols, folds, seed)
+    rows, best = search_forest(table, features, trees, depths, folds, parallelism, seed)
     found = (best["n_estimators"], best["max_depth"])
     return df.sparkSession.createDataFrame(
         [(t, d, m, (t, d) == found) for t, d, m in rows], "n_estimators int, max_depth int, mse double, best boolean"
@@ -137,11 +137,11 @@ def eliminate(
     ``step`` least important (a share of all features when below 1).
     """
     if table is None:
-        table = _training_table(df, features, target, id_cols, 2, seed)
+        table = training_table(df, features, target, id_cols, 2, seed)
     per_round = max(1, int(step * len(features)) if step < 1 else int(step))
     left, gone, scores = list(features), [], {}
     while True:
-        model = _forest(trees, depth, seed).fit(_assembled(table, left))
+        model = forest(trees, depth, seed).fit(assembled(table, left))
         scores.update(zip(left, model.featureImportances.toArray().tolist()))
         if len(left) <= n_features:
             break
@@ -162,8 +162,8 @@ def forest_importance(
     coded = OrdinalCoder(inputCols=categorical).fit(df).transform(df)
     # a missing level is a code of its own
     filled = coded.select(*[F.coalesce(col(c), F.lit(-1.0)).alias(c) for c in categorical], *[col(c) for c in [target, *id_cols]])
-    table = _training_table(filled, categorical, target, id_cols, 2, seed)
-    model = _forest(trees, depth, seed).fit(_assembled(table, categorical))
+    table = training_table(filled, categorical, target, id_cols, 2, seed)
+    model = forest(trees, depth, seed).fit(assembled(table, categorical))
     scores = zip(categorical, model.featureImportances.toArray().tolist())
     return df.sparkSession.createDataFrame([(c, float(v)) for c, v in scores], "variable string, importance double")
 

@@ -44,8 +44,8 @@ def run_selection(
     split = split_stratified(df, target, id_cols, seed=seed)
     train = split.where(F.col("split") == "train")
     mi = sel.mutual_information(train, features, target).collect()  # one row per feature
-    table = sel._training_table(train, features, target, id_cols, folds, seed)
-    grid, best = sel._search(table, features, list(trees), list(depths), folds, parallelism, seed)
+    table = sel.training_table(train, features, target, id_cols, folds, seed)
+    grid, best = sel.search_forest(table, features, list(trees), list(depths), folds, parallelism, seed)
     rfe = sel.eliminate(
         train, features, target, id_cols, n_features, step, best["n_estimators"], best["max_depth"], seed, table
     )

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that suit wide survey tables.  Adaptive execution picks the shuffle
 #: width and splits skewed join partitions; the field limit keeps code
-#: generation on for a few hundred columns.
+#: generation on for a few hundred columns, and the method limit turns it off
+#: where the generated method is longer than the JVM compiles.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.maxFields": "400",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
