@@ -24,7 +24,8 @@ def test_contract(spark):
     df = entry.entry(spark)
     assert df.columns and df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert all(not re.match(r"op\d", n) and n != "pipeline" for n in entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
+    assert all(re.match(r"op\d+_", n) or n == "pipeline" for n in set(entry.queries()) - set(QUERIES))
 
 
 @pytest.mark.parametrize("name", SAMPLE)
