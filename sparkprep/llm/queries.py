@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm import embedding_dedup, line_dedup
+from sparkprep.llm import chat, embedding_dedup, line_dedup, mixing, token_counts
 from sparkprep.llm.frames import comma_joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,73 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@_query(
+    "op6_pfair_mixing",
+    """
+WITH RECURSIVE sizes AS (SELECT coalesce('=' || source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
+w AS (SELECT s, n, CAST(ceil(n / 16.0) AS BIGINT) AS blocks, sqrt(CAST(n AS DOUBLE)) * 1000 / sum(sqrt(CAST(n AS DOUBLE))) OVER () AS x FROM sizes),
+cut AS (SELECT *, CAST(greatest(1, floor(x)) AS BIGINT) AS q FROM w),
+ranked AS (SELECT *, 1000 - sum(q) OVER () AS rest, row_number() OVER (ORDER BY x - q DESC, s) AS up,
+                  row_number() OVER (ORDER BY q DESC, s) AS down FROM cut),
+plan AS (SELECT s, n, blocks, CAST(CASE WHEN rest > 0 AND up <= rest THEN q + 1 WHEN rest < 0 AND down = 1 THEN q + rest ELSE q END AS BIGINT) AS p FROM ranked),
+src AS (SELECT list(s ORDER BY s) AS names, list(p ORDER BY s) AS ps FROM plan),
+sched(t, sent, j) AS (
+  SELECT -1, list_transform(ps, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM src
+  UNION ALL
+  SELECT t + 1, list_transform(sent, lambda x, k: CASE WHEN k = c THEN x + 1 ELSE x END), c
+  FROM (SELECT t, sent, list_min(list_transform(range(1, len(ps) + 1), lambda k:
+          CASE WHEN sent[k] < ps[k] AND (sent[k] * 1000) // ps[k] <= t + 1
+               THEN (((sent[k] + 1) * 1000 + ps[k] - 1) // ps[k]) * 100000 + k END)) % 100000 AS c
+        FROM sched, src WHERE t < 999)),
+slots AS (SELECT names[j] AS s, t AS slot, row_number() OVER (PARTITION BY j ORDER BY t) - 1 AS i FROM sched, src WHERE t >= 0),
+ending AS (SELECT max(CAST(ceil(blocks * 1000 / p) AS BIGINT)) AS fin FROM plan),
+numbered AS (SELECT doc_id, source, coalesce('=' || source, '') AS s,
+                    row_number() OVER (PARTITION BY source ORDER BY md5(concat(CAST(doc_id AS VARCHAR), '#42')), doc_id) - 1 AS at FROM documents),
+used AS (SELECT d.doc_id, d.source, d.s, d.at % 16 AS mix_place, d.at // 16 AS first, p.p, p.blocks,
+                unnest(generate_series(0, greatest(1, CAST(ceil((ceil(e.fin * p.p / 1000) - d.at // 16) / p.blocks) AS BIGINT)) - 1)) AS mix_epoch
+         FROM numbered d JOIN plan p USING (s) CROSS JOIN ending e),
+placed AS (SELECT *, first + mix_epoch * blocks AS b FROM used)
+SELECT d.doc_id, d.source, (d.b // d.p) * 1000 + l.slot AS mix_slot, CAST(d.mix_place AS BIGINT) AS mix_place,
+       CAST(d.mix_epoch AS BIGINT) AS mix_epoch, d.b AS mix_block, (d.b * 1000) // d.p AS mix_release,
+       ((d.b + 1) * 1000 + d.p - 1) // d.p AS mix_due
+FROM placed d JOIN slots l ON l.s = d.s AND l.i = d.b % d.p
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+#: Control strings and backslashes, as the template escapes them.
+_MARKS = r"\\|<\||\|>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<s>|</s>|<bos>|<eos>|<start_of_turn>|<end_of_turn>"
+
+
+@_query(
+    "op7_chat_format",
+    f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(8 + sum(13 + length(role) + len(regexp_extract_all(role, '{_MARKS}')) + length(text) + len(regexp_extract_all(text, '{_MARKS}'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], conversations.schema)
+    return chat.read_back(chat.format_conversations(conversations.unionByName(own)))
+
+
+@_query("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 @_query(
     "op10_line_dedup",
     r"""

@@ -6,7 +6,7 @@ one running sum over the whole buffer, then mixed; equal words have equal hashes
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -17,9 +17,6 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
-#: Bytes that one numpy buffer holds, unless a single text is longer.
-CHUNK_BYTES = 2_000_000
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer."""
@@ -90,19 +87,6 @@ def words(texts: Sequence[str], table: np.ndarray) -> Words:
     return Words(code, doc, first, len(raw))
 
 
-def chunks(texts: Iterable[str], size: int = CHUNK_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """``(position of the first, texts)`` with at most ``size`` characters, or a single longer text."""
-    at, held, total = 0, [], 0
-    for i, t in enumerate(texts):
-        if held and total + len(t) > size:
-            yield at, held
-            at, held, total = i, [], 0
-        held.append(t)
-        total += len(t) + 1
-    if held:
-        yield at, held
-
-
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """``(hash, doc)`` of all runs of ``size`` words; a text with fewer words is one run, an empty one has none."""
     n = len(w.hash)
