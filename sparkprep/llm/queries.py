@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm import chat, embedding_dedup, line_dedup, mixing, token_counts
+from sparkprep.llm import chat, embedding_dedup, line_dedup, mixing, near_dedup, token_counts
 from sparkprep.llm.frames import comma_joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@_query(
+    "op5_minhash_dedup",
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\r\v\f]+') AS w FROM documents),
+runs AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+counts AS (SELECT doc_id, s, count(*) AS c FROM runs GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(c) AS n FROM counts GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.c, b.c)) AS m FROM counts a JOIN counts b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE m >= 0.8 * (p.n + q.n - m)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT x AS doc_id, min(y) AS class_id, x = min(y) AS kept FROM reach GROUP BY x
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query(
     "op6_pfair_mixing",
     """

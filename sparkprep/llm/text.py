@@ -25,8 +25,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def mix_int(x: int) -> int:
-    return int(mix(np.array([x & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64))[0])
+def stride(k: int) -> np.uint64:
+    """``k`` steps of the golden ratio sequence."""
+    return np.uint64((int(GOLDEN) * k) & 0xFFFFFFFFFFFFFFFF)
 
 
 def _table(word: bytes, punct: bool) -> np.ndarray:
@@ -101,6 +102,6 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(size):
         has = k < wide
         at = np.minimum(starts + k, n - 1)
-        step = mix(code * np.uint64(3) + w.hash[at] + GOLDEN * np.uint64(k + 1))
+        step = mix(code * np.uint64(3) + w.hash[at] + stride(k + 1))
         code = np.where(has, step, code)
     return code, w.doc[starts]
