@@ -11,10 +11,12 @@ their weighted Jaccard index.  Points are made in order and only up to the text'
 ``n`` words costs about ``n + m log m`` points instead of ``n * m``.
 
 Texts with equal multisets are one class.  Classes that agree in a whole band are candidates, and every link is verified
-on the exact counts.  Inside a bucket the members are compared with its least member first; members that end in another
-component than it are then compared with the whole bucket, until no bucket holds a member of a second component that
-hasn't been compared with everything in it.  So no link that a bucket offers is lost to connectivity, and copies of one
-text cost one comparison each.
+on the exact counts.  Inside a bucket the members are compared with its least member first, so copies of one text cost
+one comparison each.  Members that end in another component than the least one are then matched with the whole bucket,
+until no bucket holds a member of a second component that hasn't been matched with everything in it.  Such a pair is
+ruled out, before it is verified, if the distances of both to the least member differ by more than the limit (weighted
+Jaccard distance is a metric) or if their signatures agree in too few components (``SURE`` standard deviations below
+the threshold).  Only the first band that a pair shares offers it.
 
 Defined results: texts with fewer than five words are one shingle of all their words; null and empty texts have none and
 are alone.  Rows that repeat an id share a class if their texts are alike, and count as one document.  Null ids belong
@@ -37,6 +39,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: With 25 bands of 5 a pair at 0.8 is missed with probability 5e-5, at 0.85 with 1e-6.
 BANDS, ROWS = 25, 5
+#: Components of a signature; the bands use the first ``BANDS * ROWS``.
+COMPONENTS = 250
+#: A true link is ruled out by its signatures with probability 3e-6.
+SURE = 4.5
 
 
 def multisets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,7 +56,7 @@ def multisets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.nda
     return doc[at], code[at], np.diff(np.append(at, len(code)))
 
 
-def signatures(doc: np.ndarray, code: np.ndarray, count: np.ndarray, n: int, m: int = BANDS * ROWS) -> np.ndarray:
+def signatures(doc: np.ndarray, code: np.ndarray, count: np.ndarray, n: int, m: int = COMPONENTS) -> np.ndarray:
     """``n`` rows of ``m`` components (the names of the winning points); rows of texts without shingles are 0."""
     first_x = np.full((n, m), np.inf)
     winner = np.zeros((n, m), dtype=np.uint64)
@@ -100,13 +106,14 @@ def _profile(texts: list[str]):
     np.cumsum(term, out=total[0, 1:])
     np.cumsum(mix(term + GOLDEN), out=total[1, 1:])
     h = (total[:, edge[1:]] - total[:, edge[:-1]]).view(np.int64)
-    sig = signatures(doc, code, count, n).reshape(n, BANDS, ROWS)
+    whole = signatures(doc, code, count, n)
+    sig = whole[:, : BANDS * ROWS].reshape(n, BANDS, ROWS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
     for k in range(ROWS):
         key = mix(key + sig[:, :, k] * np.uint64(3))
     full = edge[1:] > edge[:-1]
     bands = [row if f else None for row, f in zip(key.view(np.int64), full, strict=True)]
-    return h[0], h[1], bands
+    return h[0], h[1], bands, list((whole >> np.uint64(16)).astype(np.uint16).view(np.int16))
 
 
 def similarity(a: str, b: str, size: int = SHINGLE) -> float:
@@ -120,8 +127,8 @@ def similarity(a: str, b: str, size: int = SHINGLE) -> float:
     return common / (int(ca.sum()) + int(cb.sum()) - common)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold."""
+def _scored(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(a, b, s)``: the exact similarity of the pairs."""
     both = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b"
     )
@@ -129,43 +136,55 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     def score(left, right):
         return [[similarity(x, y) for x, y in zip(left, right, strict=True)]]
 
-    return map_texts(both, ["a", "b"], ["ta", "tb"], score, "s double").where(F.col("s") >= threshold).select("a", "b")
+    return map_texts(both, ["a", "b"], ["ta", "tb"], score, "s double")
+
+
+def _offered(members: DataFrame, reps: DataFrame, scores: DataFrame, place: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: pairs of a bucket in two components that only an exact comparison can rule out."""
+    placed = members.join(place, "rep").join(place.select(F.col("rep").alias("first"), F.col("c").alias("main")), "first")
+    placed = materialise(placed, "placed")
+    open_keys = placed.where("c <> main").select("key").distinct()
+    to_first = scores.select(F.col("a").alias("first"), F.col("b").alias("rep"), "s")
+    rows = placed.join(open_keys, "key", "left_semi").join(to_first, ["first", "rep"], "left")
+    rows = rows.select("key", "band", "rep", "c", "main", F.coalesce("s", F.lit(1.0)).alias("s"))
+    rows = materialise(rows.join(reps.select("rep", "bands", "sig"), "rep"), "open")
+    outside = rows.where("c <> main").select(*[F.col(x).alias(f"o_{x}") for x in ("key", "rep", "c", "s", "bands", "sig")])
+    agree = lambda x, y: F.zip_with(x, y, lambda p, q: p == q)
+    least = COMPONENTS * threshold - SURE * float(np.sqrt(COMPONENTS * threshold * (1 - threshold)))
+    may_link = (
+        (F.col("c") != F.col("o_c"))
+        & (F.abs(F.col("s") - F.col("o_s")) <= 1 - threshold + 1e-9)
+        & (F.array_position(agree(F.col("bands"), F.col("o_bands")), True) == F.col("band") + 1)
+        & (F.size(F.filter(agree(F.col("sig"), F.col("o_sig")), lambda t: t)) >= least)
+    )
+    both = rows.join(outside, (F.col("key") == F.col("o_key")) & may_link)
+    return both.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b")).distinct()
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``(id, h1, h2, component)``, one row for each row of ``df``; the component is the least id reachable by links."""
     rows = df.select(col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    profile = materialise(map_texts(rows, ["id"], ["text"], _profile, "h1 long, h2 long, bands array<long>"), "signatures")
+    fields = "h1 long, h2 long, bands array<long>, sig array<short>"
+    profile = materialise(map_texts(rows, ["id"], ["text"], _profile, fields), "signatures")
     known = profile.where("id is not null and bands is not null")
-    reps = known.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    reps = materialise(reps, "classes")
-    banded = reps.select("rep", F.explode("bands").alias("key"))
+    first = F.min_by(F.struct("bands", "sig"), "id").alias("w")
+    reps = materialise(known.groupBy("h1", "h2").agg(F.min("id").alias("rep"), first).select("h1", "h2", "rep", "w.*"), "classes")
+    banded = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first <> last").select("key", "first")
     members = materialise(banded.join(shared, "key"), "buckets")
     named = members.select("rep").distinct()
-    texts = materialise(rows.join(named.withColumnRenamed("rep", "id"), "id").select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]), "candidates")
+    texts = rows.join(named.withColumnRenamed("rep", "id"), "id").select(F.col("id").alias("rep"), "text")
+    texts = materialise(texts.dropDuplicates(["rep"]), "candidates")
     pairs = members.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-    done = materialise(pairs, "pairs")
-    links = materialise(_verified(done, texts, threshold), "links")
+    scores = materialise(_scored(pairs, texts), "scores")
     while True:
-        joined = components(links)
+        joined = components(scores.where(F.col("s") >= threshold))
         place = named.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("c"))
-        placed = members.join(place, "rep").join(place.select(F.col("rep").alias("first"), F.col("c").alias("main")), "first")
-        placed = materialise(placed.select("key", "rep", "c", "main"), "placed")
-        # members outside the main component of their bucket are compared with everything in it that isn't theirs yet
-        outside = placed.where("c <> main").select("key", F.col("rep").alias("x"), F.col("c").alias("xc"))
-        more = (
-            placed.join(outside, "key")
-            .where("xc <> c")
-            .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
-            .distinct()
-            .join(done, ["a", "b"], "left_anti")
-        )
-        more = materialise(more, "pairs")
-        if more.isEmpty():
+        more = _offered(members, reps, scores, place, threshold).join(scores, ["a", "b"], "left_anti")
+        more = materialise(_scored(more, texts), "scores")
+        if more.where(F.col("s") >= threshold).isEmpty():
             break
-        links = materialise(links.unionByName(_verified(more, texts, threshold)), "links")
-        done = done.unionByName(more)
+        scores = scores.unionByName(more)
     of_class = reps.select("h1", "h2", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     found = of_class.select("h1", "h2", F.coalesce("component", "rep").alias("c"))
     alone = F.when(F.col("bands").isNull(), F.col("id")).otherwise(F.col("c"))
