@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparkprep.functions.scalar import col
 from sparkprep.llm.frames import map_texts
+from sparkprep.llm.text import cached
 
 #: Strings that open or close something in common chat templates.
 CONTROL = ("<|", "|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<s>", "</s>", "<bos>", "<eos>", "<start_of_turn>", "<end_of_turn>")
@@ -90,7 +90,6 @@ def loss_tokens(token_spans: np.ndarray, loss_spans: np.ndarray) -> np.ndarray:
     return np.cumsum(mask[:-1]) > 0
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -103,7 +102,7 @@ def format_one(turns: list[tuple[str, str]], tokenizer: str = TOKENIZER, loss_ro
     """Rendered text, token ids, loss mask by token and the exact loss spans of one conversation."""
     text, spans = render(turns)
     loss = spans[[r == loss_role for r, _ in turns]] if turns else spans
-    enc = _tokenizer(tokenizer).encode(text, add_special_tokens=False)
+    enc = cached(("tokenizer", tokenizer), lambda: _tokenizer(tokenizer)).encode(text, add_special_tokens=False)
     mask = loss_tokens(np.array(enc.offsets, dtype=np.int64).reshape(-1, 2), loss)
     return {"formatted": text, "tokens": enc.ids, "loss_mask": mask.tolist(), "loss_start": loss[:, 0].tolist(), "loss_end": loss[:, 1].tolist()}
 

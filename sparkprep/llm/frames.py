@@ -54,3 +54,27 @@ def map_texts(df: DataFrame, keep: list[str], texts: list[str], fn, fields: str,
                 at = end
 
     return kept.mapInArrow(run, schema)
+
+
+def fold_texts(df: DataFrame, inputs: list[str], start, step, finish, schema: str) -> DataFrame:
+    """One result for each task: ``state = start()``, ``step(state, *lists)`` for each batch, ``finish(state)`` gives columns."""
+    target = T.StructType.fromDDL(schema)
+
+    def run(batches):
+        import pyarrow as pa
+
+        state, rows = None, 0
+        for batch in batches:
+            if batch.num_rows:
+                state = start() if state is None else state
+                rows += batch.num_rows
+                # small slices: a batch of long texts is never unpacked as a whole
+                for at in range(0, batch.num_rows, 256):
+                    step(state, *[batch.column(batch.schema.get_field_index(c)).slice(at, 256).to_pylist() for c in inputs])
+        if rows:
+            fields = to_arrow_schema(target)
+            columns = finish(state)
+            for at in range(0, len(columns[0]), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 10_000], type=f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+    return df.select(*inputs).mapInArrow(run, target)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm import chat, embedding_dedup, line_dedup, mixing, near_dedup, token_counts
+from sparkprep.llm import chat, decontaminate, embedding_dedup, line_dedup, mixing, near_dedup, quality, token_counts
 from sparkprep.llm.frames import comma_joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +132,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@_query("op4_decontaminate")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.benchmark_matches(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    matches = F.col("bench_matches")
+    return found.select(
+        "doc_id",
+        (F.size(matches) > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct(matches["item_id"])).alias("item_ids"),
+        F.coalesce(F.array_max(matches["coverage"]), F.lit(0.0)).alias("coverage"),
+    )
+
+
+@_query("op9_quality_resample")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.resample(table(spark, sf_dir, "documents"), good)
+
+
 @_query(
     "op10_line_dedup",
     r"""

@@ -6,8 +6,9 @@ one running sum over the whole buffer, then mixed; equal words have equal hashes
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import lru_cache
+import sys
+import types
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -47,7 +48,14 @@ ALNUM = _table(_ALNUM, punct=False)
 WORD_PUNCT = _table(_ALNUM, punct=True)
 
 
-@lru_cache(maxsize=1)
+def cached(key: tuple, build: Callable):
+    """``build()``, kept for the life of the process (task code itself is loaded anew for every task)."""
+    held = sys.modules.setdefault("_text_operator_cache", types.ModuleType("_text_operator_cache")).__dict__
+    if key not in held:
+        held[key] = build()
+    return held[key]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(_BASE, -1, 1 << 64)
     out = []
@@ -78,7 +86,8 @@ def words(texts: Sequence[str], table: np.ndarray) -> Words:
     start, end = change[:-1], change[1:]
     real = kind[start] != 0 if len(start) else np.zeros(0, dtype=bool)
     start, end = start[real], end[real]
-    power, inverse = _powers(1 << max(21, int(len(buf)).bit_length()))
+    n = 1 << max(21, int(len(buf)).bit_length())
+    power, inverse = cached(("powers", 21), lambda: _powers(1 << 21)) if n == 1 << 21 else _powers(n)
     run = np.empty(len(buf) + 1, dtype=np.uint64)
     run[0] = 0
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[: len(buf)], out=run[1:])

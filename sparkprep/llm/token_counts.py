@@ -15,13 +15,12 @@ id are documents of their own.  Special tokens are never produced.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import DataFrame
 
 from sparkprep.functions.scalar import col
 from sparkprep.llm.frames import map_texts, text_of
+from sparkprep.llm.text import cached
 
 #: A folder of public vocabularies; the file is a list of byte strings and their ranks.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -29,7 +28,6 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-@lru_cache(maxsize=2)
 def _encoding(path: str):
     import base64
 
@@ -44,7 +42,7 @@ def _encoding(path: str):
 
 def token_starts(text: str, path: str = VOCABULARY) -> tuple[list[int], np.ndarray]:
     """Token ids of a text, and the character in which each token starts."""
-    enc, length = _encoding(path)
+    enc, length = cached(("tiktoken", path), lambda: _encoding(path))
     ids = enc.encode_ordinary(text)
     raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
     start = np.concatenate(([0], np.cumsum(length[ids])))
