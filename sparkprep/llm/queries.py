@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm import chat, decontaminate, embedding_dedup, line_dedup, mixing, near_dedup, quality, token_counts
+from sparkprep.llm import chat, decontaminate, embedding_dedup, line_dedup, mixing, near_dedup, quality, token_counts, toxicity
 from sparkprep.llm.frames import comma_joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +132,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@_query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.scores(docs, table(spark, sf_dir, "labels"))
+    score = F.col("toxic_score")
+    predicted = (score >= toxicity.TOXIC_FROM).cast("int")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), score.alias("score"), predicted.alias("predicted"), "toxic_evidence")
+
+
 @_query("op4_decontaminate")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
