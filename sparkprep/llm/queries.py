@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm import chat, decontaminate, embedding_dedup, line_dedup, mixing, near_dedup, quality, token_counts, toxicity
+from sparkprep.llm import chat, decontaminate, embedding_dedup, line_dedup, mixing, near_dedup, pii, quality, token_counts, toxicity
 from sparkprep.llm.frames import comma_joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", toxicity.held_out().alias("held_out"), score.alias("score"), predicted.alias("predicted"), "toxic_evidence")
 
 
+@_query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def listed(spans: str):
+        one = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
+        return F.array_join(F.transform(spans, one), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("found").alias("spans"))
+
+
 @_query("op4_decontaminate")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
