@@ -10,13 +10,13 @@ above the shingle's count.  A component keeps its first point.  Two texts agree
 their weighted Jaccard index.  Points are made in order and only up to the text's latest component, so a text with
 ``n`` words costs about ``n + m log m`` points instead of ``n * m``.
 
-Texts with equal multisets are one class.  Classes that agree in a whole band are candidates, and every link is verified
-on the exact counts.  Inside a bucket the members are compared with its least member first, so copies of one text cost
-one comparison each.  Members that end in another component than the least one are then matched with the whole bucket,
-until no bucket holds a member of a second component that hasn't been matched with everything in it.  Such a pair is
-ruled out, before it is verified, if the distances of both to the least member differ by more than the limit (weighted
-Jaccard distance is a metric) or if their signatures agree in too few components (``SURE`` standard deviations below
-the threshold).  Only the first band that a pair shares offers it.
+Texts with equal multisets are one class.  Classes that agree in a whole band share a bucket, and every link is verified
+on the exact counts.  The members of a bucket are compared with its least member first, so copies of one text cost one
+comparison each.  Members that the least one doesn't link are then matched with the whole bucket, in tasks that hold at
+most two blocks of it.  Such a pair is passed over only if it is connected already, if an earlier band offers it, if the
+distances of both to the least member differ by more than the limit (weighted Jaccard distance is a metric), or if the
+signatures agree in too few components (``SURE`` standard deviations below the threshold).  So after that every pair of a
+bucket is connected or ruled out, and no list of pairs is written.
 
 Defined results: texts with fewer than five words are one shingle of all their words; null and empty texts have none and
 are alone.  Rows that repeat an id share a class if their texts are alike, and count as one document.  Null ids belong
@@ -43,6 +43,8 @@ BANDS, ROWS = 25, 5
 COMPONENTS = 250
 #: A true link is ruled out by its signatures with probability 3e-6.
 SURE = 4.5
+#: Members of a bucket that a task takes on each side.
+BLOCK = 512
 
 
 def multisets(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +115,8 @@ def _profile(texts: list[str]):
         key = mix(key + sig[:, :, k] * np.uint64(3))
     full = edge[1:] > edge[:-1]
     bands = [row if f else None for row, f in zip(key.view(np.int64), full, strict=True)]
-    return h[0], h[1], bands, list((whole >> np.uint64(16)).astype(np.uint16).view(np.int16))
+    short = (whole >> np.uint64(16)).astype(np.uint16)
+    return h[0], h[1], bands, [k.tobytes() + x.tobytes() for k, x in zip(key, short, strict=True)]
 
 
 def similarity(a: str, b: str, size: int = SHINGLE) -> float:
@@ -122,8 +125,13 @@ def similarity(a: str, b: str, size: int = SHINGLE) -> float:
     _, sb, cb = multisets([b], size)
     if not len(sa) or not len(sb):
         return 0.0
-    _, i, j = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
-    common = int(np.minimum(ca[i], cb[j]).sum())
+    return _overlap(sa, ca, sb, cb)
+
+
+def _overlap(sa: np.ndarray, ca: np.ndarray, sb: np.ndarray, cb: np.ndarray) -> float:
+    """Weighted Jaccard index of two sorted multisets."""
+    at = np.minimum(np.searchsorted(sb, sa), len(sb) - 1)
+    common = int(np.where(sb[at] == sa, np.minimum(ca, cb[at]), 0).sum())
     return common / (int(ca.sum()) + int(cb.sum()) - common)
 
 
@@ -139,32 +147,95 @@ def _scored(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_texts(both, ["a", "b"], ["ta", "tb"], score, "s double")
 
 
-def _offered(members: DataFrame, reps: DataFrame, scores: DataFrame, place: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: pairs of a bucket in two components that only an exact comparison can rule out."""
-    placed = members.join(place, "rep").join(place.select(F.col("rep").alias("first"), F.col("c").alias("main")), "first")
-    placed = materialise(placed, "placed")
-    open_keys = placed.where("c <> main").select("key").distinct()
-    to_first = scores.select(F.col("a").alias("first"), F.col("b").alias("rep"), "s")
-    rows = placed.join(open_keys, "key", "left_semi").join(to_first, ["first", "rep"], "left")
-    rows = rows.select("key", "band", "rep", "c", "main", F.coalesce("s", F.lit(1.0)).alias("s"))
-    rows = materialise(rows.join(reps.select("rep", "bands", "sig"), "rep"), "open")
-    outside = rows.where("c <> main").select(*[F.col(x).alias(f"o_{x}") for x in ("key", "rep", "c", "s", "bands", "sig")])
-    agree = lambda x, y: F.zip_with(x, y, lambda p, q: p == q)
+def _bucket_links(rows: list[dict], threshold: float) -> list[tuple[int, int]]:
+    """Links between the ``outside`` rows and all others of one bucket, enough to connect what is connected."""
+    rows = list({(r["outside"], r["rep"]): r for r in rows}.values())
+    outside, every = [r for r in rows if r["outside"]], [r for r in rows if not r["outside"]]
+    if not outside or not every:
+        return []
+    wide = 8 * BANDS
+    bands = np.array([np.frombuffer(r["sig"][:wide], dtype=np.uint64) for r in every])
+    sigs = np.array([np.frombuffer(r["sig"][wide:], dtype=np.uint16) for r in every])
+    reps, first_s = np.array([r["rep"] for r in every]), np.array([r["s"] for r in every])
     least = COMPONENTS * threshold - SURE * float(np.sqrt(COMPONENTS * threshold * (1 - threshold)))
-    may_link = (
-        (F.col("c") != F.col("o_c"))
-        & (F.abs(F.col("s") - F.col("o_s")) <= 1 - threshold + 1e-9)
-        & (F.array_position(agree(F.col("bands"), F.col("o_bands")), True) == F.col("band") + 1)
-        & (F.size(F.filter(agree(F.col("sig"), F.col("o_sig")), lambda t: t)) >= least)
+    pairs = []
+    for i, o in enumerate(outside):
+        near = np.flatnonzero((reps != o["rep"]) & (np.abs(first_s - o["s"]) <= 1 - threshold + 1e-9))
+        if len(near):
+            agree = (sigs[near] == np.frombuffer(o["sig"][wide:], dtype=np.uint16)).sum(axis=1)
+            near, agree = near[agree >= least], agree[agree >= least]
+        if len(near):
+            earlier = (bands[near] == np.frombuffer(o["sig"][:wide], dtype=np.uint64)).argmax(axis=1) == o["band"]
+            pairs += [(-int(n), i, int(j)) for j, n in zip(near[earlier], agree[earlier], strict=True)]
+    if not pairs:
+        return []
+    needed = sorted({outside[i]["rep"] for _, i, _ in pairs} | {every[j]["rep"] for _, _, j in pairs})
+    text = {r["rep"]: r["text"] for r in rows}
+    doc, code, count = multisets([text[r] for r in needed])
+    edge = np.searchsorted(doc, np.arange(len(needed) + 1))
+    place = {r: k for k, r in enumerate(needed)}
+    # what the least member links is connected from the start; the likeliest links come first
+    parent = {r["rep"]: -1 if r["s"] >= threshold else r["rep"] for r in rows} | {-1: -1}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for _, i, j in sorted(pairs):
+        a, b = outside[i]["rep"], every[j]["rep"]
+        ra, rb = root(a), root(b)
+        if ra != rb:
+            p, q = place[a], place[b]
+            pa, pb = slice(edge[p], edge[p + 1]), slice(edge[q], edge[q + 1])
+            if _overlap(code[pa], count[pa], code[pb], count[pb]) >= threshold:
+                parent[max(ra, rb)] = min(ra, rb)
+                links.append((min(a, b), max(a, b)))
+    return links
+
+
+def _open_links(members: DataFrame, reps: DataFrame, scores: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: the links of members that aren't linked to the least member of their bucket."""
+    to_first = scores.select(F.col("a").alias("first"), F.col("b").alias("rep"), "s")
+    scored = materialise(members.join(to_first, ["first", "rep"], "left").withColumn("s", F.coalesce("s", F.lit(1.0))), "scored")
+    low = F.col("s") < threshold
+    sizes = scored.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(low, 1)).alias("n_out")).where("n_out > 0 and n > 2")
+    blocks = sizes.select("key", F.ceil(F.col("n") / BLOCK).alias("nm"), F.ceil(F.col("n_out") / BLOCK).alias("no"))
+    rows = scored.join(blocks, "key")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    sides = rows.select("key", "band", "rep", "s", F.lit(False).alias("outside"), own("nm").alias("mb"), every("no").alias("ob")).unionByName(
+        rows.where(low).select("key", "band", "rep", "s", F.lit(True).alias("outside"), every("nm").alias("mb"), own("no").alias("ob"))
     )
-    both = rows.join(outside, (F.col("key") == F.col("o_key")) & may_link)
-    return both.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b")).distinct()
+    full = sides.join(reps.select("rep", "sig"), "rep").join(texts, "rep")
+    names = ["key", "mb", "ob"]
+    dealt = full.repartition(*names).sortWithinPartitions(*names)
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, held = None, []
+        for batch in batches:
+            links = []
+            for row in batch.to_pylist():
+                at = tuple(row[n] for n in names)
+                if at != now:
+                    links += _bucket_links(held, threshold)
+                    now, held = at, []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], type=pa.int64()) for k in (0, 1)], names=["a", "b"])
+        links = _bucket_links(held, threshold)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], type=pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``(id, h1, h2, component)``, one row for each row of ``df``; the component is the least id reachable by links."""
     rows = df.select(col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    fields = "h1 long, h2 long, bands array<long>, sig array<short>"
+    fields = "h1 long, h2 long, bands array<long>, sig binary"
     profile = materialise(map_texts(rows, ["id"], ["text"], _profile, fields), "signatures")
     known = profile.where("id is not null and bands is not null")
     first = F.min_by(F.struct("bands", "sig"), "id").alias("w")
@@ -177,14 +248,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     texts = materialise(texts.dropDuplicates(["rep"]), "candidates")
     pairs = members.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     scores = materialise(_scored(pairs, texts), "scores")
-    while True:
-        joined = components(scores.where(F.col("s") >= threshold))
-        place = named.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("c"))
-        more = _offered(members, reps, scores, place, threshold).join(scores, ["a", "b"], "left_anti")
-        more = materialise(_scored(more, texts), "scores")
-        if more.where(F.col("s") >= threshold).isEmpty():
-            break
-        scores = scores.unionByName(more)
+    links = scores.where(F.col("s") >= threshold).select("a", "b").unionByName(_open_links(members, reps, scores, texts, threshold))
+    joined = components(links)
     of_class = reps.select("h1", "h2", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     found = of_class.select("h1", "h2", F.coalesce("component", "rep").alias("c"))
     alone = F.when(F.col("bands").isNull(), F.col("id")).otherwise(F.col("c"))
