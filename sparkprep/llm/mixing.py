@@ -33,7 +33,7 @@ SHARES = 1000
 #: Consecutive documents of a source that go out together.
 BLOCK = 16
 #: Documents that one task numbers.
-PART_ROWS = 100_000
+PART_ROWS = 20_000
 
 
 def _name(source: Column) -> Column:
