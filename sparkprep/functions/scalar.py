@@ -65,9 +65,9 @@ def leading_digit(c: Column, width: int | None = None) -> Column:
     return F.substring(text, 1, 1).try_cast("bigint")
 
 
-def clip(c: Column, low, high) -> Column:
-    """Clip keeping nulls (``least``/``greatest`` alone would drop them)."""
-    return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(c, F.lit(high))))
+def clip(c: Column, low, high, dtype: str = "double") -> Column:
+    """Clip keeping nulls; a value inside the limits is returned as it is, never by way of a double."""
+    return F.when(c < F.lit(low), F.lit(low).cast(dtype)).when(c > F.lit(high), F.lit(high).cast(dtype)).otherwise(c)
 
 
 def minmax_keeping_flag(c: Column, low: float, high: float, flag: float) -> Column:
@@ -93,6 +93,9 @@ def fast_guess(seconds: Column, below: float = 5.0) -> Column:
 def order_key(id_cols: list[str], seed: int) -> Column:
     """Shuffle key: an md5 text whose order is the same on every run and engine."""
     parts = [col(c).cast("string") for c in id_cols]
+    if len(parts) > 1:
+        # lengths keep ("a", "b#c") and ("a#b", "c") apart; a null is no empty text
+        parts = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("~")) for p in parts]
     return F.md5(F.concat_ws("#", *parts, F.lit(str(seed))))
 
 

@@ -103,7 +103,7 @@ def pearson_matrix(
 
     ``pairwise`` uses the rows where both are present; ``propagate`` gives no
     value to a pair with any null, as a plain matrix computation does.  A
-    constant column has no correlation (null).
+    constant column has no correlation (null); NaN counts as missing.
     """
     cols = cols or numeric_columns(df)
     if len(cols) < 2:
@@ -111,6 +111,7 @@ def pearson_matrix(
 
     def value(c: str) -> Column:
         x = col(c).cast("double")
+        x = F.when(~F.isnan(x), x)  # NaN is missing, however many columns there are
         return x if exclude_flag is None else F.when(x != F.lit(exclude_flag), x)
 
     pairs = list(combinations(cols, 2))

@@ -118,6 +118,8 @@ class LevelModel(StateModel):
             )
             df = join_levels(df.withColumn(key, level_key(c, types[c])), part, key, rows)
             exprs[c] = self.encoded(c, F.col(key), F.col(value))
+        # in the order of the input columns, however many levels each has
+        exprs = {c: exprs[c] for c in state.get("order", exprs) if c in exprs}
         if self.append_encoded:
             keep = [col(c) for c in names if c not in exprs]
             return df.select(*keep, *[e.alias(c) for c, e in exprs.items()])
@@ -149,7 +151,7 @@ class LevelFit(FitStep):
             table = cut_lineage(
                 keyed.where(F.col("variable").isin(list(large))).select("variable", "level", "n", "value")
             )
-        return {"inline": inline, "sizes": large, **(extra or {})}, table
+        return {"inline": inline, "sizes": large, "order": list(sizes), **(extra or {})}, table
 
 
 class OrdinalModel(LevelModel):

@@ -66,7 +66,10 @@ def _block_search(n_cols: int, k: int):
             x = x_all[start : start + step]
             mx, x0 = (~np.isnan(x)).astype(float), np.nan_to_num(x)
             both = mx @ my.T
-            gap = (x0 * x0) @ my.T + mx @ (y0 * y0).T - 2 * x0 @ y0.T
+            # direct differences: an expanded square loses the digits of large values
+            gap = np.zeros(both.shape)
+            for f in range(x.shape[1]):
+                gap += np.square(x0[:, f, None] - y0[None, :, f]) * (mx[:, f, None] * my[None, :, f])
             with np.errstate(divide="ignore", invalid="ignore"):
                 d2 = np.where(both > 0, n_cols / both * np.maximum(gap, 0.0), np.inf)
             for i in range(len(x)):

@@ -38,7 +38,7 @@ class ClipModel(StateModel):
         have, types = set(df.columns), dict(df.dtypes)
         return project(
             df,
-            {c: clip(col(c), lo, hi).cast(types[c]) for c, (lo, hi) in self.limits().items() if c in have},
+            {c: clip(col(c), lo, hi, types[c]) for c, (lo, hi) in self.limits().items() if c in have},
         )
 
 

@@ -34,7 +34,10 @@ def _as_cells(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> Dat
     out = cells.groupBy("variable").agg(*[fn(F.col("x")).cast(t).alias(m) for m, (fn, t) in measures.items()])
     # every column gets a row, also when the table is empty; both sides have one row per column
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
-    return names.join(F.broadcast(out), "variable", "left")
+    # what the measures give on no rows: counts are 0 there
+    none = df.sparkSession.createDataFrame([], "x double").agg(*[fn(F.col("x")).cast(t).alias(m) for m, (fn, t) in measures.items()]).first()
+    value = {m: F.col(m) if none[m] is None else F.coalesce(m, F.lit(none[m])).alias(m) for m in measures}
+    return names.join(F.broadcast(out), "variable", "left").select("variable", *value.values())
 
 
 def aggregate_long(df: DataFrame, cols: list[str], measures: dict[str, tuple]) -> DataFrame:

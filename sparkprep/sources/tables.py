@@ -22,10 +22,13 @@ def header_schema(spark: SparkSession, path: str, column_types: dict[str, str],
 
 
 def read_csv(spark: SparkSession, path: str, column_types: dict[str, str] | T.StructType, strict: bool = False) -> DataFrame:
-    """Csv with a header.  A cell that does not fit its type is null, or an error when ``strict``."""
+    """Csv with a header.  A cell that does not fit its type is null, or an error when ``strict``.
+
+    ``strict`` also compares the header of every file with the schema.
+    """
     schema = column_types if isinstance(column_types, T.StructType) else header_schema(spark, path, column_types)
     mode = "FAILFAST" if strict else "PERMISSIVE"
-    return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
+    return spark.read.schema(schema).option("header", True).option("mode", mode).option("enforceSchema", not strict).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
