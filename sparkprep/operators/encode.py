@@ -31,7 +31,7 @@ def level_key(name: str, dtype: T.DataType) -> Column:
     c = col(name)
     if is_integral(dtype):
         return c.cast("bigint").cast("string")
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
         # the grouping normalises -0.0, so does adding zero
         return (c.cast("double") + F.lit(0.0)).cast("string")
     return c.cast("string")
@@ -257,12 +257,15 @@ class BinaryModel(StateModel):
                 other = F.raise_error(text).cast("int")
             else:
                 other = F.lit(None).cast("int")
-            exprs[c] = F.when(key == first, 0).when(key == second, 1).otherwise(other)
+            is_second = key.isNull() if second is None else key == second
+            exprs[c] = F.when(key == first, 0).when(is_second, 1).otherwise(other)
         return project(df, exprs)
 
 
 class BinaryCoder(LevelFit):
-    """0/1 for columns with exactly two distinct values and no null, ordered as text.
+    """0/1 for columns with exactly two distinct values, ordered as text.
+
+    Null counts as a value and comes last: one level and null give 0 and 1.
 
     ``handleInvalid``: ``error`` stops on a value the fit table did not have,
     ``null`` maps it to null.
@@ -277,13 +280,13 @@ class BinaryCoder(LevelFit):
 
     def _fit(self, df: DataFrame) -> BinaryModel:
         levels, summary = self.level_table(df)
-        two = [c for c, s in summary.items() if s.n_unique == 2 and s.missing_count == 0]
+        two = [c for c, s in summary.items() if s.n_unique == 2]
         pairs: dict[str, list[str]] = {c: [] for c in two}
         rows = levels.where(F.col("variable").isin(two)).select("variable", lv.level_text().alias("level")).collect() if two else []
         for r in rows:
             pairs[r.variable].append(r.level)
         return BinaryModel(
-            {"pairs": {c: sorted(p) for c, p in pairs.items()}, "invalid": self.getOrDefault(self.handleInvalid)}
+            {"pairs": {c: sorted(p, key=lambda v: (v is None, v or "")) for c, p in pairs.items()}, "invalid": self.getOrDefault(self.handleInvalid)}
         )
 
 

@@ -12,8 +12,9 @@ import math
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkprep.functions.scalar import col
+from sparkprep.functions.scalar import col, number
 from sparkprep.operators.base import FitStep, keyword_only
 from sparkprep.operators.encode import LevelModel
 from sparkprep.operators.joins import join_levels
@@ -119,7 +120,18 @@ def impute_profiles(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int
 
 
 class KnnModel(LevelModel):
-    """Donor profiles in ``table(profile, x, n)`` and the column means for rows without donors."""
+    """Donor profiles in ``table(profile, x, n)`` and the column means for rows without donors.
+
+    The transform searches for the profiles of the given table, so it runs jobs
+    and needs a batch table; a stream is filled batch by batch.
+    """
+
+    row_local = False
+
+    def output_schema(self, df: DataFrame) -> T.StructType:
+        """Schema after this step, from the given schema alone."""
+        filled = set(self.getState()["cols"])
+        return T.StructType([T.StructField(f.name, T.DoubleType(), False) if f.name in filled else f for f in df.schema])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         state = self.getState()
@@ -162,7 +174,7 @@ class KnnFill(FitStep):
 
     def _fit(self, df: DataFrame) -> KnnModel:
         cols = self.present(df)
-        means = {r.variable: r.m for r in aggregate_long(df, cols, {"m": (F.avg, "double")}).collect()}
+        means = {r.variable: r.m for r in aggregate_long(df, cols, {"m": (lambda c: F.avg(number(c)), "double")}).collect()}
         state = {
             "cols": cols,
             "k": self.getOrDefault(self.k),

@@ -17,7 +17,8 @@ from sparkprep.functions.scalar import col, is_integral
 #: that one input row turns into.
 CHUNK = 64
 
-#: Level columns: exactly one is set for a level, none for the null level.
+#: Level columns: one is set for a level, none for the null level.  A decimal
+#: sets its double (which orders it) and its exact text (which tells it apart).
 LEVEL_PARTS = ("v_int", "v_dbl", "v_str")
 
 
@@ -26,8 +27,10 @@ def _parts(name: str, dtype: T.DataType) -> list[Column]:
     none = {p: F.lit(None).cast(t) for p, t in zip(LEVEL_PARTS, ("bigint", "double", "string"))}
     if is_integral(dtype):
         none["v_int"] = c.cast("bigint")
-    elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
         none["v_dbl"] = c.cast("double")
+    elif isinstance(dtype, T.DecimalType):
+        none["v_dbl"], none["v_str"] = c.cast("double"), c.cast("string")
     else:
         none["v_str"] = c.cast("string")
     return [none[p] for p in LEVEL_PARTS]

@@ -11,8 +11,8 @@ table.  Here the wanted ranks are bracketed step by step:
    (``percentile_approx``), which shrinks it whatever the distribution;
 4. the few values left are counted one by one.
 
-The answer is exact, the driver only sees bins and brackets, and every pass is
-an aggregate with map-side combine.
+The answer is exact, the driver only sees bins, brackets and one row per wanted
+rank, and every pass is an aggregate with map-side combine.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col
@@ -188,32 +188,40 @@ def select_ranks(
         wide = still
 
     if narrow:
-        # rows under an uncounted bracket fold into one null level, so the result
-        # has one row per distinct value inside the brackets
-        seen = (
-            joined(narrow)
-            .where((x <= hi) & ((x >= lo) | F.col("uncounted")))
-            .groupBy("g", "lo", "hi", F.when(x >= lo, x).alias("v"))
-            .agg(F.count(F.lit(1)).alias("c"))
-            .collect()
-        )
-        levels: dict[tuple[str, float, float], list[tuple[float, int]]] = {}
-        for row in seen:
-            key = (row.g, row.lo, row.hi)
-            if row.v is None:
-                known[key] = row.c
-            else:
-                levels.setdefault(key, []).append((row.v, row.c))
-        for key, found in levels.items():
-            open_ranks = sorted(narrow[key])
-            before = known.get(key, 0)
-            for v, c in sorted(found):
-                while open_ranks and open_ranks[0] < before + c:
-                    out[key[0]][1][open_ranks.pop(0)] = Ranked(v, before, c)
-                before += c
+        for row in _read_out(joined(narrow), narrow, known).collect():  # one row per wanted rank
+            out[row.g][1][row.r] = Ranked(row.v, row.below, row.c)
     return out
 
 
+def _read_out(rows: DataFrame, brackets: dict, known: dict) -> DataFrame:
+    """``(g, r, v, below, c)``: the value at each rank ``r`` that falls in a small bracket.
+
+    Distinct values are counted and added up per bracket in the executors; a
+    bracket is small, so is its window.  Rows under a bracket that no earlier
+    pass has counted fold into one null level, which sorts first.
+    """
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+    levels = (
+        rows.where((x <= hi) & ((x >= lo) | F.col("uncounted")))
+        .groupBy("g", "lo", "hi", F.when(x >= lo, x).alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    w = Window.partitionBy("g", "lo", "hi").orderBy(F.col("v").asc_nulls_first())
+    counted = levels.withColumn("inside", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("c"))
+    wanted = rows.sparkSession.createDataFrame(
+        [(*b, known.get(b, 0), r) for b, ranks in brackets.items() for r in ranks],
+        "g string, lo double, hi double, base bigint, r bigint",
+    )
+    below = F.col("base") + F.col("inside")
+    # as many rows as ranks were asked for: columns (or bins) times probabilities
+    return (
+        counted.where(F.col("v").isNotNull())
+        .join(F.broadcast(wanted), ["g", "lo", "hi"])
+        .where((F.col("r") >= below) & (F.col("r") < below + F.col("c")))
+        .select("g", "r", "v", below.alias("below"), "c")
+    )
+
+
 def _ranks_for(q: float, n: int, interpolation: str) -> tuple[int, int, float]:
     pos = q * (n - 1)
     if interpolation == "nearest":

@@ -6,7 +6,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.functions.scalar import cap_timing, clip, col, minmax_keeping_flag
+from sparkprep.functions.scalar import cap_timing, clip, col, minmax_keeping_flag, number
 from sparkprep.operators.base import FitStep, RowStep, StateModel, keyword_only, project
 from sparkprep.operators.quantiles import exact_quantiles
 from sparkprep.operators.stats import aggregate_long, numeric_columns
@@ -91,7 +91,7 @@ class FlagMinMaxScaler(FitStep):
     def _fit(self, df: DataFrame) -> FlagMinMaxModel:
         flag = self.getOrDefault(self.flag) if self.getOrDefault(self.keepFlag) else None
         names = self.present(df) or numeric_columns(df)
-        valid = lambda c: c if flag is None else F.when(c != F.lit(flag), c)
+        valid = lambda c: number(c) if flag is None else F.when(c != F.lit(flag), number(c))
         rows = aggregate_long(
             df,
             names,
@@ -127,6 +127,8 @@ class PopulationScaler(FitStep):
         if not names:
             return StandardModel({})
         rows = aggregate_long(
-            df, names, {"mean": (F.avg, "double"), "std": (F.stddev_pop, "double")}
+            df,
+            names,
+            {"mean": (lambda c: F.avg(number(c)), "double"), "std": (lambda c: F.stddev_pop(number(c)), "double")},
         ).collect()
         return StandardModel({r.variable: [r.mean, r.std or 1.0] for r in rows if r.mean is not None})

@@ -7,13 +7,17 @@ decides on its own which part it belongs to: no row is sorted or moved.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import KEY_DIGITS, col, key_number, order_key, right_closed_bin, right_open_bin
+from sparkprep.operators.joins import join_levels
 from sparkprep.operators.quantiles import exact_quantiles, select_ranks
+from sparkprep.session import materialise
 
 PARTS = ("test", "val", "train")
+#: Rows expected in one hash range of a class, the most that one window numbers.
+ROWS_PER_CUT = 50_000
 
 
 def key_cuts(df: DataFrame, group: Column, key: Column, ranks) -> dict[str, tuple[int, dict[int, str]]]:
@@ -168,14 +172,37 @@ def stratified_folds(df: DataFrame, target: str, id_cols: list[str], folds=5, bi
 def undersample(df: DataFrame, column: str, id_cols: list[str], seed=42) -> DataFrame:
     """Keep as many rows of every class as the smallest class has, by hash order.
 
-    Meant for a column with few classes; rows without a class are dropped.
+    Rows without a class are dropped.  There may be many classes and any of them
+    may be large: a class is cut into even ranges of the hash, whole ranges are
+    kept up to the cut and only the range the cut falls in is numbered.
     """
-    smallest = df.where(col(column).isNotNull()).groupBy(col(column)).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
+    keyed = df.where(col(column).isNotNull()).select(
+        "*", col(column).cast("string").alias("_class"), order_key(id_cols, seed).alias("_key")
+    )
+    sizes = materialise(keyed.groupBy("_class").agg(F.count(F.lit(1)).alias("n")), "classes")
+    smallest = sizes.agg(F.min("n")).first()[0]
     if smallest is None:
         return df.limit(0)
-    key = order_key(id_cols, seed)
-    keep = F.lit(True)
-    for g, (_, by_rank) in key_cuts(df, col(column), key, lambda _, n: [smallest]).items():
-        if smallest in by_rank:
-            keep = F.when(col(column).cast("string") == F.lit(g), key < F.lit(by_rank[smallest])).otherwise(keep)
-    return df.where(col(column).isNotNull() & keep)
+    sizes = sizes.withColumn("_ranges", F.ceil(F.col("n") / F.lit(ROWS_PER_CUT)))
+    place = F.floor(key_number(F.col("_key")) / F.lit(16.0**KEY_DIGITS) * F.col("_ranges"))
+    counts = (
+        join_levels(keyed.select("_class", "_key"), sizes, "_class")
+        .groupBy("_class", place.alias("_cut"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    upto = F.sum("_rows").over(Window.partitionBy("_class").orderBy("_cut"))
+    cuts = (
+        counts.select("*", (upto - F.col("_rows")).alias("_before"))
+        .where((F.col("_before") < smallest) & (F.col("_before") + F.col("_rows") >= smallest))
+        .select("_class", "_cut", (F.lit(smallest) - F.col("_before")).alias("_need"))
+        .join(sizes, "_class")
+    )
+    placed = join_levels(keyed, materialise(cuts, "cuts"), "_class").withColumn("_place", place)
+    order = Window.partitionBy("_class").orderBy("_key", *[col(c) for c in id_cols])
+    edge = (
+        placed.where(F.col("_place") == F.col("_cut"))
+        .withColumn("_rank", F.row_number().over(order))
+        .where(F.col("_rank") <= F.col("_need"))
+    )
+    names = [col(c) for c in df.columns]
+    return placed.where(F.col("_place") < F.col("_cut")).select(*names).unionByName(edge.select(*names))

@@ -80,9 +80,14 @@ def full_plan(
     leakage_prefixes=tuple(LEAKAGE_PREFIXES),
     k: int = 5,
     seed: int = 42,
+    invalid: str = "null",
 ) -> tuple[DataFrame, PipelineModel]:
-    """Prepared rows of all three parts (with ``split``) and the fitted encoders."""
+    """Prepared rows of all three parts (with ``split``) and the fitted encoders.
+
+    ``invalid`` says what a level of a binary column becomes that the training
+    part does not have: ``null``, or an ``error``.
+    """
     split, o_names, c_names = prepare_and_split(df, ordinal, categorical, id_cols, leakage_prefixes, seed=seed)
     split = materialise(split, "split")
-    model = fit_encoders(split.where(F.col("split") == "train"), o_names, c_names, k, invalid="null")
+    model = fit_encoders(split.where(F.col("split") == "train"), o_names, c_names, k, invalid=invalid)
     return model.transform(split), model

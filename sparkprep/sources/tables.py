@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.functions.scalar import col
+from sparkprep.operators.joins import ids_off
 
 
 def header_schema(spark: SparkSession, path: str, column_types: dict[str, str], default: str = "string") -> T.StructType:
@@ -76,12 +77,7 @@ def attach_target(
     named = [c for c in target_table.columns if c not in set(id_cols)]
     value = target if target in named else named[0]
     y = target_table.select(*[col(c) for c in id_cols], col(value).alias(target))
-    # one pass over the ids of both tables: how often each id occurs on each side
-    sides = features.select(*id_cols, F.lit(1).alias("_x"), F.lit(0).alias("_y")).unionByName(
-        y.select(*id_cols, F.lit(0).alias("_x"), F.lit(1).alias("_y"))
-    )
-    seen = sides.groupBy(*id_cols).agg(F.sum("_x").alias("_x"), F.sum("_y").alias("_y"))
-    bad = seen.agg(F.count_if((F.col("_x") != F.col("_y")) | (F.col("_x") != 1)).alias("n")).first().n
+    bad = ids_off(features, y, id_cols)
     if bad:
         raise ValueError(f"features and target do not match one to one: {bad} ids differ")
     return features.join(y, id_cols, "inner")

@@ -1,13 +1,16 @@
 """Results that must not depend on the number of columns or levels, or on large values."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import order_key
+from sparkprep.operators import joins, quantiles, split, stats
 from sparkprep.operators.assoc import pearson_matrix
-from sparkprep.operators.encode import FrequencyCoder
-from sparkprep.operators.knn import _block_search
-from sparkprep.operators.scale import ClipModel
+from sparkprep.operators.encode import BinaryCoder, FrequencyCoder
+from sparkprep.operators.knn import KnnFill, _block_search
+from sparkprep.operators.scale import ClipModel, FlagMinMaxScaler, PopulationScaler
 from sparkprep.operators.stats import describe
+from sparkprep.streaming.apply import write_transformed
 
 
 def test_nan_is_missing_for_few_and_many_columns(spark):
@@ -50,3 +53,95 @@ def test_neighbours_of_large_values():
 def test_keys_of_several_columns_do_not_collide(spark):
     df = spark.createDataFrame([("a", "b#c"), ("a#b", "c"), (None, "x"), ("", "x"), ("x", None)], "p string, q string")
     assert df.select(order_key(["p", "q"], 1).alias("k")).distinct().count() == 5
+
+
+def test_read_out_returns_one_row_per_rank(spark, monkeypatch):
+    """The driver sees bins and ranks, not the values inside the brackets."""
+    names = [f"c{i}" for i in range(10)]
+    df = spark.range(60_000).select(*[F.rand(i).alias(n) for i, n in enumerate(names)])
+    probs = [i / 10 for i in range(1, 10)]
+    kind, seen = type(df), []
+    collect = kind.collect
+
+    def counted(self):
+        rows = collect(self)
+        seen.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", counted)
+    got = quantiles.exact_quantiles(df, names, probs)
+    monkeypatch.undo()
+    assert sum(seen) <= len(names) * (quantiles.BINS + 2 * len(probs) + 1)
+    want = df.select(*[F.percentile(n, probs).alias(n) for n in names]).first()
+    for n in names:
+        assert max(abs(a - b) for a, b in zip(got[n], want[n])) < 1e-12
+
+
+def test_undersampling_with_very_many_classes(spark):
+    df = spark.range(30_000).select("id", (F.col("id") % 5000).alias("c")).where("id < 25000 or c = 7")
+    out = split.undersample(df, "c", ["id"])
+    sizes = out.groupBy("c").count()
+    assert sizes.count() == 5000 and {r["count"] for r in sizes.collect()} == {5}
+
+
+def test_undersampling_cuts_a_large_class_in_ranges(spark, monkeypatch):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 40 == 0, "b").otherwise("a").alias("c"))
+    whole = sorted(r.id for r in split.undersample(df, "c", ["id"]).collect())
+    monkeypatch.setattr(split, "ROWS_PER_CUT", 50)
+    assert sorted(r.id for r in split.undersample(df, "c", ["id"]).collect()) == whole and len(whole) == 200
+
+
+def test_distinct_decimals_stay_apart(spark):
+    big = "12345678901234567890123456789012345678"
+    df = spark.sql(f"SELECT CAST(v AS decimal(38,0)) AS d FROM VALUES ({big}), ({big[:-1]}9), ({big}), (NULL) AS t(v)")
+    assert stats.n_unique(df).first().n_unique == 3
+    out = FrequencyCoder(inputCols=["d"]).fit(df).transform(df)
+    assert out.select("d").distinct().count() >= 2
+
+
+def test_one_level_and_null_is_binary(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None), (3, "x")], "id int, c string")
+    out = BinaryCoder(inputCols=["c"]).fit(df).transform(df)
+    assert [r.c for r in out.orderBy("id").collect()] == [0, 1, 0]
+
+
+def test_fits_leave_nan_out(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),)], "x double")
+    assert PopulationScaler(inputCols=["x"]).fit(df).getState() == {"x": [2.0, 1.0]}
+    assert FlagMinMaxScaler(inputCols=["x"]).fit(df).getState()["range"] == {"x": [1.0, 3.0]}
+
+
+def test_side_by_side_tables_must_match(spark):
+    a = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    b = spark.createDataFrame([(1, "c")], "id int, q string")
+    with pytest.raises(ValueError, match="1 ids differ"):
+        joins.join_on_id(a, b, ["id"])
+    assert joins.join_on_id(a.where("id = 1"), b, ["id"]).count() == 1
+
+
+def test_lookup_of_long_rows_is_not_broadcast(spark, monkeypatch):
+    lookup = spark.range(50).select("id", F.lit(1).alias("n"), F.repeat(F.lit("x"), 1000).alias("v"))
+    df = spark.range(60)
+    assert joins.is_small(lookup)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10_000)
+    assert not joins.is_small(lookup)
+    out = joins.join_levels(df, lookup, "id")
+    assert out.count() == 60 and out.where("v is null").count() == 10
+
+
+def test_stream_with_a_large_lookup_and_a_neighbour_model(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.1), (3, 5.0, 9.0), (4, 1.2, None)], "id int, a double, b double")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    model = KnnFill(inputCols=["a", "b"], k=1).fit(df)
+    assert model.output_schema(df) == model.transform(df).schema
+    write_transformed(model, stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    assert sorted(got.collect()) == sorted(model.transform(df).select(got.columns).collect())
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    lookup = spark.createDataFrame([(1.0, 3, "x"), (5.0, 1, "y")], "a double, n bigint, v string")
+    query = joins.join_levels(stream, lookup, "a").writeStream.format("parquet").outputMode("append")
+    query = query.option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True)
+    query.start(str(tmp_path / "out2")).awaitTermination()
+    assert {r.id: r.v for r in spark.read.parquet(str(tmp_path / "out2")).collect()} == {1: "x", 2: None, 3: "y", 4: None}
