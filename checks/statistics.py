@@ -251,11 +251,10 @@ def _(s: Source):
 @query(
     "dtype_counts",
     with_survey(
-        "SELECT dtype, count(*) AS n_columns FROM (UNPIVOT (SELECT "
-        + ", ".join(
-            f"CASE typeof({c}) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof({c})) END AS {c}" for c in SURVEY_COLUMNS
-        )
-        + " FROM survey ORDER BY num_sparse LIMIT 1) ON COLUMNS(*) INTO NAME variable VALUE dtype) GROUP BY dtype"
+        "SELECT CASE t WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(t) END AS dtype, "
+        "count(*) AS n_columns, CAST(sum(n) AS BIGINT) AS n_values FROM ("
+        + union_all("SELECT typeof(max({c})) AS t, count({c}) AS n FROM survey", SURVEY_COLUMNS)
+        + ") GROUP BY 1"
     ),
 )
 def _(s: Source):

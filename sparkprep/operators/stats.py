@@ -211,12 +211,14 @@ def compare_histograms(before: DataFrame, after: DataFrame, cols: list[str], bin
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:
-    """How many columns have each type (read from the schema, no job)."""
-    counts: dict[str, int] = {}
-    for _, t in df.dtypes:
-        counts[t] = counts.get(t, 0) + 1
-    rows = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
-    return df.sparkSession.createDataFrame(rows, "dtype string, n_columns bigint")
+    """How many columns have each type, and how many values (no nulls) they hold."""
+    names = df.sparkSession.createDataFrame(df.dtypes, "variable string, dtype string")
+    return (
+        # both sides have one row per column
+        null_counts(df).join(F.broadcast(names), "variable")
+        .groupBy("dtype")
+        .agg(F.count(F.lit(1)).alias("n_columns"), F.sum(F.col("n_rows") - F.col("missing_count")).alias("n_values"))
+    )
 
 
 def columns_with_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -106,12 +106,12 @@ def test_stage2_report_and_audit(spark):
     model = preprocessors.Stage2(ordinal, categorical).fit(df)
     out = model.transform(df)
     assert out.columns == ["CNTSTUID", "LANGTEST_COG", "AGE", "math_q1_total_timing", "Score_Support_Parental", "OCOD1_grouped"]
-    result = validate.validate_preparation(df, out, "AGE", ["CNTSTUID"])
-    assert result["stats"]["missing_values"] == 0 and not result["validation_passed"]  # AGE was filled
-    assert result["stats"]["target_changed_rows"] == 6
-    report = validate.preparation_report(df, out, model.ordinal, model.categorical)
-    assert report["preprocessing_summary"]["n_samples"] == 60
-    assert report["feature_changes"]["features_added"] == ["OCOD1_grouped", "Score_Support_Parental"]
+    result = validate.report_values(validate.validate_preparation(df, out, "AGE", ["CNTSTUID"]))
+    assert result["stats", "missing_values"] == "0" and result["result", "validation_passed"] == "false"  # AGE was filled
+    assert result["stats", "target_changed_rows"] == "6" and result["errors", "target_unchanged"] == "target AGE was changed"
+    report = validate.report_values(validate.preparation_report(df, out, model.ordinal, model.categorical))
+    assert report["preprocessing_summary", "n_samples"] == "60"
+    assert report["feature_changes", "features_added"] == "OCOD1_grouped, Score_Support_Parental"
     path = scratch_path(spark, "stage2")
     model.save(path)
     again = preprocessors.Stage2Model.load(path).transform(df)
@@ -124,10 +124,14 @@ def test_stage2_report_and_audit(spark):
 def test_validation_finds_both_faults(table):
     before = table("id int, y double, x int", (1, 1.0, 1), (2, None, 2), (3, 3.0, 3))
     after = table("id int, y double, x int", (1, 1.0, 1), (2, None, None), (3, 4.0, 3))
-    r = validate.validate_preparation(before, after, "y", ["id"])
-    assert len(r["errors"]) == 2 and not r["validation_passed"] and r["stats"]["target_changed_rows"] == 1
-    same = validate.validate_preparation(before, before.drop("x"), "y", ["id"])
-    assert same["stats"]["target_unchanged"] and same["checks"]["fewer_columns"]
+    r = validate.report_values(validate.validate_preparation(before, after, "y", ["id"]))
+    assert sum(section == "errors" for section, _ in r) == 2 and r["stats", "target_changed_rows"] == "1"
+    assert r["result", "validation_passed"] == "false"
+    same = validate.report_values(validate.validate_preparation(before, before.drop("x"), "y", ["id"]))
+    assert same["stats", "target_unchanged"] == "true" and same["checks", "fewer_columns"] == "true"
+    assert ("warnings", "all_numeric") not in same
+    no_target = validate.report_values(validate.validate_preparation(before, before.drop("y"), "y", ["id"]))
+    assert ("stats", "target_changed_rows") not in no_target
     assert validate.changed_rows(before, before.where("id < 3"), "y", ["id"]) == 1
 
 
