@@ -2,7 +2,10 @@
 
 Rows with equal values in the imputed columns are one profile, counted once, so
 the distance work depends on the number of distinct profiles and not on the
-number of rows.  The search is exact: no donor is left out.
+number of rows.  The search is exact: profiles are cut into blocks by ranges of
+their values, each block of receivers meets its nearest block of donors first,
+and a further block of donors is passed over only if its bounding box is farther
+away than the neighbours found by then.
 """
 
 from __future__ import annotations
@@ -25,6 +28,11 @@ from sparkprep.session import cut_lineage, materialise
 #: receivers with one block of donors.
 DONOR_BLOCK = 20_000
 RECEIVER_BLOCK = 2_000
+#: Columns that order the blocks.
+LEAD = 4
+#: Each block of receivers meets its nearest block of donors, then the next few, then the rest;
+#: after each round the blocks beyond the neighbours found are passed over.
+ROUNDS = (0, 1, 8)
 #: Cells of one distance matrix in a task.
 MATRIX_CELLS = 2_000_000
 
@@ -48,7 +56,7 @@ def _block_search(n_cols: int, k: int):
     import numpy as np
     import pandas as pd
 
-    columns = ["profile", "feature", "d2", "donor", "value", "n"]
+    columns = ["rb", "profile", "feature", "d2", "donor", "value", "n"]
 
     def matrix(values):
         return np.array([[np.nan if v is None else v for v in row] for row in values], dtype=float)
@@ -62,6 +70,7 @@ def _block_search(n_cols: int, k: int):
         y, tidy, counts = y[order], tidy[order], donors["n"].to_numpy()[order]
         my, y0 = (~np.isnan(y)).astype(float), np.nan_to_num(y)
         x_all, names = matrix(receivers["x"]), receivers["profile"].to_numpy()
+        block = int(receivers["rb"].iloc[0]) if "rb" in receivers else 0
         step, out = max(1, MATRIX_CELLS // len(y)), []
         for start in range(0, len(x_all), step):
             x = x_all[start : start + step]
@@ -77,10 +86,13 @@ def _block_search(n_cols: int, k: int):
                 for f in np.flatnonzero(mx[i] == 0):
                     usable = np.flatnonzero((my[:, f] > 0) & np.isfinite(d2[i]))
                     # donors are sorted and the sort is stable: ties go to the smaller one
+                    if len(usable) > k:
+                        # all that are as near as the k-th, then in order
+                        usable = usable[d2[i, usable] <= np.partition(d2[i, usable], k - 1)[k - 1]]
                     near = usable[np.argsort(d2[i, usable], kind="stable")[:k]]
                     need = int(np.searchsorted(np.cumsum(counts[near]), k)) + 1
                     out += [
-                        (names[start + i], int(f), float(d2[i, j]), tidy[j].tolist(), float(y[j, f]), int(counts[j]))
+                        (block, names[start + i], int(f), float(d2[i, j]), tidy[j].tolist(), float(y[j, f]), int(counts[j]))
                         for j in near[:need]
                     ]
         return pd.DataFrame(out, columns=columns)
@@ -88,26 +100,95 @@ def _block_search(n_cols: int, k: int):
     return search
 
 
-def impute_profiles(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int) -> DataFrame:
+def _dealt(profiles: DataFrame, n_cols: int, size: int, lead: list[int], name: str) -> tuple[DataFrame, int]:
+    """Profiles with the number of their block, and how many blocks there are.
+
+    A block is a range of (missing pattern, leading columns): profiles are
+    distinct, so no range can be hot.
+    """
+    blocks = max(1, math.ceil(profiles.count() / size))
+    if blocks == 1:
+        return profiles.withColumn("block", F.lit(0)), 1
+    pattern = F.transform("x", lambda v: v.isNull())
+    spread = profiles.repartitionByRange(blocks, pattern, *[F.col("x")[i] for i in lead], "profile")
+    return materialise(spread.withColumn("block", F.spark_partition_id()), name), blocks
+
+
+def _boxes(dealt: DataFrame, n_cols: int, prefix: str) -> DataFrame:
+    """Per block and column: least and greatest value, whether all rows have one, how many table rows do."""
+    each = lambda f: F.array(*[f(F.col("x")[i]) for i in range(n_cols)])
+    return dealt.groupBy(F.col("block").alias(f"{prefix}b")).agg(
+        each(F.min).alias(f"{prefix}_lo"),
+        each(F.max).alias(f"{prefix}_hi"),
+        each(lambda v: F.count(v) == F.count(F.lit(1))).alias(f"{prefix}_all"),
+        each(lambda v: F.sum(F.when(v.isNotNull(), F.col("n")).otherwise(0))).alias(f"{prefix}_n"),
+        F.sum(F.size(F.filter("x", lambda v: v.isNull()))).alias(f"{prefix}_open"),
+    )
+
+
+def _block_pairs(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int, d_blocks: int) -> DataFrame:
+    """``(rb, db, bound, open, place)``: block pairs with a lower bound of the squared distance, nearest first.
+
+    Only columns that all rows of both blocks have count for the bound; scaling
+    up to all columns can only make a distance larger.  Blocks without enough
+    values of some column come after the others.
+    """
+    left = _boxes(receivers, n_cols, "r").withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(d_blocks - 1))))
+    both = left.join(_boxes(donors, n_cols, "d"), "db")
+
+    def gap(i: Column) -> Column:
+        far = F.greatest(F.col("r_lo")[i] - F.col("d_hi")[i], F.col("d_lo")[i] - F.col("r_hi")[i], F.lit(0.0))
+        return F.when(F.col("r_all")[i] & F.col("d_all")[i], far * far).otherwise(F.lit(0.0))
+
+    bound = F.aggregate(F.sequence(F.lit(0), F.lit(n_cols - 1)), F.lit(0.0), lambda s, i: s + gap(i))
+    scarce = F.exists("d_n", lambda n: n < k)
+    near = Window.partitionBy("rb").orderBy(scarce, "bound", "db")
+    return both.withColumn("bound", bound).select(
+        "rb", "db", "bound", F.col("r_open").alias("open"), F.row_number().over(near).alias("place")
+    )
+
+
+def _search_pairs(receivers: DataFrame, donors: DataFrame, pairs: DataFrame, n_cols: int, k: int) -> DataFrame:
+    """At most ``k`` candidates per block pair, profile and missing column."""
+    left = receivers.select(F.col("block").alias("rb"), "profile", "x").join(pairs.select("rb", "db"), "rb")
+    right = donors.select(F.col("block").alias("db"), "x", "n").join(pairs.select("rb", "db"), "db")
+    schema = "rb int, profile string, feature int, d2 double, donor array<double>, value double, n bigint"
+    return left.groupBy("rb", "db").cogroup(right.groupBy("rb", "db")).applyInPandas(_block_search(n_cols, k), schema)
+
+
+def _reach(found: DataFrame, k: int) -> DataFrame:
+    """Per receiver block: how many missing cells have ``k`` candidates, and the greatest ``k``-th distance of these."""
+    w = Window.partitionBy("rb", "profile", "feature").orderBy("d2").rowsBetween(Window.unboundedPreceding, 0)
+    kth = F.min(F.when(F.col("upto") >= k, F.col("d2"))).alias("kth")
+    cells = found.withColumn("upto", F.sum("n").over(w)).groupBy("rb", "profile", "feature").agg(kth)
+    return cells.groupBy("rb").agg(F.count("kth").alias("closed"), F.max("kth").alias("reach"))
+
+
+def impute_profiles(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int, lead: list[int] | None = None) -> DataFrame:
     """``(profile, feature, value)``: mean of the ``k`` nearest donor rows per missing feature.
 
     The squared distance over the shared columns is scaled up to all columns;
-    ties go to the smaller donor profile.  Both sides are cut into hash blocks;
-    each block pair yields at most ``k`` candidates per receiver and feature,
-    and the candidates of all blocks are merged.
+    ties go to the smaller donor profile.  ``lead`` are the columns that order
+    the blocks, best those with the widest values; they don't change the result.
     """
-    r_blocks = max(1, math.ceil(receivers.count() / RECEIVER_BLOCK))
-    d_blocks = max(1, math.ceil(donors.count() / DONOR_BLOCK))
-    block = lambda n: F.pmod(F.xxhash64("profile"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = receivers.select("profile", "x", block(r_blocks).alias("rb"), every(d_blocks).alias("db"))
-    right = donors.select("x", "n", block(d_blocks).alias("db"), every(r_blocks).alias("rb"))
-    schema = "profile string, feature int, d2 double, donor array<double>, value double, n bigint"
-    found = (
-        left.groupBy("rb", "db")
-        .cogroup(right.groupBy("rb", "db"))
-        .applyInPandas(_block_search(n_cols, k), schema)
-    )
+    lead = list(range(min(n_cols, LEAD))) if lead is None else lead
+    left, _ = _dealt(receivers, n_cols, RECEIVER_BLOCK, lead, "receivers")
+    right, d_blocks = _dealt(donors, n_cols, DONOR_BLOCK, lead, "donor_blocks")
+    if d_blocks == 1:
+        pairs = left.select(F.col("block").alias("rb"), F.lit(0).alias("db")).distinct()
+        found = _search_pairs(left, right, pairs, n_cols, k)
+    else:
+        pairs = materialise(_block_pairs(left, right, n_cols, k, d_blocks), "block_pairs")
+        found = None
+        for after, upto in zip(ROUNDS, [*ROUNDS[1:], None]):
+            nearer = pairs.where(F.col("place") > after)
+            nearer = nearer if upto is None else nearer.where(F.col("place") <= upto)
+            if found is not None:
+                nearer = nearer.join(_reach(found, k), "rb", "left").where(
+                    F.col("closed").isNull() | (F.col("closed") < F.col("open")) | (F.col("bound") <= F.col("reach") * (1 + 1e-9))
+                )
+            more = materialise(_search_pairs(left, right, nearer, n_cols, k), "candidates")
+            found = more if found is None else found.unionByName(more)
     # at most k candidates per donor block, profile and feature
     w = Window.partitionBy("profile", "feature").orderBy("d2", "donor")
     before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -142,7 +223,7 @@ class KnnModel(LevelModel):
         for c in cols:
             incomplete = incomplete | col(c).isNull()
         seen = cut_lineage(_profiles(df.where(incomplete), cols))
-        values = impute_profiles(seen, self.table, len(cols), k)
+        values = impute_profiles(seen, self.table, len(cols), k, state.get("lead"))
         wide = values.groupBy("profile").agg(
             *[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(f"_v{i}") for i in range(len(cols))]
         )
@@ -174,10 +255,14 @@ class KnnFill(FitStep):
 
     def _fit(self, df: DataFrame) -> KnnModel:
         cols = self.present(df)
-        means = {r.variable: r.m for r in aggregate_long(df, cols, {"m": (lambda c: F.avg(number(c)), "double")}).collect()}
+        measures = {"m": (lambda c: F.avg(number(c)), "double"), "s": (lambda c: F.stddev_pop(number(c)), "double")}
+        found = {r.variable: r for r in aggregate_long(df, cols, measures).collect()} if cols else {}
+        means = {c: found[c].m for c in cols}
+        wide = sorted(range(len(cols)), key=lambda i: -(found[cols[i]].s or 0.0))
         state = {
             "cols": cols,
             "k": self.getOrDefault(self.k),
+            "lead": wide[:LEAD],
             "means": {c: 0.0 if means[c] is None else means[c] for c in cols},
             "inline": {},
             "sizes": {"profiles": 1},

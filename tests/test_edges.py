@@ -1,10 +1,11 @@
 """Results that must not depend on the number of columns or levels, or on large values."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import order_key
-from sparkprep.operators import joins, quantiles, split, stats
+from sparkprep.operators import joins, knn, quantiles, split, stats
 from sparkprep.operators.assoc import pearson_matrix
 from sparkprep.operators.encode import BinaryCoder, FrequencyCoder
 from sparkprep.operators.knn import KnnFill, _block_search
@@ -145,3 +146,20 @@ def test_stream_with_a_large_lookup_and_a_neighbour_model(spark, tmp_path, monke
     query = query.option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True)
     query.start(str(tmp_path / "out2")).awaitTermination()
     assert {r.id: r.v for r in spark.read.parquet(str(tmp_path / "out2")).collect()} == {1: "x", 2: None, 3: "y", 4: None}
+
+
+def test_pruned_neighbours_equal_the_whole_search(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 40, 800) * 1000.0
+    x = np.stack([centre + rng.integers(0, 30, 800), centre / 7 + rng.integers(0, 30, 800), rng.integers(0, 5, 800)], 1)
+    rows = [[None if f and i % 9 == f + 3 else float(v) for f, v in enumerate(row)] for i, row in enumerate(x)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, a double, b double, c double")
+    fill = KnnFill(inputCols=["a", "b", "c"], k=3).fit(df)
+    whole = sorted(fill.transform(df).collect())
+    used, search = [], knn._search_pairs
+    monkeypatch.setattr(knn, "_search_pairs", lambda left, right, pairs, *more: used.append(pairs.count()) or search(left, right, pairs, *more))
+    monkeypatch.setattr(knn, "DONOR_BLOCK", 25)
+    monkeypatch.setattr(knn, "RECEIVER_BLOCK", 20)
+    assert sorted(fill.transform(df).collect()) == whole
+    n_profiles = df.distinct().count()
+    assert len(used) == 3 and sum(used) < 0.5 * (n_profiles / 25) * (sum(None in r for r in rows) / 20)
