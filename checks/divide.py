@@ -199,3 +199,78 @@ def _(s: Source):
     table = sel.training_table(df, names, "target", ["id"], 2, 42)
     model = sel.forest(10, 5, 42).fit(sel.assembled(table, names))
     return sel.permutation_importance(df, model, names, "target", ["id"])
+
+
+# --- forests on planted signal: ranks and exact zeros follow from the data ----
+
+#: ``country_id`` alone makes the target; ``flat`` is constant; ``cat_bin`` splits in two.
+_PLANTED = (
+    "planted AS (SELECT id, CAST(10 * country_id AS DOUBLE) AS y, country_id, coalesce(num_low_missing, 0) AS num, 1 AS flat, "
+    "cat_bin, coalesce(cat_low, '') AS cat_low, meta_const, CASE WHEN cat_bin = 'O' THEN 1 ELSE 0 END AS half, "
+    "CASE WHEN cat_bin = 'O' THEN 100.0 ELSE 0.0 END AS step FROM {survey}) "
+)
+
+
+def _planted(s: Source):
+    return s.spark.sql("WITH " + _PLANTED + "SELECT * FROM planted", survey=s.survey)
+
+
+def _planted_sql(body: str) -> str:
+    return with_survey("WITH " + _PLANTED.format(survey="survey") + body)
+
+
+@query(
+    "rf_grid_planted",
+    _planted_sql(
+        ", rest AS (SELECT avg((step - m) * (step - m)) AS mse FROM (SELECT step, avg(step) OVER (PARTITION BY half) AS m FROM planted)) "
+        "SELECT CAST(t AS INT) AS n_estimators, CAST(d AS INT) AS max_depth, mse, t = 5 AND d = 1 AS best FROM rest, (VALUES (5), (10)) AS a(t), (VALUES (1), (3)) AS b(d)"
+    ),
+)
+def _(s: Source):
+    out = sel.forest_grid(_planted(s), ["half"], "step", ["id"], trees=[5, 10], depths=[1, 3])
+    return out.withColumn("mse", F.round("mse", 6))
+
+
+_BY_CORR = ", ".join(f"CASE WHEN var_pop({c}) > 0 THEN pow(corr({c}, y), 2) ELSE 0.0 END AS {c}" for c in ("country_id", "num", "flat"))
+
+
+@query(
+    "rfe_rank_planted",
+    _planted_sql(
+        f", r AS (SELECT {_BY_CORR} FROM planted) SELECT variable, CAST(row_number() OVER (ORDER BY r DESC, variable) AS INT) AS rank "
+        "FROM (UNPIVOT r ON country_id, num, flat INTO NAME variable VALUE r)"
+    ),
+)
+def _(s: Source):
+    return sel.eliminate(_planted(s), ["country_id", "num", "flat"], "y", ["id"], n_features=1, trees=10, depth=5).select("variable", "rank")
+
+
+_BETWEEN = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS variable, (SELECT sum(n * (m - a) * (m - a)) FROM (SELECT count(*) AS n, avg(step) AS m FROM planted GROUP BY {c}), (SELECT avg(step) AS a FROM planted)) AS between"
+    for c in ("cat_bin", "cat_low", "meta_const")
+)
+
+
+@query(
+    "forest_importance_planted",
+    _planted_sql(
+        f", b AS ({_BETWEEN}) SELECT variable, CAST(row_number() OVER (ORDER BY round(between, 6) DESC, variable) AS INT) AS rank FROM b"
+    ),
+)
+def _(s: Source):
+    found = sel.forest_importance(_planted(s), ["cat_bin", "cat_low", "meta_const"], "step", ["id"])
+    return sel.ranked(found, "importance", 3).select("variable", "rank")
+
+
+@query(
+    "permutation_planted",
+    _planted_sql(
+        "SELECT 'country_id' AS variable, CAST(var_pop(country_id) > 0 AS INT) AS sign FROM planted "
+        "UNION ALL SELECT 'flat', CAST(var_pop(flat) > 0 AS INT) FROM planted"
+    ),
+)
+def _(s: Source):
+    df, names = _planted(s), ["country_id", "flat"]
+    model = sel.forest(10, 5, 42).fit(sel.assembled(sel.training_table(df, names, "y", ["id"], 2, 42), names))
+    found = sel.permutation_importance(df, model, names, "y", ["id"])
+    return found.select("variable", F.signum("importance").cast("int").alias("sign"))

@@ -152,6 +152,10 @@ def _search_pairs(receivers: DataFrame, donors: DataFrame, pairs: DataFrame, n_c
     """At most ``k`` candidates per block pair, profile and missing column."""
     left = receivers.select(F.col("block").alias("rb"), "profile", "x").join(pairs.select("rb", "db"), "rb")
     right = donors.select(F.col("block").alias("db"), "x", "n").join(pairs.select("rb", "db"), "db")
+    return _search(left, right, n_cols, k)
+
+
+def _search(left: DataFrame, right: DataFrame, n_cols: int, k: int) -> DataFrame:
     schema = "rb int, profile string, feature int, d2 double, donor array<double>, value double, n bigint"
     return left.groupBy("rb", "db").cogroup(right.groupBy("rb", "db")).applyInPandas(_block_search(n_cols, k), schema)
 
@@ -172,11 +176,13 @@ def impute_profiles(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int
     the blocks, best those with the widest values; they don't change the result.
     """
     lead = list(range(min(n_cols, LEAD))) if lead is None else lead
-    left, _ = _dealt(receivers, n_cols, RECEIVER_BLOCK, lead, "receivers")
+    left, r_blocks = _dealt(receivers, n_cols, RECEIVER_BLOCK, lead, "receivers")
     right, d_blocks = _dealt(donors, n_cols, DONOR_BLOCK, lead, "donor_blocks")
     if d_blocks == 1:
-        pairs = left.select(F.col("block").alias("rb"), F.lit(0).alias("db")).distinct()
-        found = _search_pairs(left, right, pairs, n_cols, k)
+        # the one block of donors meets every block of receivers
+        meets = F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))).alias("rb")
+        rows = left.select(F.col("block").alias("rb"), F.lit(0).alias("db"), "profile", "x")
+        found = _search(rows, right.select(meets, F.col("block").alias("db"), "x", "n"), n_cols, k)
     else:
         pairs = materialise(_block_pairs(left, right, n_cols, k, d_blocks), "block_pairs")
         found = None
