@@ -267,7 +267,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class: the rows of the least id; a row that repeats its id and text goes too."""
+    """One document of each class: the rows of the least id.  Rows that repeat an id stay or go together."""
     found = classes(df, id_col, text_col, threshold).where("id is not null and id <> component")
     gone = found.select(F.col("id").alias("__id")).distinct()
     kept = df.join(gone, col(id_col).cast("long") == F.col("__id"), "left_anti")
