@@ -88,7 +88,8 @@ _DUP_PAIRS = [("ord_a", "ord_a_duplicated_0"), ("num_low_missing", "num_low_miss
     "spearman_dup",
     with_survey(
         "\nUNION ALL\n".join(
-            f"SELECT var_a, var_b, n, round(r, 6) AS r, (SELECT count(*) FROM {_DUP} WHERE {a} = {b}) AS n_identical, abs(r) > 0.95 AS redundant "
+            f"SELECT var_a, var_b, n, round(r, 6) AS r, (SELECT count(*) FROM {_DUP} WHERE {a} = {b}) AS n_identical, abs(r) > 0.95 AS redundant, "
+            "abs(r) * sqrt((n - 2) / greatest(1 - r * r, 1e-12)) > 1.96 AS significant "
             f"FROM ({_spearman(a, b, _DUP)})"
             for a, b in _DUP_PAIRS
         )
@@ -98,7 +99,8 @@ def _(s: Source):
     copy = F.when(F.col("id") % 25 != 0, F.col("ord_a")).otherwise(6 - F.col("ord_a"))
     df = s.survey.withColumns({"ord_a_duplicated_0": copy, "num_low_missing_duplicated_0": -F.col("num_low_missing")})
     pairs = assoc.duplicate_candidates(df.columns)
-    return _r6(assoc.duplicate_report(df, pairs).drop("p_value"), "r")
+    found = assoc.duplicate_report(df, pairs).withColumn("significant", F.col("p_value") < 0.05)
+    return _r6(found.drop("p_value"), "r")
 
 
 _SP = ["ord_a", "ord_b", "country_id", "rank_a", "half_a"]

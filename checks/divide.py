@@ -195,7 +195,7 @@ def _(s: Source):
 @query("permutation_importance")
 def _(s: Source):
     df = _complete(s)
-    names = FEATURES[:4] + ["num_sparse"]
+    names = FEATURES
     table = sel.training_table(df, names, "target", ["id"], 2, 42)
     model = sel.forest(10, 5, 42).fit(sel.assembled(table, names))
     return sel.permutation_importance(df, model, names, "target", ["id"])

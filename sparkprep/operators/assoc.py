@@ -12,7 +12,7 @@ from sparkprep.functions.scalar import col, lenient_double
 from sparkprep.operators.joins import join_levels
 from sparkprep.operators.ranking import running_totals
 from sparkprep.operators.stats import aggregate_long, missing_matrix, missing_table, n_unique, null_rates, numeric_columns
-from sparkprep.session import cut_lineage
+from sparkprep.session import materialise
 
 #: Up to this many pairs are computed as JVM aggregates; wider tables use
 #: per-partition moment matrices.
@@ -162,11 +162,11 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """
     types = {f.name: f.dataType for f in df.schema}
     # adding zero merges -0.0 with 0.0, as grouping does
-    cells = cut_lineage(_cells(df, pairs, lambda c: lenient_double(col(c), types[c]) + F.lit(0.0)))
+    cells = materialise(_cells(df, pairs, lambda c: lenient_double(col(c), types[c]) + F.lit(0.0)), "cells")
 
     def ranked(side: str) -> tuple[DataFrame, int]:
         # shape of a level table: the pair is the variable, the weight is the row count
-        levels = cut_lineage(
+        levels = materialise(
             cells.groupBy("pair", side)
             .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"))
             .select(
@@ -177,7 +177,8 @@ def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
                 F.lit(None).cast("string").alias("v_str"),
                 "n",
                 "cells",
-            )
+            ),
+            "levels",
         )
         rows = levels.count()
         ranks = running_totals(levels, rows).select(
@@ -298,11 +299,11 @@ def cramers_v(df: DataFrame, pairs: list[tuple[str, str]], yates: bool = True) -
     Rows with a null are left out.  A 2x2 table gets the Yates correction unless
     switched off; a side with one level gives 0.
     """
-    cells = cut_lineage(_cells(df, pairs, lambda c: col(c).cast("string")))
+    cells = materialise(_cells(df, pairs, lambda c: col(c).cast("string")), "cells")
 
     def margin(side: str) -> DataFrame:
-        return cut_lineage(
-            cells.groupBy("pair", side).agg(F.sum("n").alias(f"m{side}"), F.count(F.lit(1)).alias("n"))
+        return materialise(
+            cells.groupBy("pair", side).agg(F.sum("n").alias(f"m{side}"), F.count(F.lit(1)).alias("n")), "margin"
         )
 
     mx, my = margin("x"), margin("y")

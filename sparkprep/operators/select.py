@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sparkprep.functions.scalar import col, right_open_bin
 from sparkprep.operators.encode import OrdinalCoder
 from sparkprep.operators.quantiles import exact_quantiles
-from sparkprep.operators.shuffle import permuted_column
+from sparkprep.operators.shuffle import with_partner
 from sparkprep.operators.split import fold_number
 from sparkprep.session import materialise
 
@@ -201,17 +201,19 @@ def merge_features(sets: DataFrame, n_features: int) -> DataFrame:
 def permutation_importance(df: DataFrame, model, features: list[str], target: str, id_cols: list[str], seed=42) -> DataFrame:
     """Increase of the squared error when one feature is permuted among the rows.
 
-    ``model`` is a fitted forest on an assembled ``_features`` column.  The
-    permutation pairs two hash orders of the rows through exact positions, one
-    feature at a time, so that all predictions stay distributed.
+    ``model`` is a fitted forest on an assembled ``_features`` column.  One
+    shuffle in hash order gives every row the features of another row; the table
+    is stored once, and each feature is exchanged in a projection of its own.
     """
     evaluator = RegressionEvaluator(labelCol="_label", metricName="mse")
-    table = materialise(
-        df.select(*[col(c) for c in id_cols], *[col(c).cast("double").alias(c) for c in features if c not in id_cols],
-                  col(target).cast("double").alias("_label")),
-        "permutation",
+    rows = df.select(
+        *[col(c) for c in id_cols],
+        *[col(c).cast("double").alias(c) for c in features if c not in id_cols],
+        col(target).cast("double").alias("_label"),
     )
-    scored = lambda t: model.transform(VectorAssembler(inputCols=features, outputCol="_features").transform(t))
-    base = evaluator.evaluate(scored(table))
-    rows = [(f, evaluator.evaluate(scored(permuted_column(table, f, id_cols, seed))) - base) for f in features]
-    return df.sparkSession.createDataFrame(rows, "variable string, importance double")
+    table = materialise(with_partner(rows, features, id_cols, seed).select("_label", *[col(c) for c in features], "_partner"), "permutation")
+    assembler = VectorAssembler(inputCols=features, outputCol="_features")
+    error = lambda t: evaluator.evaluate(model.transform(assembler.transform(t)))
+    base = error(table)
+    found = [(f, error(table.withColumn(f, F.col("_partner").getField(f))) - base) for f in features]
+    return df.sparkSession.createDataFrame(found, "variable string, importance double")

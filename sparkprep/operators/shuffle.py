@@ -1,48 +1,36 @@
-"""Permutation of one column among the rows of a table."""
+"""Permutation of columns among the rows of a table."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col, order_key
-from sparkprep.session import materialise
 
-#: Rows one window task numbers.
+#: Rows one window task sorts.
 ROWS_PER_BLOCK = 500_000
 
 
-def _numbered(df: DataFrame, key: Column, blocks: int, keep: list[Column]) -> DataFrame:
-    """Number the rows 1..n in the order of ``key`` without sorting them in one task.
+def with_partner(df: DataFrame, columns: list[str], id_cols: list[str], seed: int) -> DataFrame:
+    """Append ``_partner``, the ``columns`` of another row: every row is the partner of one row.
 
-    The leading digits of the key split the rows into even blocks, as the key is
-    a hash.
+    ``id_cols`` must identify a row.  The rows are put into a seeded hash order and
+    each takes the next one, inside even ranges of the hash; the last of a range
+    takes the first.  So one shuffle serves all columns, and nothing is numbered.
     """
+    blocks = max(1, math.ceil(df.count() / ROWS_PER_BLOCK))
+    key = order_key(id_cols, seed)
     lead = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
     block = F.floor(lead * F.lit(blocks) / F.lit(16.0**8)).cast("int")
-    keyed = df.select(*keep, key.alias("_key"), block.alias("_block"))
-    sizes = keyed.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows")).collect()  # one row per block
-    before, offsets = 0, []
-    for row in sorted(sizes, key=lambda r: r._block):
-        offsets.append((row._block, before))
-        before += row._rows
-    shift = df.sparkSession.createDataFrame(offsets, "_block int, _before bigint")
-    place = F.row_number().over(Window.partitionBy("_block").orderBy("_key"))
-    return keyed.withColumn("_place", place).join(F.broadcast(shift), "_block").withColumn(
-        "_place", F.col("_place") + F.col("_before")
-    ).drop("_key", "_block", "_before")
+    w = Window.partitionBy("_block").orderBy("_key")
+    values = F.struct(*[col(c) for c in columns])
+    partner = F.coalesce(F.lead(values).over(w), F.first(values).over(w))
+    return df.withColumns({"_key": key, "_block": block}).withColumn("_partner", partner).drop("_key", "_block")
 
 
 def permuted_column(df: DataFrame, column: str, id_cols: list[str], seed: int) -> DataFrame:
-    """The same rows with the values of one column moved by a seeded permutation.
-
-    ``id_cols`` must identify a row.  Two hash orders of the rows are matched
-    place by place.
-    """
-    blocks = max(1, math.ceil(df.count() / ROWS_PER_BLOCK))
-    others = [col(c) for c in df.columns if c != column]
-    rows = _numbered(df, order_key(id_cols, seed), blocks, others)
-    values = _numbered(df, order_key(id_cols, seed + 1), blocks, [col(column)])
-    return materialise(rows.join(values, "_place").select(*[col(c) for c in df.columns]), "permuted")
+    """The same rows with the values of one column moved by a seeded permutation."""
+    moved = F.col("_partner").getField(column)
+    return with_partner(df, [column], id_cols, seed).select(*[moved.alias(c) if c == column else col(c) for c in df.columns])
