@@ -51,11 +51,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, in one folder per application.
+    """A fresh path below the shared folder, in one folder per application."""
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    That folder may be deleted when the application and its models are done.
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/sparkprep-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete the tables that this application stored; true if there were any.
+
+    For when its results are written and its models saved: DataFrames and
+    unsaved models that were built before can't be read any more.
     """
-    return f"{shared_dir(spark)}/sparkprep-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

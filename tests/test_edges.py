@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparkprep import session
 from sparkprep.functions.scalar import order_key
-from sparkprep.operators import joins, knn, quantiles, split, stats
+from sparkprep.operators import joins, knn, quantiles, shuffle, split, stats
 from sparkprep.operators.assoc import pearson_matrix
 from sparkprep.operators.encode import BinaryCoder, FrequencyCoder
 from sparkprep.operators.knn import KnnFill, _block_search
@@ -163,3 +164,20 @@ def test_pruned_neighbours_equal_the_whole_search(spark, monkeypatch):
     assert sorted(fill.transform(df).collect()) == whole
     n_profiles = df.distinct().count()
     assert len(used) == 3 and sum(used) < 0.5 * (n_profiles / 25) * (sum(None in r for r in rows) / 20)
+
+
+def test_release_deletes_what_was_stored(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_application_dir", lambda s: f"{tmp_path}/app")
+    stored = session.materialise(spark.range(3), "some")
+    assert stored.count() == 3 and (tmp_path / "app").exists()
+    assert session.release(spark) and not (tmp_path / "app").exists()
+    assert not session.release(spark)
+
+
+def test_exchanged_rows_carry_all_columns_of_their_partner(spark, monkeypatch):
+    monkeypatch.setattr(shuffle, "ROWS_PER_BLOCK", 50)
+    df = spark.range(200).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"), (F.col("id") * 2).alias("b"))
+    out = shuffle.with_partner(df, ["a", "b"], ["id"], 5).collect()
+    partners = [r._partner.b // 2 for r in out]
+    assert sorted(partners) == list(range(200)) and all(p != r.id for p, r in zip(partners, out, strict=True))
+    assert all(r._partner.a == (p if p % 3 else None) for p, r in zip(partners, out, strict=True))
