@@ -303,6 +303,23 @@ def test_benchmark_items_are_found(spark):
     assert decontaminate.benchmark_matches(table.where("false"), bench).count() == 0
 
 
+def test_items_that_copies_make_common_are_found(spark):
+    rng = random.Random(21)
+    bench = [(i, sentence(rng, 36, 900)) for i in range(6)] + [(6, sentence(rng, 8, 900)), (7, sentence(rng, 70, 900))]
+    copied = sentence(rng, 12, 900) + " " + bench[0][1] + " " + sentence(rng, 12, 900)
+    rows = [(i, sentence(rng, 60, 900)) for i in range(200)]
+    # a third of the rows are copies; one passage is shared by texts that differ; both also stand in texts of their own
+    rows += [(1000 + i, copied) for i in range(150)]
+    shared = [(2000 + i, f"{sentence(rng, 7 + i % 40, 900)} {bench[1][1]} {sentence(rng, 40, 900)}") for i in range(100)]
+    rows += shared + [(3000, f"{sentence(rng, 300, 900)} {bench[0][1]} {sentence(rng, 300, 900)}")]
+    rows += [(3001, f"{sentence(rng, 300, 900)} {bench[6][1]} {sentence(rng, 300, 900)}"), (3002, f"{sentence(rng, 45, 900)} {bench[7][1]}")]
+    got = decontaminate.benchmark_matches(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    )
+    want = {1000 + i: {0} for i in range(150)} | {i: {1} for i, _ in shared} | {3000: {0}, 3001: {6}, 3002: {7}}
+    assert {r.doc_id: {m.item_id for m in r.bench_matches} for r in got.collect() if r.bench_matches} == want
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(50):
