@@ -5,8 +5,12 @@ The documents of a source, in a shuffled order, form blocks.  With target weight
 the earliest deadline goes out (ties: the source with the least name).  So after any number ``t`` of slots a source has
 sent less than one block more or less than ``t * w``.
 
-Weights are whole shares ``p`` of ``SHARES``; all windows repeat after that many slots, so the schedule of one period
-is built once, on one row of ``SHARES`` steps, and every block finds its slot from its number by a lookup.
+Weights are whole shares ``p`` of a period of ``SHARES`` slots; all windows repeat after that many slots, so the schedule
+of one period is built once, on one row with a step for each slot, and every block finds its slot from its number by a
+lookup.  With more than ``FEW`` sources, or a weight below one share, the period is a multiple of ``SHARES`` in which the
+least weight has ``LEAST`` shares (as far as ``MOST`` slots, or ``MOST_EACH`` for each source, allow).  The bound of one
+block holds against ``p``, which differs from the target by less than a share (more only if weights fall below one share
+of the longest period: they are lifted to 1, and all others give up the same fraction of what they have above 1).
 
 ``repeat=True``: the schedule ends when every source has been sent at least once, and a source that runs out starts
 again from its first block (``epoch`` counts its uses from 0).  ``repeat=False``: every document goes out once; slots of
@@ -28,8 +32,12 @@ from pyspark.sql.window import Window
 from sparkprep.functions.scalar import col, key_number
 from sparkprep.session import materialise
 
-#: Slots of a period; target weights are rounded to whole shares of it.
+#: Slots of a period, or of its parts; target weights are rounded to whole shares of it.
 SHARES = 1000
+#: Sources that one part always does for, if no weight is below a share.
+FEW = 100
+#: Shares of the least weight in longer periods, and the bounds of such periods: in all, and for each source.
+LEAST, MOST, MOST_EACH = 10, 20_000, 20
 #: Consecutive documents of a source that go out together.
 BLOCK = 16
 #: Documents that one task numbers.
@@ -41,31 +49,46 @@ def _name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
-def shares_of(sizes: DataFrame, weights: dict | None, shares: int = SHARES) -> DataFrame:
-    """``(s, n, p)``: whole shares by largest remainder, at least 1 for a positive weight.
-
-    Without ``weights`` a source weighs the square root of its size.  ``sizes`` has one row for each source.
-    """
+def _weighed(sizes: DataFrame, weights: dict | None) -> DataFrame:
+    """``(s, n, w)``: without ``weights`` a source weighs the square root of its size."""
     if weights is None:
         w = F.sqrt(F.col("n").cast("double"))
     else:
         pairs = [x for k, v in weights.items() for x in (F.lit("" if k is None else f"={k}"), F.lit(float(v)))]
         w = F.coalesce(F.create_map(*pairs)[F.col("s")], F.lit(0.0)) if pairs else F.lit(0.0)
+    return sizes.select("s", "n", w.alias("w"))
+
+
+def slots_for(sizes: DataFrame, weights: dict | None, shares: int = SHARES) -> int:
+    """Slots of a period that does justice to the least weight.  ``sizes`` has one row for each source."""
+    x = _weighed(sizes, weights).where("w > 0").agg(F.count("*").alias("n"), F.sum("w").alias("total"), F.min("w").alias("least")).first()
+    if not x.n or (x.n <= FEW * shares / SHARES and x.least * shares >= x.total):
+        return shares
+    most = max(MOST, MOST_EACH * x.n)
+    return shares * max(1, math.ceil(min(LEAST * x.total / x.least, most) / shares))
+
+
+def shares_of(sizes: DataFrame, weights: dict | None, shares: int = SHARES) -> DataFrame:
+    """``(s, n, p)``: whole shares by largest remainder, at least 1 for a positive weight.
+
+    If weights are below one share, all that are above give up the same fraction of what they have above 1.
+    There may be at most ``shares`` positive weights.  ``sizes`` has one row for each source.
+    """
     everything = Window.partitionBy()
-    weighed = sizes.select("s", "n", w.alias("w")).withColumn("total", F.sum("w").over(everything))
-    exact = F.when(F.col("w") > 0, F.col("w") * shares / F.col("total")).otherwise(0.0)
-    cut = weighed.withColumn("exact", exact).withColumn("p", F.when(F.col("w") > 0, F.greatest(F.lit(1), F.floor("exact"))).otherwise(0).cast("long"))
-    # shares still to give (or, after lifting tiny weights to 1, to take back from the largest)
+    weighed = _weighed(sizes, weights).withColumn("total", F.sum("w").over(everything))
+    weighed = weighed.withColumn("exact", F.when(F.col("w") > 0, F.col("w") * shares / F.col("total")).otherwise(0.0))
+    small = (F.col("w") > 0) & (F.col("exact") < 1)
+    above = F.sum(F.when(F.col("exact") > 1, F.col("exact") - 1)).over(everything)
+    free = F.lit(shares) - F.sum((F.col("w") > 0).cast("long")).over(everything)
+    fair = weighed.withColumns({"lifted": F.max(small).over(everything), "above": above, "free": free})
+    lifted = 1 + F.greatest(F.col("exact") - 1, F.lit(0.0)) * F.col("free") / F.greatest("above", F.lit(1e-300))
+    fair = fair.withColumn("exact", F.when(F.col("lifted") & (F.col("w") > 0), lifted).otherwise(F.col("exact")))
+    cut = fair.withColumn("p", F.when(F.col("w") > 0, F.greatest(F.lit(1), F.floor("exact"))).otherwise(0).cast("long"))
+    # shares still to give
     cut = cut.withColumn("rest", F.lit(shares) - F.sum("p").over(everything))
     most = Window.orderBy(F.desc(F.when(F.col("w") > 0, F.col("exact") - F.col("p")).otherwise(F.lit(-math.inf))), "s")
-    largest = Window.orderBy(F.desc("p"), "s")
-    return cut.withColumns({"up": F.row_number().over(most), "down": F.row_number().over(largest)}).select(
-        "s",
-        "n",
-        F.when((F.col("rest") > 0) & (F.col("up") <= F.col("rest")), F.col("p") + 1)
-        .when((F.col("rest") < 0) & (F.col("down") == 1), F.col("p") + F.col("rest"))
-        .otherwise(F.col("p"))
-        .alias("p"),
+    return cut.withColumn("up", F.row_number().over(most)).select(
+        "s", "n", F.when((F.col("w") > 0) & (F.col("up") <= F.col("rest")), F.col("p") + 1).otherwise(F.col("p")).alias("p")
     )
 
 
@@ -73,13 +96,21 @@ def period(plan: DataFrame, shares: int = SHARES) -> DataFrame:
     """``(s, i, slot)``: the slot of the ``i``-th block (from 0) of each source inside one period."""
     row = plan.where("p > 0").agg(F.array_sort(F.collect_list(F.struct("s", "p"))).alias("src"))
     src = F.col("src")
+
     # sent[j]: blocks of source j so far; a slot goes to the least (deadline, source) among the released blocks
-    step = lambda state, t: F.struct(
-        _raised(state["sent"], _chosen(src, state["sent"], t, shares)).alias("sent"),
-        F.concat(state["order"], F.array(_chosen(src, state["sent"], t, shares))).alias("order"),
-    )
-    start = F.struct(F.transform(src, lambda x: F.lit(0).cast("long")).alias("sent"), F.array().cast("array<int>").alias("order"))
-    built = row.where(F.size("src") > 0).select("src", F.aggregate(F.sequence(F.lit(0), F.lit(shares - 1)), start, step)["order"].alias("order"))
+    def step(state, t):
+        chosen = F.array(_chosen(src, state["sent"], t, shares))
+        return F.transform(chosen, lambda j: F.struct(_raised(state["sent"], j).alias("sent"), F.concat(state["order"], F.array(j)).alias("order")))[0]
+
+    # parts, so that the order isn't copied whole for each slot
+    def part(state, at):
+        inner = F.aggregate(F.sequence(at, F.least(at + SHARES, F.lit(shares)) - 1), F.struct(state["sent"].alias("sent"), none.alias("order")), step)
+        return F.transform(F.array(inner), lambda x: F.struct(x["sent"].alias("sent"), F.concat(state["order"], x["order"]).alias("order")))[0]
+
+    none = F.array().cast("array<int>")
+    start = F.struct(F.transform(src, lambda x: F.lit(0).cast("long")).alias("sent"), none.alias("order"))
+    parts = F.sequence(F.lit(0), F.lit(shares - 1), F.lit(SHARES))
+    built = row.where(F.size("src") > 0).select("src", F.aggregate(parts, start, part)["order"].alias("order"))
     slots = built.select("src", F.posexplode("order").alias("slot", "j")).select(F.col("src")[F.col("j")]["s"].alias("s"), "slot")
     place = Window.partitionBy("s").orderBy("slot")
     return slots.select("s", "slot", (F.row_number().over(place) - 1).alias("i"))
@@ -132,17 +163,17 @@ def mix(
     """``df`` with ``mix_slot``, ``mix_place`` (in the block), ``mix_epoch``, ``mix_block``, ``mix_release`` and ``mix_due``.
 
     Sorted by slot and place the rows are the mix.  The order columns tell rows apart in the shuffled order;
-    the first of them is hashed.  There may be at most ``shares`` sources with a weight.
+    the first of them is hashed.  ``shares`` is the least length of the period.
     """
     key = [col(c) for c in order_cols if c in df.columns]
     slim = df.select(_name(col(source_col)).alias("s"))
-    plan = shares_of(slim.groupBy("s").agg(F.count("*").alias("n")), weights, shares)
+    sizes = materialise(slim.groupBy("s").agg(F.count("*").alias("n")), "mix_sizes")
+    shares = slots_for(sizes, weights, shares)
+    plan = shares_of(sizes, weights, shares)
     plan = materialise(plan.withColumn("blocks", F.ceil(F.col("n") / block)), "mix_plan")
     # end: slots until every source has been sent once
     ends = F.max(F.when(F.col("p") > 0, F.ceil(F.col("blocks") * shares / F.col("p"))))
-    size = plan.agg(F.sum("n").alias("total"), F.min("p").alias("least"), ends.alias("end")).first()
-    if size.least is not None and size.least < 0:
-        raise ValueError(f"more than {shares} sources have a weight")
+    size = plan.agg(F.sum("n").alias("total"), ends.alias("end")).first()
     total, end = size.total or 0, size.end or 0
     slots = materialise(period(plan, shares), "mix_period")
     plan = plan.select(F.col("s").alias("__s"), F.col("p").alias("__p"), F.col("blocks").alias("__blocks"))

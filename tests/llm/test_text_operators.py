@@ -175,6 +175,31 @@ def test_mix_stays_within_one_block(spark, repeat):
     assert mixing.mix(docs, {"a": 1.0}, repeat=False).count() == len(rows)
 
 
+def test_mix_of_many_sources_and_a_hot_one(spark):
+    cases = [
+        {f"s{i}": 0.5 for i in range(300)} | {"hot": 850.0},
+        {f"s{i}": 0.5 for i in range(600)} | {f"t{i}": 5.0 for i in range(140)},
+        {f"s{i}": 1.0 for i in range(1001)},
+        {f"s{i}": 1.0 for i in range(1001)} | {"hot": 999.0},
+    ]
+    for weights in cases:
+        sizes = spark.createDataFrame([(f"={s}", 1) for s in weights], "s string, n long")
+        slots, total = mixing.slots_for(sizes, weights), sum(weights.values())
+        p = {r.s[1:]: r.p for r in mixing.shares_of(sizes, weights, slots).collect()}
+        assert sum(p.values()) == slots and all(abs(p[s] - slots * w / total) < 1 <= p[s] for s, w in weights.items())
+    # below one share of the longest period: lifted, and the others share the loss
+    weights = {f"s{i}": 1e-9 for i in range(900)} | {"a": 2.0, "b": 1.0}
+    sizes = spark.createDataFrame([(f"={s}", 1) for s in weights], "s string, n long")
+    p = {r.s[1:]: r.p for r in mixing.shares_of(sizes, weights, 1000).collect()}
+    assert sum(p.values()) == 1000 and min(p.values()) == 1 and 1.9 < p["a"] / p["b"] < 2.1
+    rows = [(i, f"t{i}", f"s{i}", "i", 0) for i in range(1001)] + [(2000 + i, "t", "hot", "i", 0) for i in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS), cases[3], block=1, repeat=False).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
+    assert len({r.mix_slot for r in got}) == len(got) and all(r.mix_release <= r.mix_slot < r.mix_due for r in got)
+    hot = sorted(r.mix_slot for r in got if r.source == "hot")
+    assert all(abs(k - t * 999 / 2000) <= 1 for k, t in enumerate(hot))
+
+
 def test_chat_round_trip_of_hostile_texts(spark):
     rng = random.Random(2)
     bits = ["<|end|>\n", "<|assistant|>\n", "\\", "\n", "é", "<", "|>", "<|", "</s>", "[INST]", " ok", "🙂", "<|conv|>"]
