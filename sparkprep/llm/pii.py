@@ -11,8 +11,8 @@ sign is found without it.
 
 Words that are no mention can only be labelled none, so they drop out of the field exactly.
 
-Training: node weights are a softmax regression on at most ``SAMPLE_DOCS`` documents that hold digits or at signs (the
-least by hash), where the base patterns say the kind and features leave out what the patterns test for; the pair
+Training: node weights are a softmax regression on at most ``SAMPLE_DOCS`` distinct texts that hold digits or at signs (the
+least by hash; copies count once), where the base patterns say the kind and features leave out what the patterns test for; the pair
 potentials are smoothed log odds of linked mentions that agree, from the same sample.
 
 Defined results: null texts are empty and have no spans.  Spans are code points, end exclusive.  Base spans are those of
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col
-from sparkprep.llm.frames import map_texts, text_of
+from sparkprep.llm.frames import fold_texts, map_texts, text_of
 from sparkprep.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -231,17 +232,16 @@ def all_spans(text: str, w: Weights | None) -> tuple[list[tuple[int, str, int]],
     return base, sorted(base + added, key=lambda x: (x[0], KINDS.index(x[1]), x[2]))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], pairs: np.ndarray, steps: int = 300) -> Weights:
-    """``rows``: features and labels of the sample; ``pairs``: (is skip, label, label) counts, labels x labels."""
+def train(x: np.ndarray, y: np.ndarray, n: np.ndarray, pairs: np.ndarray, steps: int = 300) -> Weights:
+    """``n`` mentions each have features ``x`` and label ``y``; ``pairs``: (is skip, label, label) counts, labels x labels."""
     labels = len(KINDS) + 1
-    x, y = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
     w = np.zeros((_FEATURES, labels))
-    hot = np.eye(labels)[y]
+    hot, share = np.eye(labels)[y], (n / n.sum())[:, None]
     for _ in range(steps):
         z = x @ w
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        w -= 2.0 * (x.T @ (p - hot) / len(x) + 1e-4 * w)
+        w -= 2.0 * (x.T @ (share * (p - hot)) + 1e-4 * w)
     tables = []
     for counts in pairs:
         smooth = counts + counts.T + 0.5
@@ -250,38 +250,53 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], pairs: np.ndarray, steps: i
     return Weights(w, tables[0], tables[1])
 
 
-def fit(docs: DataFrame) -> Weights | None:
-    """Weights from a bounded sample of ``text`` rows."""
-    some = docs.where(F.col("text").rlike("[0-9@]"))
-    h = F.xxhash64(F.lit(3), "text")
-    chosen = materialise(some.select(h.alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS), "pii_sample")
-    sample = some.join(F.broadcast(chosen.withColumnRenamed("h", "__h")), h == F.col("__h"), "left_semi")
+def _sample(docs: DataFrame) -> DataFrame:
+    """One row for each of at most ``SAMPLE_DOCS`` distinct texts."""
+    some = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64(F.lit(3), "text").alias("h"))
+    chosen = materialise(some.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS), "pii_sample")
+    # copies share a hash and would all come back
+    return some.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"]).select("text")
+
 
-    def observe(texts):
-        out = []
+def _observed(sample: DataFrame) -> DataFrame:
+    """``(what, key, n)``: counts of mentions by features and label, and of links by labels."""
+
+    def step(state, texts):
         for t in texts:
             f = field(t, base_spans(t))
-            out.append((f.features.ravel(), f.clamped, [x for p in f.chain for x in p], [x for p in f.skip for x in p]))
-        return list(zip(*out, strict=True))
+            y = f.clamped.tolist()
+            # features are 0 or 1
+            state.update(("node", f"{''.join('01'[int(v)] for v in x)} {k}") for x, k in zip(f.features, y, strict=True))
+            for what, links in (("chain", f.chain), ("skip", f.skip)):
+                # what a loose mention is can't be told, so links of two loose ones say nothing
+                state.update((what, f"{y[a]} {y[b]}") for a, b in links if y[a] or y[b])
+
+    def finish(state):
+        seen = sorted(state)
+        return [[w for w, _ in seen], [k for _, k in seen], [state[x] for x in seen]]
 
-    fields = "features array<double>, labels array<int>, chain array<int>, skip array<int>"
+    counted = fold_texts(sample, ["text"], Counter, step, finish, "what string, key string, n long")
+    return counted.groupBy("what", "key").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame) -> Weights | None:
+    """Weights from a bounded sample of ``text`` rows."""
     labels = len(KINDS) + 1
-    rows, pairs = [], np.zeros((2, labels, labels))
-    for r in map_texts(sample, [], ["text"], observe, fields).toLocalIterator():
-        y = np.array(r.labels, dtype=np.int64)
-        if len(y):
-            rows.append((np.array(r.features).reshape(-1, _FEATURES), y))
-            for k, e in enumerate((r.chain, r.skip)):
-                for a, b in zip(e[::2], e[1::2], strict=True):
-                    # what a loose mention is can't be told, so links of two loose ones say nothing
-                    if y[a] or y[b]:
-                        pairs[k, y[a], y[b]] += 1
-    if not rows:
+    nodes, pairs = [], np.zeros((2, labels, labels))
+    # one row for each set of features and label that occurs
+    for r in _observed(_sample(docs)).orderBy("what", "key").toLocalIterator():
+        a, b = r.key.split(" ")
+        if r.what == "node":
+            nodes.append(([float(v) for v in a], int(b), r.n))
+        else:
+            pairs[int(r.what == "skip"), int(a), int(b)] += r.n
+    if not nodes:
         return None
     # repeated values are one entity: a link to a known mention speaks for its kind
     pairs[1] += 20 * np.eye(labels)
     pairs[1, 0, 1:] = pairs[1, 1:, 0] = 0
-    return train(rows, pairs)
+    x, y, n = (np.array(v) for v in zip(*nodes, strict=True))
+    return train(x, y, n, pairs)
 
 
 def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

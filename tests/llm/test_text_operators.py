@@ -254,6 +254,14 @@ def test_distant_mentions_share_their_label(spark):
     assert all(set(map(tuple, r.base)) <= set(map(tuple, r.found)) for r in got.values())
 
 
+def test_copies_do_not_move_the_field(spark):
+    texts = [f"call +1 (555) {200 + i}-{1000 + i} or 555{200 + i}{1000 + i}, mail a{i}@b.com" for i in range(40)] + ["no. 12-34-56-78 and 10.0.0.1"]
+    once = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    hot = pii.fit(spark.createDataFrame([(t,) for t in texts + texts[-1:] * 3000], "text string"))
+    for a, b in zip(once, hot, strict=True):
+        assert np.allclose(a, b, rtol=0, atol=1e-12)
+
+
 def test_messages_are_exact_on_a_chain():
     rng = np.random.default_rng(0)
     labels = len(pii.KINDS) + 1
