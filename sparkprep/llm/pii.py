@@ -5,7 +5,7 @@ out mail addresses, words with a digit or dot inside) become nodes of a field ov
 ``KINDS`` or none.  A node has a potential from its shape; neighbours in the text share one, and so do distant mentions
 that repeat or resemble each other: equal digits, equal last seven digits, equal local parts.  Mentions of one value are
 linked one to the next, so a value that occurs a thousand times costs a thousand edges.  Loopy sum-product messages are
-passed until they settle; the nodes of base spans keep their kind.  A loose mention gets the kind whose marginal is
+passed until they settle (at most ``ROUNDS`` rounds and four for each node); the nodes of base spans keep their kind.  A loose mention gets the kind whose marginal is
 ``SURE`` or more.  So a card without its check digit stays out, but the phone number that stands elsewhere with its plus
 sign is found without it.
 
@@ -179,7 +179,7 @@ class Weights(NamedTuple):
     skip: np.ndarray
 
 
-def marginals(f: Field, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
+def marginals(f: Field, w: Weights, rounds: int | None = None) -> np.ndarray:
     """Loopy sum-product; exact where the links form a tree."""
     n, labels = len(f.spans), len(KINDS) + 1
     node = f.features @ w.node
@@ -199,7 +199,8 @@ def marginals(f: Field, w: Weights, rounds: int = ROUNDS) -> np.ndarray:
     table = np.concatenate([tables, tables.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(len(e)) + len(e), np.arange(len(e))])
     message = np.full((2 * len(e), labels), 1.0 / labels)
-    for _ in range(rounds):
+    # evidence moves one link a round, and half of it at a time
+    for _ in range(ROUNDS + 4 * n if rounds is None else rounds):
         logs = np.log(message)
         total = np.log(potential)
         np.add.at(total, target, logs)

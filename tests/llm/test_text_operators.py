@@ -254,6 +254,19 @@ def test_distant_mentions_share_their_label(spark):
     assert all(set(map(tuple, r.base)) <= set(map(tuple, r.found)) for r in got.values())
 
 
+def test_evidence_reaches_the_last_of_many_repeats():
+    n, labels = 60, len(pii.KINDS) + 1
+    link = np.full((labels, labels), -4.0) + 8.0 * np.eye(labels)
+    w = pii.Weights(np.zeros((pii._FEATURES, labels)), np.zeros((labels, labels)), link)
+    known = np.zeros(n, dtype=np.int64)
+    known[0] = 4
+    f = pii.Field([(i, i + 1) for i in range(n)], np.zeros((n, pii._FEATURES)), known, [], [(i, i + 1) for i in range(n - 1)])
+    step = np.exp(link) / np.exp(link).sum(axis=1, keepdims=True)
+    got = pii.marginals(f, w)
+    for i in range(n):
+        assert np.allclose(got[i], np.linalg.matrix_power(step, i)[4], atol=1e-3)
+
+
 def test_copies_do_not_move_the_field(spark):
     texts = [f"call +1 (555) {200 + i}-{1000 + i} or 555{200 + i}{1000 + i}, mail a{i}@b.com" for i in range(40)] + ["no. 12-34-56-78 and 10.0.0.1"]
     once = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
