@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm import chat, decontaminate, embedding_dedup, line_dedup, mixing, near_dedup, pii, quality, token_counts, toxicity
+from sparkprep.llm import (
+    chat,
+    decontaminate,
+    embedding_dedup,
+    hard_negatives,
+    line_cleaning,
+    line_dedup,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    spelling,
+    token_counts,
+    toxicity,
+)
 from sparkprep.llm.frames import comma_joined, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +220,99 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         comma_joined(F.col("gone")).alias("removed"),
         F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
     )
+
+
+@_query(
+    "op11_hard_negatives",
+    """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+met AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM met WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, m.id AS negative_id, positive_score, m.score AS negative_score
+FROM p JOIN met m ON m.anchor_id = p.anchor_id AND NOT m.same AND 80 * positive_score <= 100 * m.score AND m.score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY m.score DESC, m.id)
+QUALIFY row_number() OVER w <= 5
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+@_query(
+    "op12_line_rules",
+    r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+runs AS (
+  SELECT doc_id, k, w[k + 1:k + 5] AS run FROM (SELECT doc_id, w, unnest(range(0, len(w) - 4)) AS k FROM docs WHERE len(w) >= 5)),
+again AS (SELECT doc_id, k, lead(k) OVER (PARTITION BY doc_id ORDER BY k) - k AS gap
+          FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, run) AS c FROM runs) WHERE c > 1),
+repeated AS (SELECT doc_id, sum(least(5, coalesce(gap, 5))) AS n FROM again GROUP BY 1),
+lines AS (
+  SELECT doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
+         length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars, length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
+         length(regexp_replace(line, '[^\p{L}]', '', 'g')) AS letters, length(regexp_replace(line, '[^\p{Lu}]', '', 'g')) AS uppers
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs)),
+judged AS (
+  SELECT *, symbols * 10 > chars
+    OR (len(w) >= 3 AND len(list_filter(w, lambda x: x IN ('|', '›', '»', '>', '•', '·', '::'))) * 5 >= len(w))
+    OR (len(w) <= 40 AND regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '@BOILERPLATE@'))
+    OR (len(w) >= 3 AND uppers * 10 > letters * 6)
+    OR NOT regexp_matches(line, '@SENTENCE_END@') AS bad
+  FROM lines WHERE len(w) > 0),
+lost AS (SELECT doc_id, sum(chars) FILTER (WHERE bad) AS lost, count(*) - count(DISTINCT line) AS dup FROM judged GROUP BY 1),
+facts AS (
+  SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(l.lost, 0) AS lost_chars
+  FROM docs d LEFT JOIN repeated r USING (doc_id) LEFT JOIN lost l USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 2 * lost_chars <= word_chars AS kept, CAST(lost_chars AS BIGINT) AS lost_chars
+FROM facts
+""".replace("@BOILERPLATE@", line_cleaning.BOILERPLATE)
+    .replace("@SENTENCE_END@", line_cleaning.SENTENCE_END.replace("'", "''")),
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_cleaning.line_quality(table(spark, sf_dir, "documents")).drop("failed")
+
+
+@_query(
+    "op13_spelling_variants",
+    r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+long AS (SELECT doc_id, run, n, length(run) AS len FROM runs WHERE length(run) >= 6),
+crc AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR) || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(195 AS BIGINT), unicode(c) - 64] END))),
+    lambda crc, byte: xor(crc >> 8, list_reduce(list_prepend(xor(crc, byte) & 255, range(8)),
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))) AS h
+  FROM long),
+counted AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % len AS BIGINT)) || substr(run, CAST(h % len AS BIGINT) + 2) ELSE run END AS word, sum(n) AS n FROM crc GROUP BY 1),
+words AS (SELECT word, CAST(n AS BIGINT) AS n FROM counted WHERE length(word) >= 6 AND n >= 5),
+holes AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT x.word, y.word AS near FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.a || h.b
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.a || h.b),
+best AS (SELECT e.word, w.word AS form, w.n AS form_n, count(*) OVER (PARTITION BY e.word) AS n_near
+         FROM near e JOIN words w ON w.word = e.near QUALIFY row_number() OVER (PARTITION BY e.word ORDER BY w.n DESC, w.word) = 1),
+found AS (SELECT w.word, CASE WHEN b.form_n >= 5 * w.n THEN b.form END AS form, w.n, coalesce(b.n_near, 0) AS n_near,
+                 CASE WHEN b.form_n >= 5 * w.n THEN b.form_n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+chain(word, root) AS (SELECT word, word FROM words UNION ALL SELECT c.word, f.form FROM chain c JOIN found f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM found f JOIN chain c USING (word) JOIN found e ON e.word = c.root WHERE e.form IS NULL
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
