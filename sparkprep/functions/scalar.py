@@ -24,6 +24,17 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted names, with underscores added to those that a table already has (in any case)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lenient_double(c: Column, dtype: T.DataType | None = None) -> Column:
     """Cast to double; text that is no number becomes null (never an error)."""
     if dtype is not None and is_numeric(dtype):
