@@ -2,11 +2,11 @@
 
 Words are counted over the whole corpus.  The trie of the words that count is a table of edges (node, character, child);
 a node is the prefix it stands for.  Search states (word, rest of the word, node, edits) start at the root and are joined
-with the edges of one level at a time: a state follows the next character of its word, or spends its one edit on another
-character, on a character more or on one less.  A state whose child lies on the way to a single word is settled by
-one comparison, so the levels end where words stop sharing prefixes.  States that end on a word with one edit are its
-neighbours.  Each edit is made at one place only (insertions and deletions at the end of a run of equal characters), so no
-neighbour is found twice.
+with the edges of one level at a time: a state follows the next character of its word, or spends its one edit on a greater
+character or on leaving one out.  A state whose child lies on the way to a single word is settled by one comparison, so the
+levels end where words stop sharing prefixes.  States that end on a word with one edit are its neighbours, and it theirs:
+a smaller character and one more are the same edits seen from the other word.  Equal characters in a row lose their last
+one only, so no pair is found twice.
 
 Words of ``LEVELS`` code points or more would need as many levels.  Pairs of such words are found by the hashes of each word
 with one character left out (a rolling hash, so that a word of a million letters costs as many rows), then compared exactly.
@@ -108,9 +108,8 @@ def _stepped(states: DataFrame, edges: DataFrame) -> DataFrame:
     moves = F.array_compact(
         F.array(
             F.when(same, F.struct(rest1.alias("rest"), F.col("edits").alias("edits"))),
-            F.when(fresh & ~same, to(F.col("rest"), 1)),  # one character more
-            F.when(fresh & ~same & (first != ""), to(rest1, 1)),  # another character
-            F.when(fresh & ~same & (second != "") & (F.col("ch") == second), to(rest2, 1)),  # one less
+            F.when(fresh & (F.col("ch") > first), to(rest1, 1)),  # a greater character
+            F.when(fresh & ~same & (F.col("ch") == second), to(rest2, 1)),  # one left out
         )
     )
     moved = arrived.select("word", "child", "is_word", "only", "next", F.explode(moves).alias("m"))
@@ -122,7 +121,8 @@ def _stepped(states: DataFrame, edges: DataFrame) -> DataFrame:
         .when(~edited & F.col("is_word") & (F.length("rest") == 1), F.col("child"))  # its last character is one too many
     )
     # a child that leads to one word is settled; for a state without an edit that word is its own
-    goes_on = F.col("only").isNull() & (~edited | ((F.col("rest") != "") & (F.instr(F.col("next"), F.substring("rest", 1, 1)) > 0)))
+    follows = ~edited | (F.instr(F.col("next"), F.substring("rest", 1, 1)) > 0)
+    goes_on = F.col("only").isNull() & (F.col("rest") != "") & follows
     moved = moved.select("word", "rest", F.col("child").alias("node"), "edits", near.alias("near"), goes_on.alias("goes_on"))
     return moved.where(F.col("near").isNotNull() | F.col("goes_on"))
 
@@ -139,7 +139,7 @@ def _level(states: DataFrame, edges: DataFrame, total: int) -> DataFrame:
 
 
 def _trie_neighbours(words: DataFrame) -> DataFrame:
-    """``(word, near)`` both ways, of words up to ``LEVELS`` code points."""
+    """``(word, near)``, each pair once, of words up to ``LEVELS`` code points."""
     spark = words.sparkSession
     path = scratch_path(spark, "trie")
     edges = trie_edges(words)
@@ -165,8 +165,9 @@ def _left_out(word: str) -> tuple[np.ndarray, np.ndarray]:
     power = np.ones(n + 1, dtype=np.uint64)
     power[1:] = np.multiply.accumulate(np.full(n, base, dtype=np.uint64))
     # the hash is the sum of x[i] * base ** i; what follows the place left out moves down by one power
-    lower = np.concatenate(([0], np.cumsum(x * power[:n]))).astype(np.uint64)
-    moved = np.concatenate(([0], np.cumsum(x[1:] * power[: n - 1]))).astype(np.uint64)
+    none = np.zeros(1, dtype=np.uint64)
+    lower = np.concatenate((none, np.cumsum(x * power[:n])))
+    moved = np.concatenate((none, np.cumsum(x[1:] * power[: n - 1])))
     without = lower[:n] + (moved[-1] - moved)
     return np.append(without, lower[-1]).astype(np.int64), np.append(np.arange(n), -1)
 
@@ -184,7 +185,7 @@ def one_edit(a: str, b: str) -> bool:
 
 
 def _long_neighbours(words: DataFrame) -> DataFrame:
-    """``(word, near)`` both ways, of words from ``LEVELS`` code points on."""
+    """``(word, near)``, each pair once, of words from ``LEVELS`` code points on."""
     key = T.StructType.fromDDL("word_key long, h long, place int, size int")
 
     def hashes(batches):
@@ -202,9 +203,9 @@ def _long_neighbours(words: DataFrame) -> DataFrame:
     a = keys.select(F.col("word_key").alias("a"), "h", "place", "size")
     b = keys.select(F.col("word_key").alias("b"), "h", F.col("place").alias("b_place"), F.col("size").alias("b_size"))
     # replaced: both without the same place; one less: a word without a place is the other word
-    replaced = a.where("place >= 0").join(b.withColumnsRenamed({"b_place": "place", "b_size": "size"}), ["h", "place", "size"]).where("a <> b").select("a", "b")
+    replaced = a.where("place >= 0").join(b.withColumnsRenamed({"b_place": "place", "b_size": "size"}), ["h", "place", "size"]).where("a < b").select("a", "b")
     fewer = a.where("place >= 0").join(b.where("b_place = -1"), "h").where("size = b_size + 1").select("a", "b")
-    pairs = replaced.unionByName(fewer).unionByName(fewer.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    pairs = replaced.unionByName(fewer).distinct()
     both = pairs.join(named.withColumnsRenamed({"word_key": "a", "word": "word"}), "a")
     both = both.join(named.withColumnsRenamed({"word_key": "b", "word": "near"}), "b").select("word", "near")
     target = T.StructType.fromDDL("word string, near string")
@@ -221,11 +222,10 @@ def neighbours(words: DataFrame) -> DataFrame:
     """``(word, near)``, both ways, for distinct words that are exactly one edit apart."""
     long = words.where(F.length("word") >= LEVELS)
     found = _trie_neighbours(words.where(F.length("word") <= LEVELS).select("word"))
-    if long.limit(2).count() < 2:
-        return found
-    # pairs of words that both have LEVELS code points are found on both ways
-    other = _long_neighbours(long.select("word")).where((F.length("word") > LEVELS) | (F.length("near") > LEVELS))
-    return found.unionByName(other)
+    if long.limit(2).count() == 2:
+        # pairs of words that both have LEVELS code points are found in the trie too
+        found = found.unionByName(_long_neighbours(long.select("word")).where((F.length("word") > LEVELS) | (F.length("near") > LEVELS)))
+    return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
