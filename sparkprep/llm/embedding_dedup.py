@@ -201,7 +201,7 @@ class _PairJoin:
 def _links_of_width(vectors: DataFrame, threshold: float, dims: int) -> DataFrame:
     """``(rep, links, other)`` of distinct vectors of one length."""
     total = vectors.count()
-    eps = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    eps = float(np.sqrt(max(1e-12, 2 - 2 * threshold)))  # equal directions still differ by rounding
     rotation = _rotation(vectors, total, dims)
     members = materialise(_ordered(vectors, rotation, eps, total), "intervals")
     pairs = materialise(_near_blocks(members, rotation.shape[1], eps), "interval_pairs")
@@ -221,7 +221,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     keyed = df.select(
         col(id_col).cast("long").alias("id"),
         F.when(valid, F.xxhash64(vec)).alias("h1"),
-        F.when(valid, F.xxhash64(vec, F.lit(1))).alias("h2"),
+        F.when(valid, F.xxhash64(F.lit(1), vec)).alias("h2"),  # the seed in front: a hash of its own, not one of h1
         F.when(valid, vec).alias("vec"),
     )
     distinct = keyed.where("h1 is not null").groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec"))

@@ -47,12 +47,13 @@ BASE = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_BASE = [re.compile(BASE[k]) for k in KINDS]
-#: Mentions that may be personal data.
+#: An address is tried at the start of a run of digits only; inside the run it would fail or succeed alike.
+_BASE = [re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}" if k == "ip" else BASE[k]) for k in KINDS]
+#: Mentions that may be personal data.  Runs are tried at their start and never given back, so long words cost their length once.
 LOOSE = re.compile(
-    r"(?P<mail>[A-Za-z0-9._%+-]+[ ]?(?:@|\(at\)|\[at\]|\{at\}| at )[ ]?[A-Za-z0-9-]+(?:[ ]?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )[ ]?[A-Za-z0-9-]+)+)"
+    r"(?P<mail>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++[ ]?(?:@|\(at\)|\[at\]|\{at\}| at )[ ]?[A-Za-z0-9-]++(?:[ ]?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )[ ]?[A-Za-z0-9-]++)+)"
     r"|(?P<number>\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){5,})"
-    r"|(?P<word>[A-Za-z]+\.[0-9]{1,4}(?![0-9.]))"
+    r"|(?P<word>(?<![A-Za-z])[A-Za-z]++\.[0-9]{1,4}(?![0-9.]))"
 )
 _SIGNS = re.compile(r"[0-9@]|\(at\)|\[at\]|\{at\}| at ")
 
