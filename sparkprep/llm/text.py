@@ -1,7 +1,7 @@
 """Words of many texts at once: numpy arrays instead of one Python object per word.
 
-A word is a maximal run of bytes of one class in the UTF-8 text.  Its hash is a polynomial over its bytes, taken from
-one running sum over the whole buffer, then mixed; equal words have equal hashes in every process.
+A word is a maximal run of bytes of one class in the UTF-8 text.  Its hash is made of eight bytes at a time, each piece
+mixed by a function that isn't linear; equal words have equal hashes in every process.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-#: An odd multiplier and the constants of the splitmix64 finaliser.
-_BASE = 0x9E3779B97F4A7C15 | 1
+#: The constants of the splitmix64 generator.
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -56,14 +55,13 @@ def cached(key: tuple, build: Callable):
     return held[key]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
-    out = []
-    for base in (_BASE, inverse):
-        p = np.full(n, base, dtype=np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+def latest(slot: str, key: str, build: Callable):
+    """``build()``, kept in the process until the slot is asked for another key."""
+    held = cached((slot,), dict)
+    if key not in held:
+        held.clear()
+        held[key] = build()
+    return held[key]
 
 
 class Words(NamedTuple):
@@ -75,6 +73,25 @@ class Words(NamedTuple):
     n: int
 
 
+def _hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each run of bytes: its pieces of eight bytes are mixed with their place, added and mixed with the length."""
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    length = end - start
+    pieces = -(-length // 8)
+    first = np.concatenate(([0], np.cumsum(pieces)))
+    run = np.repeat(np.arange(len(start)), pieces)
+    place = np.arange(first[-1]) - first[run]
+    at = start[run] + 8 * place
+    left = end[run] - at
+    padded = np.concatenate([buf, np.zeros(8, dtype=np.uint8)])
+    value = np.zeros(len(at), dtype=np.uint64)
+    for j in range(8):
+        value |= np.where(j < left, padded[at + j], np.uint8(0)).astype(np.uint64) << np.uint64(8 * j)
+    part = mix(mix(value + GOLDEN) + place.astype(np.uint64) * GOLDEN)
+    return mix(np.add.reduceat(part, first[:-1]) + length.astype(np.uint64) * GOLDEN)
+
+
 def words(texts: Sequence[str], table: np.ndarray) -> Words:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     lengths = np.fromiter((len(b) for b in raw), dtype=np.int64, count=len(raw))
@@ -86,12 +103,7 @@ def words(texts: Sequence[str], table: np.ndarray) -> Words:
     start, end = change[:-1], change[1:]
     real = kind[start] != 0 if len(start) else np.zeros(0, dtype=bool)
     start, end = start[real], end[real]
-    n = 1 << max(21, int(len(buf)).bit_length())
-    power, inverse = cached(("powers", 21), lambda: _powers(1 << 21)) if n == 1 << 21 else _powers(n)
-    run = np.empty(len(buf) + 1, dtype=np.uint64)
-    run[0] = 0
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * power[: len(buf)], out=run[1:])
-    code = mix((run[end] - run[start]) * inverse[start])
+    code = _hashes(buf, start, end)
     first = np.searchsorted(start, begin).astype(np.int64)
     doc = np.repeat(np.arange(len(raw), dtype=np.int64), np.diff(first))
     return Words(code, doc, first, len(raw))

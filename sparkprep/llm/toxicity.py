@@ -23,16 +23,20 @@ share of toxic ones (0 without any).
 
 from __future__ import annotations
 
+import pickle
 import re
+import uuid
 from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.functions.scalar import col
+from sparkprep.functions.scalar import col, free_names
 from sparkprep.llm.frames import fold_texts, map_texts, text_of
+from sparkprep.llm.text import latest
 from sparkprep.session import materialise
 
 PER_LABEL = 2000
@@ -289,18 +293,28 @@ def fit(docs: DataFrame, labels: DataFrame, terms: int = TERMS, k: int = NEIGHBO
     return model._replace(shares=knots, scores=values, without=without)
 
 
-def scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id") -> DataFrame:
-    """``df`` with ``toxic_score`` and ``toxic_evidence`` (keys are md5 of the examples' texts).
+def scores(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    label_id_col: str = "doc_id",
+    score_col: str = "toxic_score",
+    evidence_col: str = "toxic_evidence",
+) -> DataFrame:
+    """``df`` with ``score_col`` and ``evidence_col`` (keys are md5 of the examples' texts), in place of columns of these names.
 
     Rows that :func:`held_out` marks are not learnt from.
     """
     learn = labels.where(~held_out(label_id_col)).select(col(label_id_col).alias("id"), col(label_col).cast("int").alias("toxic"))
     docs = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
     model = fit(docs, learn)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # bytes that hold the classes too: executors need no copy of this folder
+    shared, key = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), uuid.uuid4().hex
 
     def score(texts):
-        m = shared.value
+        m = latest("toxicity", key, lambda: pickle.loads(shared.value))
         names = [*m.vocabulary, "*"]
         out, why, seen = [], [], {}
         for t in texts:
@@ -315,11 +329,15 @@ def scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
             why.append({"terms": heavy, "examples": [dict(zip(("key", "label", "cosine"), x, strict=True)) for x in near]})
         return [out, why]
 
-    fields = "toxic_score double, toxic_evidence struct<terms:array<string>,examples:array<struct<key:string,label:int,cosine:double>>>"
-    rows = df.withColumn("__toxic_text", text_of(text_col))
-    return map_texts(rows, df.columns, ["__toxic_text"], score, fields)
+    fields = "score double, evidence struct<terms:array<string>,examples:array<struct<key:string,label:int,cosine:double>>>"
+    kept = [c for c in df.columns if c.lower() not in (score_col.lower(), evidence_col.lower())]
+    row, text = F.struct(*[col(c) for c in kept]).alias("row"), text_of(text_col).alias("text")
+    found = map_texts(df.select(row, text), ["row"], ["text"], score, fields)
+    return found.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("score").alias(score_col), F.col("evidence").alias(evidence_col))
 
 
 def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = TOXIC_FROM, **options) -> DataFrame:
     """The documents whose score stays below the threshold."""
-    return scores(df, labels, **options).where(F.col("toxic_score") < threshold).drop("toxic_score", "toxic_evidence")
+    score, evidence = free_names(df.columns, "toxic_score", "toxic_evidence")
+    found = scores(df, labels, score_col=score, evidence_col=evidence, **options)
+    return found.where(F.col(score) < threshold).select(*[col(c) for c in df.columns])
