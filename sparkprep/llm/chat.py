@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparkprep.functions.scalar import col
-from sparkprep.llm.frames import map_texts
 from sparkprep.llm.text import cached
 
 #: Strings that open or close something in common chat templates.
@@ -63,8 +62,8 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, np.ndarray]:
 _TURN = re.compile(r"<\|((?:[^\\|]++|\\.|\|(?!>))*+)\|>\n((?:[^\\<]++|\\.|<(?!\|end\|>))*+)<\|end\|>\n", re.DOTALL)
 
 
-def parse(formatted: str) -> list[tuple[str, str]]:
-    """``(role, text)`` of the turns, read from the formatted text alone."""
+def _turns(formatted: str) -> list[re.Match]:
+    """The turns, read from the formatted text alone."""
     if not formatted.startswith(OPEN):
         raise ValueError("no conversation")
     out, at = [], len(OPEN)
@@ -72,11 +71,34 @@ def parse(formatted: str) -> list[tuple[str, str]]:
         m = _TURN.match(formatted, at)
         if m is None:
             raise ValueError(f"no turn at {at}")
-        out.append((unescape(m[1]), unescape(m[2])))
+        out.append(m)
         at = m.end()
     return out
 
 
+def parse(formatted: str) -> list[tuple[str, str]]:
+    """``(role, text)`` of the turns, read from the formatted text alone."""
+    return [(unescape(m[1]), unescape(m[2])) for m in _turns(formatted)]
+
+
+def masked_text(formatted: str, mask, starts, ends) -> str:
+    """What the tokens under the mask say: their characters, cut at the borders of the texts of the turns."""
+    on = np.zeros(len(formatted) + 1, dtype=np.int64)
+    chosen = np.asarray(mask, dtype=bool)
+    np.add.at(on, np.asarray(starts, dtype=np.int64)[chosen], 1)
+    np.add.at(on, np.asarray(ends, dtype=np.int64)[chosen], -1)
+    on = np.cumsum(on) > 0
+    out = []
+    for m in _turns(formatted):
+        s, e = m.span(2)
+        part = on[s:e]
+        if part.all():
+            out.append(unescape(formatted[s:e]))
+        elif part.any():
+            out.append(unescape("".join(formatted[k] for k in range(s, e) if on[k])))
+    return "".join(out)
+
+
 def loss_tokens(token_spans: np.ndarray, loss_spans: np.ndarray) -> np.ndarray:
     """Which tokens share a character with a loss span; both lists are sorted and free of overlaps."""
     mask = np.zeros(len(token_spans) + 1, dtype=np.int64)
@@ -99,15 +121,26 @@ def _tokenizer(path: str):
 
 
 def format_one(turns: list[tuple[str, str]], tokenizer: str = TOKENIZER, loss_role: str = "assistant") -> dict:
-    """Rendered text, token ids, loss mask by token and the exact loss spans of one conversation."""
+    """Rendered text, token ids with their offsets, loss mask by token and the exact loss spans of one conversation."""
     text, spans = render(turns)
     loss = spans[[r == loss_role for r, _ in turns]] if turns else spans
     enc = cached(("tokenizer", tokenizer), lambda: _tokenizer(tokenizer)).encode(text, add_special_tokens=False)
-    mask = loss_tokens(np.array(enc.offsets, dtype=np.int64).reshape(-1, 2), loss)
-    return {"formatted": text, "tokens": enc.ids, "loss_mask": mask.tolist(), "loss_start": loss[:, 0].tolist(), "loss_end": loss[:, 1].tolist()}
+    offsets = np.array(enc.offsets, dtype=np.int64).reshape(-1, 2)
+    return {
+        "formatted": text,
+        "tokens": enc.ids,
+        "token_start": offsets[:, 0].tolist(),
+        "token_end": offsets[:, 1].tolist(),
+        "loss_mask": loss_tokens(offsets, loss).tolist(),
+        "loss_start": loss[:, 0].tolist(),
+        "loss_end": loss[:, 1].tolist(),
+    }
 
 
-_FIELDS = "conv_id long, formatted string, tokens array<int>, loss_mask array<boolean>, loss_start array<long>, loss_end array<long>"
+_FIELDS = (
+    "conv_id long, formatted string, tokens array<int>, token_start array<long>, token_end array<long>, loss_mask array<boolean>, "
+    "loss_start array<long>, loss_end array<long>"
+)
 
 
 def format_conversations(
@@ -144,19 +177,23 @@ def format_conversations(
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests that are read from the formatted text and its mask, not from the input."""
-
-    def digest(texts, starts, ends):
-        out = []
-        for text, start, end in zip(texts, starts, ends, strict=True):
-            turns = parse(text)
-            loss = "".join(unescape(text[s:e]) for s, e in zip(start, end, strict=True))
-            said = "".join(f"{r}\n{t}\n" for r, t in turns)
-            out.append((len(turns), _sha(said), len(loss), _sha(loss), len(text)))
-        return list(zip(*out, strict=True))
-
-    fields = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return map_texts(formatted, ["conv_id"], ["formatted", "loss_start", "loss_end"], digest, fields)
+    """Digests that are read from the formatted text and from the tokens under the mask, not from the input."""
+    fields = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    schema = to_arrow_schema(T.StructType.fromDDL(fields))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            # one conversation at a time: a long one is unpacked alone
+            for k in range(batch.num_rows):
+                conv, text, mask, starts, ends = (batch.column(c)[k].as_py() if c < 2 else batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in range(5))
+                turns, loss = parse(text), masked_text(text, mask, starts, ends)
+                said = "".join(f"{r}\n{t}\n" for r, t in turns)
+                out.append((conv, len(turns), _sha(said), len(loss), _sha(loss), len(text)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    return formatted.select("conv_id", "formatted", "loss_mask", "token_start", "token_end").mapInArrow(run, fields)
 
 
 def _sha(text: str) -> str:

@@ -2,8 +2,8 @@
 
 A line with a word fails by the first of these rules that holds:
 
-* ``symbols``: more than a tenth of its characters in words are among ``#*$%&|<>``
 * ``navigation``: three words or more, a fifth of them bare separators
+* ``symbols``: more than a tenth of its characters in words are among ``#*$%&|<>``
 * ``boilerplate``: at most 40 words and a phrase of licence, cookie, account or sharing notices
 * ``shouting``: three words or more, over six tenths of its letters upper case
 * ``punctuation``: no end of a sentence in it
@@ -42,7 +42,7 @@ BOILERPLATE = (
     "use cookies|enable javascript|lorem ipsum|click here|sign in|sign up|log in|subscribe|newsletter|read more|share this|powered by|skip to)([^a-z]|$)"
 )
 BOILERPLATE_WORDS = 40
-RULES = ("symbols", "navigation", "boilerplate", "shouting", "punctuation")
+RULES = ("navigation", "symbols", "boilerplate", "shouting", "punctuation")
 LEAST_WORDS = 10
 
 

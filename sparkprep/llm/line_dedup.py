@@ -6,7 +6,8 @@ occurrence; the lines that its later occurrences cover are removed, overlapping
 Lines end at a line feed.  They are compared without blanks, tabs and carriage returns at their ends; blank lines are
 no part of the sequence and always stay.  The first occurrence is the least by (id, hash of the text, line).  A text
 with fewer than three lines that aren't blank has no window and stays as it is.  Null texts stay null.  Rows with the
-same id and the same text are one document: they get the same text.  Null ids come first.
+same id and the same text are one document: they get the same text.  Null ids come first.  Other columns of any name pass
+through.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.functions.scalar import col
+from sparkprep.functions.scalar import col, free_names
 from sparkprep.llm.frames import text_of
 from sparkprep.session import materialise
 
@@ -67,16 +68,30 @@ def drop_repeated_lines(
 
     ``drop_emptied`` leaves out texts that lost all of their lines.
     """
-    gone = covered_lines(df, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("gone").alias("__gone")
-    )
+    of_id, of_text, cut_out = free_names(df.columns, "__id", "__h", "__gone")
+    gone = covered_lines(df, id_col, text_col).select(F.col("id").alias(of_id), F.col("h").alias(of_text), F.col("gone").alias(cut_out))
     text = text_of(text_col)
-    same = col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h"))
+    same = col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_text))
     out = df.join(gone, same, "left")
-    cut = F.array_join(F.filter(_lines(text), lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
+    cut = F.array_join(_without(_lines(text), F.col(cut_out)), "\n")
     if drop_emptied:
-        out = out.where(F.col("__gone").isNull() | (F.btrim(cut, F.lit(" \t\r\n")) != ""))
-    kept = [F.when(F.col("__gone").isNull(), col(c)).otherwise(cut).alias(c) if c == text_col else col(c) for c in df.columns]
+        out = out.where(F.col(cut_out).isNull() | (F.btrim(cut, F.lit(" \t\r\n")) != ""))
+    kept = [F.when(F.col(cut_out).isNull(), col(c)).otherwise(cut).alias(c) if c == text_col else col(c) for c in df.columns]
     if removed_col:
-        kept.append(F.coalesce("__gone", F.array().cast("array<int>")).alias(removed_col))
+        kept.append(F.coalesce(cut_out, F.array().cast("array<int>")).alias(removed_col))
     return out.select(*kept)
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """``lines`` without the sorted places ``gone``: the stretches between them, each copied once."""
+
+    def stretches(held: Column) -> Column:
+        def one(k: Column) -> Column:
+            start = F.coalesce(F.get(held["gone"], k - 1) + 1, F.lit(0))
+            end = F.coalesce(F.get(held["gone"], k), F.size(held["lines"]))
+            return F.slice(held["lines"], start + 1, end - start)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(held["gone"])), one))
+
+    # bound once, so that the text isn't split again for each stretch
+    return F.transform(F.array(F.struct(lines.alias("lines"), gone.alias("gone"))), stretches)[0]

@@ -40,6 +40,8 @@ FEW = 100
 LEAST, MOST, MOST_EACH = 10, 20_000, 20
 #: Consecutive documents of a source that go out together.
 BLOCK = 16
+#: Columns that the mix adds; input columns of these names are replaced.
+ADDED = ("mix_slot", "mix_place", "mix_epoch", "mix_block", "mix_release", "mix_due")
 #: Documents that one task numbers.
 PART_ROWS = 20_000
 
@@ -133,22 +135,23 @@ def _raised(sent: Column, j: Column) -> Column:
 
 
 def _numbered(df: DataFrame, source: Column, key: list[Column], n: int) -> DataFrame:
-    """Adds ``__s`` and ``__at``: the place of a document in the shuffled order of its source, from 0.
+    """``(row, s, at)``: the input row, its source and its place in the shuffled order of the source, from 0.
 
     The order is that of an md5 of the id.  Ranges of the hash are numbered in tasks of their own and shifted
     by the documents in the ranges before, so no source is sorted in one task.
     """
     ranges = max(1, math.ceil(n / PART_ROWS))
     h = F.md5(F.concat(F.coalesce(key[0].cast("string"), F.lit("")), F.lit("#42")))
-    part = F.floor(key_number(h) * ranges / 2.0**52).cast("int")
-    dealt = df.withColumns({"__s": _name(source), "__h": h}).withColumn("__part", part)
-    sizes = dealt.groupBy("__s", "__part").agg(F.count("*").alias("__size"))
-    before = Window.partitionBy("__s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    row, keys = F.struct(*[col(c) for c in df.columns]).alias("row"), F.struct(*key).alias("key")
+    dealt = df.select(row, keys, _name(source).alias("s"), h.alias("h"))
+    dealt = dealt.withColumn("part", F.floor(key_number(F.col("h")) * ranges / 2.0**52).cast("int"))
+    sizes = dealt.groupBy("s", "part").agg(F.count("*").alias("size"))
+    before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each source and range
-    shift = sizes.select("__s", "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"))
-    place = Window.partitionBy("__s", "__part").orderBy("__h", *key)
-    inside = dealt.withColumn("__in", F.row_number().over(place) - 1)
-    return inside.join(shift, ["__s", "__part"]).withColumn("__at", F.col("__shift") + F.col("__in"))
+    shift = sizes.select("s", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("shift"))
+    place = Window.partitionBy("s", "part").orderBy("h", "key")
+    inside = dealt.withColumn("inside", F.row_number().over(place) - 1)
+    return inside.join(shift, ["s", "part"]).select("row", "s", (F.col("shift") + F.col("inside")).alias("at"))
 
 
 def mix(
@@ -176,28 +179,25 @@ def mix(
     size = plan.agg(F.sum("n").alias("total"), ends.alias("end")).first()
     total, end = size.total or 0, size.end or 0
     slots = materialise(period(plan, shares), "mix_period")
-    plan = plan.select(F.col("s").alias("__s"), F.col("p").alias("__p"), F.col("blocks").alias("__blocks"))
-    rows = _numbered(df, col(source_col), key, total).join(F.broadcast(plan), "__s")
-    first = F.floor(F.col("__at") / block)
+    rows = _numbered(df, col(source_col), key, total).join(F.broadcast(plan.select("s", "p", "blocks")), "s")
+    first = F.floor(F.col("at") / block)
     if repeat:
-        wanted = F.ceil(F.lit(end) * F.col("__p") / shares)  # blocks of the source in the whole schedule
-        uses = F.ceil((wanted - first) / F.col("__blocks"))
-        rows = rows.where("__p > 0").withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(uses, F.lit(1)) - 1)))
+        wanted = F.ceil(F.lit(end) * F.col("p") / shares)  # blocks of the source in the whole schedule
+        uses = F.ceil((wanted - first) / F.col("blocks"))
+        rows = rows.where("p > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(uses, F.lit(1)) - 1)))
     else:
-        rows = rows.withColumn("mix_epoch", F.lit(0).cast("long"))
-    number = first + F.col("mix_epoch") * F.col("__blocks")
-    rows = rows.withColumns({"mix_block": number, "mix_place": F.pmod("__at", F.lit(block))})
-    cycle = F.when(F.col("__p") > 0, F.floor(F.col("mix_block") / F.col("__p")))
-    rows = rows.withColumns({"__cycle": cycle, "__i": F.when(F.col("__p") > 0, F.pmod("mix_block", F.col("__p"))).cast("int")})
-    rows = rows.join(F.broadcast(slots.select(F.col("s").alias("__s"), F.col("i").alias("__i"), F.col("slot").alias("__slot"))), ["__s", "__i"], "left")
-    share = F.when(F.col("__p") > 0, F.col("__p"))
+        rows = rows.withColumn("epoch", F.lit(0).cast("long"))
+    rows = rows.withColumn("number", first + F.col("epoch") * F.col("blocks"))
+    share = F.when(F.col("p") > 0, F.col("p"))
+    rows = rows.withColumns({"cycle": F.floor(F.col("number") / share), "i": F.pmod("number", share).cast("int")})
+    rows = rows.join(F.broadcast(slots.select("s", "i", "slot")), ["s", "i"], "left")
     return rows.select(
-        *[col(c) for c in df.columns],
+        *[F.col("row").getField(c).alias(c) for c in df.columns if c.lower() not in ADDED],
         # without a weight: after everything else
-        F.coalesce(F.col("__cycle") * shares + F.col("__slot"), F.lit(2**40) + F.col("mix_block")).cast("long").alias("mix_slot"),
-        F.col("mix_place").cast("long").alias("mix_place"),
-        "mix_epoch",
-        "mix_block",
-        F.floor(F.col("mix_block") * shares / share).alias("mix_release"),
-        F.ceil((F.col("mix_block") + 1) * shares / share).alias("mix_due"),
+        F.coalesce(F.col("cycle") * shares + F.col("slot"), F.lit(2**40) + F.col("number")).cast("long").alias("mix_slot"),
+        F.pmod("at", F.lit(block)).cast("long").alias("mix_place"),
+        F.col("epoch").alias("mix_epoch"),
+        F.col("number").alias("mix_block"),
+        F.floor(F.col("number") * shares / share).alias("mix_release"),
+        F.ceil((F.col("number") + 1) * shares / share).alias("mix_due"),
     )

@@ -212,7 +212,7 @@ SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
-    out = line_dedup.drop_repeated_lines(docs.withColumn("n_lines", n_lines), removed_col="gone")
+    out = line_dedup.drop_repeated_lines(docs.select("doc_id", "text", n_lines.alias("n_lines")), removed_col="gone")
     return out.select(
         "doc_id",
         "n_lines",
