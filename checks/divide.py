@@ -10,6 +10,7 @@ from sparkprep.operators import assoc
 from sparkprep.operators import select as sel
 from sparkprep.operators import split as sp
 from sparkprep.operators.impute import RemainingFill
+from sparkprep.operators.information import neighbour_information
 from sparkprep.plans.selection import project_splits, run_selection
 from sparkprep.session import scratch_path
 from sparkprep.sources import tables
@@ -117,6 +118,48 @@ def _(s: Source):
     return out.withColumn("score", F.round("score", 6))
 
 
+def _digamma(m: str) -> str:
+    small = ", ".join(repr(sum(1.0 / i for i in range(1, k)) - 0.5772156649015329) for k in range(1, 10))
+    x = f"CAST({m} AS DOUBLE)"
+    series = f"ln({x}) - 1 / (2 * {x}) - 1 / (12 * {x} ** 2) + 1 / (120 * {x} ** 4) - 1 / (252 * {x} ** 6) + 1 / (240 * {x} ** 8)"
+    return f"CASE WHEN {m} < 10 THEN [{small}][CAST({m} AS INT)] ELSE {series} END"
+
+
+_KNN_FEATURES = ["p_size", "p_partkey", "brand", "sparse"]
+_KNN_TABLE = (
+    "(SELECT p_partkey, p_size, p_retailprice, CAST(substr(p_brand, 7) AS DOUBLE) AS brand, "
+    "CASE WHEN p_partkey % 3 = 0 THEN p_size * p_retailprice END AS sparse FROM part)"
+)
+
+
+def _knn_mi(c: str) -> str:
+    return (
+        f"SELECT '{c}' AS variable, any_value(n) AS n, greatest(any_value({_digamma('n')}) + {_digamma('5')} - avg({_digamma('nx')} + {_digamma('ny')}), 0) AS mi "
+        "FROM (SELECT r.id, r.n, count(*) FILTER (WHERE abs(q.x - r.x) <= greatest(r.r - 1, 0)) AS nx, "
+        "count(*) FILTER (WHERE abs(q.y - r.y) <= greatest(r.r - 1, 0)) AS ny FROM "
+        f"(SELECT p.id, any_value(p.x) AS x, any_value(p.y) AS y, any_value(p.n) AS n, list_sort(list(greatest(abs(p.x - q.x), abs(p.y - q.y))))[5] AS r FROM g_{c} p JOIN g_{c} q ON p.id <> q.id GROUP BY p.id) r, "
+        f"g_{c} q GROUP BY r.id, r.n)"
+    )
+
+
+def _on_grid(c: str) -> str:
+    grid = lambda v: f"CAST(floor({v} * (1073741824.0 / stddev_pop({v}) OVER ()) + 0.5) AS BIGINT)"
+    return (
+        f"g_{c} AS (SELECT p_partkey AS id, {grid(f'CAST({c} AS DOUBLE)')} AS x, {grid('p_retailprice')} AS y, count(*) OVER () AS n "
+        f"FROM {_KNN_TABLE} WHERE {c} IS NOT NULL AND p_retailprice IS NOT NULL)"
+    )
+
+
+@query(
+    "mi_neighbours",
+    "WITH " + ", ".join(_on_grid(c) for c in _KNN_FEATURES) + " SELECT variable, CAST(n AS BIGINT) AS n, round(mi, 6) AS mi FROM ("
+    + "\nUNION ALL\n".join(_knn_mi(c) for c in _KNN_FEATURES) + ")",
+)
+def _(s: Source):
+    df = s.spark.sql("SELECT * FROM " + _KNN_TABLE.replace("FROM part", "FROM {part}"), part=s.table("part"))
+    return neighbour_information(df, _KNN_FEATURES, "p_retailprice").withColumn("mi", F.round("mi", 6))
+
+
 _CR = "cr AS (" + "\nUNION ALL\n".join(f"SELECT '{c}' AS variable, abs(corr({c}, target)) AS r FROM survey" for c in FEATURES) + ")"
 _SETS = (
     f"WITH {_MI}, {_CR}, a AS (SELECT variable, CAST(row_number() OVER (ORDER BY mi DESC, variable) AS INT) AS rank_mi FROM mi QUALIFY rank_mi <= 4), "
