@@ -47,11 +47,31 @@ def _(s: Source):
     return _r6(assoc.pearson_matrix(s.table("lineitem"), _LINE), "r")
 
 
-@query("corr_pearson_wide", f"SELECT var_a, var_b, n, round(r, 6) AS r FROM ({_pearson_all(_LINE, 'lineitem')})")
+#: 17 columns, so 136 pairs: beyond the aggregates of few pairs.
+_WIDE = dict(enumerate("""l_orderkey
+l_partkey
+l_suppkey
+l_linenumber
+l_quantity
+l_extendedprice
+l_discount
+l_tax
+l_quantity * l_discount
+l_extendedprice * l_tax
+l_extendedprice * (1 - l_discount)
+CASE WHEN l_orderkey % 3 = 0 THEN l_quantity END
+CASE WHEN l_orderkey % 5 <> 0 THEN l_extendedprice + 1000000000 END
+CASE WHEN l_linenumber <> 2 THEN l_tax END
+CASE WHEN l_linenumber = 3 OR l_quantity > 40 THEN l_discount - l_tax END
+l_partkey % 97
+l_suppkey % 13""".splitlines()))
+_WIDE_TABLE = "(SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS c{i}" for i, e in _WIDE.items()) + " FROM lineitem)"
+
+
+@query("corr_pearson_wide", f"SELECT var_a, var_b, n, round(r, 6) AS r FROM ({_pearson_all([f'c{i}' for i in _WIDE], _WIDE_TABLE)})")
 def _(s: Source):
-    # the path of wide tables: one moment matrix per partition
-    value = lambda c: F.col(c).cast("double")
-    return _r6(assoc.pearson_moments(s.table("lineitem"), _LINE, value), "r")
+    df = s.table("lineitem").select(*[F.expr(e).cast("double").alias(f"c{i}") for i, e in _WIDE.items()])
+    return _r6(assoc.pearson_matrix(df), "r")
 
 
 _FLAGGED = "(SELECT coalesce(q1_average_score, -1) AS a, coalesce(q1_total_timing, -1) AS b FROM survey)"
@@ -131,6 +151,18 @@ def _(s: Source):
     return _r6(assoc.spearman(s.table("lineitem"), [("l_extendedprice", "l_quantity")]), "r")
 
 
+#: 36 pairs: beyond the rows of few pairs, counted in tables that each task keeps.
+_MANY = ["ord_a", "ord_b", "country_id", "target", "q1_average_score", "q1_total_timing", "num_low_missing", "num_high_missing", "num_sparse"]
+
+
+@query(
+    "spearman_wide",
+    with_survey("SELECT var_a, var_b, n, round(r, 6) AS r FROM (" + "\nUNION ALL\n".join(_spearman(a, b, "survey") for a, b in combinations(_MANY, 2)) + ")"),
+)
+def _(s: Source):
+    return _r6(assoc.spearman(s.survey.select(*_MANY), list(combinations(_MANY, 2))), "r")
+
+
 def _cramers(a: str, b: str, table: str, yates: bool = False) -> str:
     term = "greatest(abs(o - e) - 0.5, 0) * greatest(abs(o - e) - 0.5, 0) / e" if yates else "(o - e) * (o - e) / e"
     return (
@@ -153,6 +185,14 @@ def _(s: Source):
     return _r6(assoc.cramers_v(s.survey, _CV), "chi2", "v")
 
 
+_LEVELS = ["cat_bin", "cat_low", "cat_rare", "country", "ord_a", "ord_b", "country_id", "meta_const", "q1_average_score"]
+
+
+@query("cramers_v_wide", with_survey("\nUNION ALL\n".join(_cramers(a, b, "survey") for a, b in combinations(_LEVELS, 2))))
+def _(s: Source):
+    return _r6(assoc.cramers_v(s.survey, list(combinations(_LEVELS, 2)), yates=False), "chi2", "v")
+
+
 @query("cramers_v_yates", _cramers("quality", "toxic", "labels", yates=True))
 def _(s: Source):
     return _r6(assoc.cramers_v(s.table("labels"), [("quality", "toxic")]), "chi2", "v")

@@ -5,18 +5,25 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkprep.functions.scalar import col, lenient_double
 from sparkprep.operators.joins import join_levels
 from sparkprep.operators.ranking import running_totals
-from sparkprep.operators.stats import aggregate_long, missing_matrix, missing_table, n_unique, null_rates, numeric_columns
+from sparkprep.operators.stats import missing_matrix, missing_table, n_unique, null_rates, numeric_columns
 from sparkprep.session import materialise
 
 #: Up to this many pairs are computed as JVM aggregates; wider tables use
-#: per-partition moment matrices.
+#: per-partition moment matrices.  Both merge centred moments and treat nulls,
+#: NaN, constants and empty tables alike.
 JVM_PAIRS = 120
+#: Up to this many pairs are counted from one row per row and pair; more in
+#: tables that each task keeps.  Counts are the same.
+ROW_PAIRS = 24
+#: Cells that a task keeps before it hands them on, and widest dense table.
+TASK_CELLS, DENSE = 2_000_000, 65_536
 
 PAIR_SCHEMA = "var_a string, var_b string, n bigint, r double"
 
@@ -47,52 +54,79 @@ def _pearson_jvm(df: DataFrame, pairs: list[tuple[str, str]], value) -> DataFram
     return df.agg(*aggs).select(F.stack(F.lit(len(pairs)), *args).alias("var_a", "var_b", "n", "r"))
 
 
+def _task_moments(batches, p: int):
+    """Means, centred squares and products, least and greatest values of all column pairs over the rows of a task.
+
+    Rows of one missing pattern are centred on their own means, then merged by the update formula for parts, so digits
+    survive wherever the values lie and whatever is missing.
+    """
+    import numpy as np
+
+    n, mean, square, cross = np.zeros((p, p)), np.zeros((p, p)), np.zeros((p, p)), np.zeros((p, p))
+    low, high = np.full((p, p), np.inf), np.full((p, p), -np.inf)
+    for pdf in batches:
+        x = pdf.to_numpy(dtype=float, na_value=np.nan)
+        pattern, of = np.unique(~np.isnan(x), axis=0, return_inverse=True)
+        order = np.argsort(of.ravel(), kind="stable")
+        ends = np.cumsum(np.bincount(of.ravel(), minlength=len(pattern)))
+        for mask, end, start in zip(pattern, ends, np.concatenate(([0], ends[:-1])), strict=True):
+            has = np.flatnonzero(mask)
+            if len(has) < 2:
+                continue
+            at, rows = np.ix_(has, has), x[order[start:end]][:, has]
+            k, m = end - start, rows.mean(axis=0)
+            z = rows - m
+            c = z.T @ z
+            total = n[at] + k
+            gap = m[:, None] - mean[at]
+            weight = n[at] * k / total
+            # mean[i, j] and square[i, j] are those of column i where column j is present
+            square[at] += np.diag(c)[:, None] + gap * gap * weight
+            cross[at] += c + gap * gap.T * weight
+            mean[at] += gap * k / total
+            n[at] = total
+            low[at] = np.minimum(low[at], rows.min(axis=0)[:, None])
+            high[at] = np.maximum(high[at], rows.max(axis=0)[:, None])
+    return n, mean, square, cross, low, high
+
+
 def pearson_moments(df: DataFrame, cols: list[str], value) -> DataFrame:
-    """All pairs of many columns: one moment matrix per partition, summed by pair."""
+    """All pairs of many columns: centred co-moments of each task, merged by pair."""
     import numpy as np
     import pandas as pd
 
+    p, spark = len(cols), df.sparkSession
     data = df.select(*[value(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    names = data.columns
-    # shifting by the mean keeps the sums small; a constant is shifted to exact zeros
-    centre = lambda c: F.coalesce(F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c)), F.lit(0.0))
-    centres = {r.variable: r.m for r in aggregate_long(data, names, {"m": (centre, "double")}).collect()}
-    shift = np.array([centres[n] for n in names])
-    upper = np.triu_indices(len(names), 1)
+    upper = np.triu_indices(p, 1)
 
     def moments(batches):
-        sums = None
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=float, na_value=np.nan)
-            m = ~np.isnan(x)
-            z = np.where(m, x - shift, 0.0)
-            m = m.astype(float)
-            part = [m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z]
-            sums = part if sums is None else [s + p for s, p in zip(sums, part)]
-        if sums is not None:
-            n, s1, s2, xy = sums
-            i, j = upper
-            yield pd.DataFrame(
-                {"i": i, "j": j, "n": n[i, j], "sa": s1[i, j], "sb": s1[j, i], "qa": s2[i, j], "qb": s2[j, i], "xy": xy[i, j]}
-            )
-
-    schema = "i int, j int, n double, sa double, sb double, qa double, qb double, xy double"
-    total = data.mapInPandas(moments, schema).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "xy")]
+        n, mean, square, cross, low, high = _task_moments(batches, p)
+        i, j = upper
+        some = n[i, j] > 0
+        i, j = i[some], j[some]
+        parts = {"ma": mean[i, j], "mb": mean[j, i], "qa": square[i, j], "qb": square[j, i], "xy": cross[i, j]}
+        varies = {"la": low[i, j], "ha": high[i, j], "lb": low[j, i], "hb": high[j, i]}
+        yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], **parts, **varies})
+
+    parts = data.mapInPandas(moments, "i int, j int, " + ", ".join(f"{c} double" for c in "n ma mb qa qb xy la ha lb hb".split()))
+    parts = materialise(parts, "moments")
+    of_pair = Window.partitionBy("i", "j")
+    # one row for each task and pair; parts are moved to the mean of all of them
+    whole = lambda m: F.col(m) - F.sum(F.col("n") * F.col(m)).over(of_pair) / F.sum("n").over(of_pair)
+    moved = parts.withColumns({"da": whole("ma"), "db": whole("mb")})
+    shifted = lambda q, a, b: F.sum(F.col(q) + F.col("n") * F.col(a) * F.col(b))
+    total = moved.groupBy("i", "j").agg(
+        F.sum("n").alias("n"),
+        shifted("qa", "da", "da").alias("qa"),
+        shifted("qb", "db", "db").alias("qb"),
+        shifted("xy", "da", "db").alias("xy"),
+        ((F.min("la") < F.max("ha")) & (F.min("lb") < F.max("hb"))).alias("varies"),
     )
-    n = F.col("n")
-    def spread(q: str, s: str) -> Column:
-        rest = F.col(q) - F.try_divide(F.col(s) * F.col(s), n)
-        # what is left of a column that is constant on these rows is rounding noise
-        return F.when(rest > F.col(q) * F.lit(1e-12), rest)
-
-    cov = F.col("xy") - F.try_divide(F.col("sa") * F.col("sb"), n)
+    pairs = spark.range(p * p).select(F.floor(F.col("id") / p).cast("int").alias("i"), (F.col("id") % p).cast("int").alias("j")).where("i < j")
     label = lambda k: F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(k) + 1)
-    return total.select(
-        label("i").alias("var_a"),
-        label("j").alias("var_b"),
-        n.cast("bigint").alias("n"),
-        F.try_divide(cov, F.sqrt(spread("qa", "sa") * spread("qb", "sb"))).alias("r"),
+    r = F.when(F.col("varies"), F.try_divide("xy", F.sqrt("qa") * F.sqrt("qb")))
+    return pairs.join(total, ["i", "j"], "left").select(
+        label("i").alias("var_a"), label("j").alias("var_b"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), r.alias("r")
     )
 
 
@@ -145,6 +179,8 @@ def missing_correlations(
 
 def _cells(df: DataFrame, pairs: list[tuple[str, str]], value) -> DataFrame:
     """Counts of the value pairs of each column pair, rows with a null left out."""
+    if len(pairs) > ROW_PAIRS:
+        return _cells_by_task(df, pairs, value)
     args = [a for i, (x, y) in enumerate(pairs) for a in (F.lit(i), value(x), value(y))]
     long = df.select(F.stack(F.lit(len(pairs)), *args).alias("pair", "x", "y"))
     return (
@@ -154,15 +190,105 @@ def _cells(df: DataFrame, pairs: list[tuple[str, str]], value) -> DataFrame:
     )
 
 
+class _TaskTables:
+    """Contingency tables of many column pairs: codes by column, dense counts for few levels, sorted keys for many."""
+
+    def __init__(self, n_cols: int, pairs: list[tuple[int, int]]):
+        self.codes: list[dict] = [{} for _ in range(n_cols)]
+        self.pairs, self.dense, self.keyed = pairs, {}, {}
+
+    def add(self, columns: list) -> None:
+        import numpy as np
+        import pandas as pd
+
+        coded = []
+        for known, c in zip(self.codes, columns, strict=True):
+            at, levels = pd.factorize(c)
+            place = np.array([known.setdefault(v, len(known)) for v in levels.tolist()] + [-1], dtype=np.int64)
+            coded.append(place[at])
+        for k, (a, b) in enumerate(self.pairs):
+            both = (coded[a] >= 0) & (coded[b] >= 0)
+            x, y = coded[a][both], coded[b][both]
+            shape = (len(self.codes[a]), len(self.codes[b]))
+            if k not in self.keyed and shape[0] * shape[1] <= DENSE:
+                table = np.bincount(x * max(shape[1], 1) + y, minlength=shape[0] * shape[1]).reshape(shape)
+                if k in self.dense:
+                    old = self.dense[k]
+                    table[: old.shape[0], : old.shape[1]] += old
+                self.dense[k] = table
+                continue
+            keys, n = np.unique(x << 32 | y, return_counts=True)
+            if k in self.dense:
+                old = self.dense.pop(k)
+                i, j = np.nonzero(old)
+                self.keyed[k] = (i << 32 | j, old[i, j])
+            if k in self.keyed:
+                keys, place = np.unique(np.concatenate([keys, self.keyed[k][0]]), return_inverse=True)
+                n = np.bincount(place, weights=np.concatenate([n, self.keyed[k][1]])).astype(np.int64)
+            self.keyed[k] = (keys, n)
+
+    def size(self) -> int:
+        return sum(t.size for t in self.dense.values()) + sum(len(keys) for keys, _ in self.keyed.values()) + sum(map(len, self.codes))
+
+    def cells(self):
+        """``(pair, x, y, n)`` by pair."""
+        import numpy as np
+
+        names = [np.array(list(c), dtype=object) for c in self.codes]
+        for k, (a, b) in enumerate(self.pairs):
+            if k in self.dense:
+                i, j = np.nonzero(self.dense[k])
+                n = self.dense[k][i, j]
+            elif k in self.keyed:
+                keys, n = self.keyed[k]
+                i, j = keys >> 32, keys & 0xFFFFFFFF
+            else:
+                continue
+            yield k, names[a][i], names[b][j], n
+
+
+def _cells_by_task(df: DataFrame, pairs: list[tuple[str, str]], value) -> DataFrame:
+    """The same counts without a row for each row and pair: a task keeps the tables of its rows and hands on their cells."""
+    import pandas as pd
+
+    names = sorted({c for p in pairs for c in p})
+    data = df.select(*[value(c).alias(f"c{i}") for i, c in enumerate(names)])
+    places = [(names.index(a), names.index(b)) for a, b in pairs]
+    kind = "double" if data.schema and isinstance(data.schema[0].dataType, T.DoubleType) else "string"
+
+    def tables(batches):
+        def frames(t):
+            for k, x, y, n in t.cells():
+                for at in range(0, len(n), 100_000):
+                    part = slice(at, at + 100_000)
+                    yield pd.DataFrame({"pair": k, "x": x[part], "y": y[part], "n": n[part]}).astype({"pair": "int32", "n": "int64"})
+
+        held = _TaskTables(len(names), places)
+        for pdf in batches:
+            held.add([pdf[c] for c in pdf.columns])
+            if held.size() > TASK_CELLS:
+                yield from frames(held)
+                held = _TaskTables(len(names), places)
+        yield from frames(held)
+
+    found = data.mapInPandas(tables, f"pair int, x {kind}, y {kind}, n long")
+    return found.groupBy("pair", "x", "y").agg(F.sum("n").alias("n"))
+
+
+def _rankable(c: str, dtype) -> Column:
+    """A value as a number; NaN is missing, and adding zero merges -0.0 with 0.0, as grouping does."""
+    x = lenient_double(col(c), dtype) + F.lit(0.0)
+    return F.when(~F.isnan(x), x)
+
+
 def spearman(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Spearman correlation ``(var_a, var_b, n, r)`` of each pair on its complete rows.
 
-    Equal values share their average rank.  The data is read once; ranks come
-    from the distinct values of each side.
+    Equal values share their average rank; NaN is missing.  The data is read
+    once; ranks come from the distinct values of each side.
     """
     types = {f.name: f.dataType for f in df.schema}
-    # adding zero merges -0.0 with 0.0, as grouping does
-    cells = materialise(_cells(df, pairs, lambda c: lenient_double(col(c), types[c]) + F.lit(0.0)), "cells")
+    cells = materialise(_cells(df, pairs, lambda c: _rankable(c, types[c])), "cells")
 
     def ranked(side: str) -> tuple[DataFrame, int]:
         # shape of a level table: the pair is the variable, the weight is the row count

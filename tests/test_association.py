@@ -99,3 +99,61 @@ def test_p_value():
 def test_duplicate_candidates():
     names = ["ST006", "ST006_duplicated_0", "X_duplicated_0", "other"]
     assert assoc.duplicate_candidates(names) == [("ST006", "ST006_duplicated_0")]
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_pearson_rules_do_not_depend_on_the_number_of_columns(spark, monkeypatch, wide):
+    monkeypatch.setattr(assoc, "JVM_PAIRS", 0 if wide else 300)
+    rows = [(float(i), float((i * 7) % 20), 0.1, float("nan") if i % 2 else i * 1.0, 1e9 + (i * i) % 7, None if i < 10 else 1e9 + i % 3) for i in range(20)]
+    rows += [(1e9, None, 0.1, None, 1e9, 0.5), (None, None, None, None, None, None)]
+    names = list("abcdef")
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r.var_a, r.var_b): (r.n, r.r) for r in assoc.pearson_matrix(df, names).collect()}
+    assert len(got) == 15
+    for i, j in itertools.combinations(range(6), 2):
+        both = [(r[i], r[j]) for r in rows if None not in (r[i], r[j]) and not math.isnan(r[i]) and not math.isnan(r[j])]
+        n, r = got[names[i], names[j]]
+        assert n == len(both)
+        x, y = (np.array(v, dtype=np.longdouble) for v in zip(*both))
+        if (x == x[0]).all() or (y == y[0]).all():
+            assert r is None
+        else:
+            dx, dy = x - x.mean(), y - y.mean()
+            assert r == pytest.approx(float((dx @ dy) / np.sqrt((dx @ dx) * (dy @ dy))), abs=1e-7)
+    empty = assoc.pearson_matrix(df.where("false"), names).collect()
+    assert len(empty) == 15 and all((r.n, r.r) == (0, None) for r in empty)
+
+
+def test_rank_correlation_leaves_nan_out(table):
+    nan = float("nan")
+    df = table("a double, b double", (1.0, nan), (2.0, 2.0), (3.0, 1.0), (4.0, 0.0))
+    row = assoc.spearman(df, [("a", "b")]).first()
+    assert (row.n, row.r) == (3, pytest.approx(-1.0))
+
+
+def test_task_tables_equal_row_counts(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [tuple(None if rng.random() < 0.1 else float(rng.integers(0, m)) for m in (2, 5, 40, 3000)) + (-0.0 if i % 2 else 0.0,) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(6)
+    pairs = list(itertools.combinations("abcde", 2))
+    value = lambda c: assoc._rankable(c, df.schema[c].dataType)
+    counts = lambda: {(r.pair, r.x, r.y): r.n for r in assoc._cells(df, pairs, value).collect()}
+    by_row = counts()
+    monkeypatch.setattr(assoc, "ROW_PAIRS", 0)
+    assert counts() == by_row
+    monkeypatch.setattr(assoc, "TASK_CELLS", 500)
+    monkeypatch.setattr(assoc, "DENSE", 100)
+    assert counts() == by_row
+    text = df.select(*[df[c].cast("int").cast("string").alias(c) for c in "abcd"])
+    v = {(r.var_a, r.var_b): (r.n, r.levels_a, r.levels_b, r.chi2) for r in assoc.cramers_v(text, list(itertools.combinations("abcd", 2))).collect()}
+    monkeypatch.setattr(assoc, "ROW_PAIRS", 99)
+    w = {(r.var_a, r.var_b): (r.n, r.levels_a, r.levels_b, r.chi2) for r in assoc.cramers_v(text, list(itertools.combinations("abcd", 2))).collect()}
+    assert v.keys() == w.keys() and all(v[k][:3] == w[k][:3] and v[k][3] == pytest.approx(w[k][3]) for k in v)
+
+
+def test_many_pairs_do_not_multiply_rows(spark):
+    df = spark.range(10).selectExpr(*[f"CAST(id % {k + 2} AS DOUBLE) AS c{k}" for k in range(90)])
+    pairs = list(itertools.combinations(df.columns, 2))
+    assert len(pairs) > 4000
+    plan = assoc._cells(df, pairs, lambda c: assoc._rankable(c, df.schema[c].dataType))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
