@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkprep.functions.scalar import col, is_integral
+from sparkprep.functions.scalar import col, free_names, is_integral
 from sparkprep.operators import levels as lv
 from sparkprep.operators.base import FitStep, StateModel, keyword_only, project
 from sparkprep.operators.joins import join_levels
@@ -112,7 +112,7 @@ class LevelModel(StateModel):
         for i, (c, rows) in enumerate(state["sizes"].items()):
             if c not in types:
                 continue
-            key, value = f"_key{i}", f"_value{i}"
+            key, value = free_names(df.columns, f"_key{i}", f"_value{i}")
             part = self.table.where(F.col("variable") == c).select(
                 F.col("level").alias(key), "n", F.col("value").alias(value)
             )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkprep.functions.scalar import col, number
+from sparkprep.functions.scalar import col, free_names, number
 from sparkprep.operators.base import FitStep, keyword_only
 from sparkprep.operators.encode import LevelModel
 from sparkprep.operators.joins import join_levels
@@ -224,21 +224,22 @@ class KnnModel(LevelModel):
         state = self.getState()
         cols, k, means = state["cols"], state["k"], state["means"]
         names = df.columns
-        keyed = df.withColumn("_profile", _profile_key(cols))
+        key, *found = free_names(names, "_profile", *[f"_v{i}" for i in range(len(cols))])
+        keyed = df.withColumn(key, _profile_key(cols))
         incomplete = F.lit(False)
         for c in cols:
             incomplete = incomplete | col(c).isNull()
         seen = cut_lineage(_profiles(df.where(incomplete), cols))
         values = impute_profiles(seen, self.table, len(cols), k, state.get("lead"))
         wide = values.groupBy("profile").agg(
-            *[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(f"_v{i}") for i in range(len(cols))]
+            *[F.max(F.when(F.col("feature") == i, F.col("value"))).alias(found[i]) for i in range(len(cols))]
         )
         lookup = cut_lineage(
-            seen.select("profile", "n").join(wide, "profile", "left").withColumnRenamed("profile", "_profile")
+            seen.select("profile", "n").join(wide, "profile", "left").withColumnRenamed("profile", key)
         )
-        joined = join_levels(keyed, lookup, "_profile")
+        joined = join_levels(keyed, lookup, key)
         filled = {
-            c: F.coalesce(col(c).cast("double"), F.col(f"_v{i}"), F.lit(means[c]).cast("double"))
+            c: F.coalesce(col(c).cast("double"), F.col(found[i]), F.lit(means[c]).cast("double"))
             for i, c in enumerate(cols)
         }
         return joined.select(*[filled[c].alias(c) if c in filled else col(c) for c in names])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkprep.functions.scalar import KEY_DIGITS, col, key_number, order_key, right_closed_bin, right_open_bin
+from sparkprep.functions.scalar import KEY_DIGITS, col, free_names, key_number, order_key, right_closed_bin, right_open_bin
 from sparkprep.operators.joins import join_levels
 from sparkprep.operators.quantiles import exact_quantiles, select_ranks
 from sparkprep.session import materialise
@@ -101,11 +101,12 @@ def split_stratified(
     sizes = lambda n: (int(n * test_size), int(n * val_size))
     cuts = key_cuts(df, b, key, lambda _, n: [sizes(n)[0], sum(sizes(n))])
     part = F.lit(None).cast("string")
+    of_bin, of_key = free_names(df.columns, "_bin", "_key")
     for g, (n, by_rank) in cuts.items():
-        part = F.when(F.col("_bin") == int(g), _part(F.col("_key"), by_rank, *sizes(n))).otherwise(part)
+        part = F.when(F.col(of_bin) == int(g), _part(F.col(of_key), by_rank, *sizes(n))).otherwise(part)
     return (
-        df.select("*", b.alias("_bin"), key.alias("_key"))
-        .select(*[col(c) for c in df.columns], F.col("_bin").alias("bin"), part.alias(name))
+        df.select("*", b.alias(of_bin), key.alias(of_key))
+        .select(*[col(c) for c in df.columns], F.col(of_bin).alias("bin"), part.alias(name))
     )
 
 
@@ -163,10 +164,11 @@ def stratified_folds(df: DataFrame, target: str, id_cols: list[str], folds=5, bi
     starts = lambda n: [n * i // folds for i in range(1, folds)]
     cuts = key_cuts(df, b, key, lambda _, n: starts(n))
     fold = F.lit(None).cast("int")
+    of_bin, of_key = free_names(df.columns, "_bin", "_key")
     for g, (n, by_rank) in cuts.items():
-        passed = [(F.col("_key") >= F.lit(by_rank[r])).cast("int") for r in starts(n) if r in by_rank]
-        fold = F.when(F.col("_bin") == int(g), sum(passed, F.lit(0))).otherwise(fold)
-    return df.select("*", b.alias("_bin"), key.alias("_key")).select(*[col(c) for c in df.columns], fold.alias(name))
+        passed = [(F.col(of_key) >= F.lit(by_rank[r])).cast("int") for r in starts(n) if r in by_rank]
+        fold = F.when(F.col(of_bin) == int(g), sum(passed, F.lit(0))).otherwise(fold)
+    return df.select("*", b.alias(of_bin), key.alias(of_key)).select(*[col(c) for c in df.columns], fold.alias(name))
 
 
 def undersample(df: DataFrame, column: str, id_cols: list[str], seed=42) -> DataFrame:
@@ -177,7 +179,10 @@ def undersample(df: DataFrame, column: str, id_cols: list[str], seed=42) -> Data
     kept up to the cut and only the range the cut falls in is numbered.
     """
     keyed = df.where(col(column).isNotNull()).select(
-        "*", col(column).cast("string").alias("_class"), order_key(id_cols, seed).alias("_key")
+        F.struct(*[col(c) for c in df.columns]).alias("_row"),
+        F.struct(*[col(c) for c in id_cols]).alias("_id"),
+        col(column).cast("string").alias("_class"),
+        order_key(id_cols, seed).alias("_key"),
     )
     sizes = materialise(keyed.groupBy("_class").agg(F.count(F.lit(1)).alias("n")), "classes")
     smallest = sizes.agg(F.min("n")).first()[0]
@@ -198,11 +203,11 @@ def undersample(df: DataFrame, column: str, id_cols: list[str], seed=42) -> Data
         .join(sizes, "_class")
     )
     placed = join_levels(keyed, materialise(cuts, "cuts"), "_class").withColumn("_place", place)
-    order = Window.partitionBy("_class").orderBy("_key", *[col(c) for c in id_cols])
+    order = Window.partitionBy("_class").orderBy("_key", "_id")
     edge = (
         placed.where(F.col("_place") == F.col("_cut"))
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= F.col("_need"))
     )
-    names = [col(c) for c in df.columns]
+    names = [F.col("_row").getField(c).alias(c) for c in df.columns]
     return placed.where(F.col("_place") < F.col("_cut")).select(*names).unionByName(edge.select(*names))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from datetime import datetime
 
@@ -22,14 +23,49 @@ def header_schema(spark: SparkSession, path: str, column_types: dict[str, str],
     return T.StructType([T.StructField(n, T._parse_datatype_string(column_types.get(n, default))) for n in names])
 
 
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` by the names in their header; only first lines are read."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        line = spark.read.text(file).head()
+        found.setdefault(tuple(next(csv.reader([line[0]]))) if line else (), []).append(file)
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, column_types: dict[str, str] | T.StructType, strict: bool = False) -> DataFrame:
-    """Csv with a header.  A cell that does not fit its type is null, or an error when ``strict``.
+    """Csv with a header of one line.  A cell that does not fit its type is null, or an error when ``strict``.
 
-    ``strict`` also compares the header of every file with the schema.
+    ``strict`` also compares the header of every file with the schema.  Otherwise files whose headers name columns in
+    another order, or name others, are read by name: a column that a file lacks is null there, and columns that only
+    later files have are appended.  A given schema fixes the columns; files that have none of them are read by position.
     """
-    schema = column_types if isinstance(column_types, T.StructType) else header_schema(spark, path, column_types)
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    return spark.read.schema(schema).option("header", True).option("mode", mode).option("enforceSchema", not strict).csv(path)
+    if strict:
+        schema = column_types if isinstance(column_types, T.StructType) else header_schema(spark, path, column_types)
+        return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+    given = column_types.names if isinstance(column_types, T.StructType) else None
+    types = {f.name: f.dataType.simpleString() for f in column_types} if given else column_types
+
+    def read(where, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(where)
+
+    def typed(names) -> T.StructType:
+        return T.StructType([T.StructField(n, T._parse_datatype_string(types.get(n, "string"))) for n in names])
+
+    headers = {h: files for h, files in _headers(spark, path).items() if h}
+    if len(headers) <= 1:
+        names = next(iter(headers), None)
+        if given and (names is None or names == tuple(given) or not set(names) & set(given)):
+            return read(path, column_types)
+        if not given:
+            return read(path, header_schema(spark, path, types))
+    out = None
+    for names, files in headers.items():
+        by_name = not given or set(names) & set(given)
+        part = read(files, typed(names) if by_name else column_types)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if given:
+        return out.select(*[col(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in column_types])
+    return out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -44,11 +80,56 @@ def write_run(df: DataFrame, root: str, run_ts: str | None = None, fmt: str = "p
     """Write one run below ``root/run_ts=...`` and return its timestamp."""
     run_ts = run_ts or run_timestamp()
     df.write.format(fmt).option("header", True).save(f"{root}/run_ts={run_ts}")
+    _finish(df.sparkSession, f"{root}/run_ts={run_ts}")
     return run_ts
 
 
+#: Written last into a finished run; readers of data skip names that start so.
+MANIFEST = "_manifest.json"
+
+
+def _files(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Data files below a folder with their sizes."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root, found = fs.makeQualified(path).toString(), {}
+    listed = fs.listFiles(path, True)
+    while listed.hasNext():
+        status = listed.next()
+        name = status.getPath().toString()[len(root) + 1 :]
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found[name] = status.getLen()
+    return found
+
+
+def _finish(spark: SparkSession, folder: str) -> None:
+    """The manifest: names and sizes of the run's files, put in place by a rename."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = path(f"{folder}/_{MANIFEST}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(_files(spark, folder)).encode()))
+    out.close()
+    if not fs.rename(draft, path(f"{folder}/{MANIFEST}")):
+        raise OSError(f"can't finish the run {folder}")
+
+
+def is_finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a run has its manifest and every file that it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{MANIFEST}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return False
+    stream = fs.open(path)  # Spark's readers skip its name
+    named = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    there = _files(spark, folder)
+    return all(there.get(name) == size for name, size in named.items())
+
+
 def run_timestamps(spark: SparkSession, root: str) -> list[str]:
-    """Timestamps of the runs below ``root``, oldest first (a folder listing)."""
+    """Timestamps of the runs below ``root``, finished or not, oldest first (a folder listing)."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
@@ -56,11 +137,11 @@ def run_timestamps(spark: SparkSession, root: str) -> list[str]:
 
 
 def read_latest_run(spark: SparkSession, root: str, fmt: str = "parquet", **options) -> DataFrame:
-    """The run with the greatest timestamp; no other run is read."""
-    runs = run_timestamps(spark, root)
-    if not runs:
-        raise FileNotFoundError(f"no run below {root}")
-    return spark.read.format(fmt).options(header=True, **options).load(f"{root}/run_ts={runs[-1]}")
+    """The finished run with the greatest timestamp; no other run is read.  Runs whose writer died are passed over."""
+    for ts in reversed(run_timestamps(spark, root)):
+        if is_finished(spark, f"{root}/run_ts={ts}"):
+            return spark.read.format(fmt).options(header=True, **options).load(f"{root}/run_ts={ts}")
+    raise FileNotFoundError(f"no finished run below {root}")
 
 
 def attach_target(
@@ -117,4 +198,5 @@ def write_splits(df: DataFrame, root: str, run_ts: str | None = None, split: str
     """The three parts of a projected table below one run, one folder per part."""
     run_ts = run_ts or run_timestamp()
     df.write.partitionBy(split).parquet(f"{root}/run_ts={run_ts}")
+    _finish(df.sparkSession, f"{root}/run_ts={run_ts}")
     return run_ts

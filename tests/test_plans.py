@@ -4,9 +4,14 @@ import pytest
 from conftest import column
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkprep.operators import profile, stats, validate
+from sparkprep.operators.encode import FrequencyCoder, OrdinalCoder, RareGrouper
 from sparkprep.operators.impute import RemainingFill
+from sparkprep.operators.knn import KnnFill
+from sparkprep.operators.shuffle import permuted_column
+from sparkprep.operators.split import split_stratified, stratified_folds, undersample
 from sparkprep.plans import numeric, preprocessors, roles
 from sparkprep.plans.selection import run_selection
 from sparkprep.session import scratch_path, shared_dir
@@ -220,3 +225,47 @@ def test_remaining_fill_is_idempotent(spark):
     once = RemainingFill().fit(df).transform(df)
     twice = RemainingFill().fit(once).transform(once)
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_unfinished_runs_are_passed_over(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    tables.write_run(spark.range(3), root, "20240101_000000")
+    # a writer that died: data without a manifest, one that left only its scratch folder, and one that lost a file
+    spark.range(9).write.parquet(f"{root}/run_ts=20240102_000000")
+    (tmp_path / "runs" / "run_ts=20240103_000000" / "_temporary").mkdir(parents=True)
+    tables.write_run(spark.range(4).repartition(2), root, "20240104_000000")
+    next((tmp_path / "runs" / "run_ts=20240104_000000").glob("part-*.parquet")).unlink()
+    assert tables.read_latest_run(spark, root).count() == 3
+    assert len(tables.run_timestamps(spark, root)) == 4
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "runs" / "run_ts=20240101_000000" / tables.MANIFEST).unlink()
+        tables.read_latest_run(spark, root)
+
+
+def test_lenient_csv_reads_swapped_headers_by_name(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n10,x\n")
+    (tmp_path / "2.csv").write_text('b,a,"c,d"\ny,20,z\n')
+    (tmp_path / "3.csv").write_text("")
+    got = tables.read_csv(spark, str(tmp_path), {"a": "int"})
+    assert got.columns == ["a", "b", "c,d"]
+    assert {tuple(r) for r in got.collect()} == {(10, "x", None), (20, "y", "z")}
+    given = tables.read_csv(spark, str(tmp_path), T.StructType.fromDDL("b string, a int"))
+    assert {tuple(r) for r in given.collect()} == {("x", 10), ("y", 20)}
+
+
+def test_columns_named_like_internal_ones_come_back(spark):
+    names = "_profile _v0 _class _key _row _id _block _partner _key0 _value0 _bin _cut _place _rows _need _ranges".split()
+    rows = [(i, float(i) if i % 5 else None, f"l{i % 90}", "xy"[i % 2], *[f"{n}{i}" for n in names]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, x double, level string, side string, " + ", ".join(f"{n} string" for n in names))
+    want = {r[0]: r[4:] for r in rows}
+    outs = [
+        KnnFill(inputCols=["x"]).fit(df).transform(df),
+        undersample(df, "side", ["id"]),
+        permuted_column(df, "x", ["id"], 3),
+        split_stratified(df, "x", ["id"]).select(*df.columns),
+        stratified_folds(df, "x", ["id"]).select(*df.columns),
+        *[c(inputCols=["level"]).fit(df).transform(df) for c in (OrdinalCoder, FrequencyCoder, RareGrouper)],
+    ]
+    for out in outs:
+        got = {r.id: tuple(r[n] for n in names) for r in out.collect()}
+        assert got and all(want[i] == v for i, v in got.items())
