@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.functions.scalar import col
+from sparkprep.functions.scalar import col, free_names
 from sparkprep.llm.frames import map_texts, text_of
 from sparkprep.llm.graph import components
 from sparkprep.llm.text import GOLDEN, SPACED, mix, shingles, stride, words
@@ -269,6 +269,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class: the rows of the least id.  Rows that repeat an id stay or go together."""
     found = classes(df, id_col, text_col, threshold).where("id is not null and id <> component")
-    gone = found.select(F.col("id").alias("__id")).distinct()
-    kept = df.join(gone, col(id_col).cast("long") == F.col("__id"), "left_anti")
-    return kept
+    (of_id,) = free_names(df.columns, "__id")
+    gone = found.select(F.col("id").alias(of_id)).distinct()
+    return df.join(gone, col(id_col).cast("long") == F.col(of_id), "left_anti")

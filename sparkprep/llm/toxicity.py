@@ -311,10 +311,10 @@ def scores(
     docs = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
     model = fit(docs, learn)
     # bytes that hold the classes too: executors need no copy of this folder
-    shared, key = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), uuid.uuid4().hex
+    shared, stamp = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model)), uuid.uuid4().hex
 
     def score(texts):
-        m = latest("toxicity", key, lambda: pickle.loads(shared.value))
+        m = latest("toxicity", stamp, lambda: pickle.loads(shared.value))
         names = [*m.vocabulary, "*"]
         out, why, seen = [], [], {}
         for t in texts:
