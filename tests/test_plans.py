@@ -269,3 +269,17 @@ def test_columns_named_like_internal_ones_come_back(spark):
     for out in outs:
         got = {r.id: tuple(r[n] for n in names) for r in out.collect()}
         assert got and all(want[i] == v for i, v in got.items())
+
+
+def test_equal_tables_are_known_without_an_exchange_of_rows(spark):
+    rows = [(i, None if i % 3 else float(i)) for i in range(50)] + [(None, 5.0), (7, None)]
+    df = spark.createDataFrame(rows, "id long, y double")
+    print_of = lambda t: validate.fingerprint(t, ["id", "y"]).first()
+    assert print_of(df) == print_of(df.repartition(7).orderBy("y"))
+    swapped = spark.createDataFrame([(5, None)], "id long, y double"), spark.createDataFrame([(None, 5.0)], "id long, y double")
+    assert print_of(swapped[0]) != print_of(swapped[1])
+    assert print_of(df) != print_of(df.unionByName(df.limit(1))) and print_of(df.where("false")).n == 0
+    plan = validate.fingerprint(df, ["id", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    assert validate.changed_rows(df.dropna(subset=["id"]), df.dropna(subset=["id"]), "y", ["id"]) == 0
+    assert validate.changed_rows(df.where("id < 50"), df.where("id < 50").selectExpr("id", "IF(id = 9, 1.0D, y) AS y"), "y", ["id"]) == 1
