@@ -2,9 +2,10 @@
 
 Rows with equal values in the imputed columns are one profile, counted once, so
 the distance work depends on the number of distinct profiles and not on the
-number of rows.  The search is exact: profiles are cut into blocks by ranges of
-their values, each block of receivers meets its nearest block of donors first,
-and a further block of donors is passed over only if its bounding box is farther
+number of rows.  The search is exact: profiles are cut into blocks by missing
+pattern and ranges of their values.  For each column that it misses, a block of
+receivers meets its nearest block of donors first, and a further one is passed
+over only if its bounding box, in the columns that both patterns have, is farther
 away than the neighbours found by then.
 """
 
@@ -28,6 +29,8 @@ from sparkprep.session import cut_lineage, materialise
 #: receivers with one block of donors.
 DONOR_BLOCK = 20_000
 RECEIVER_BLOCK = 2_000
+#: A missing pattern with one part in so many of a range, or more, has a block of its own.
+PATTERNS = 16
 #: Columns that order the blocks.
 LEAD = 4
 #: Each block of receivers meets its nearest block of donors, then the next few, then the rest;
@@ -36,6 +39,8 @@ ROUNDS = (0, 1, 8)
 #: Cells of one distance matrix in a task.
 MATRIX_CELLS = 2_000_000
 
+FOUND = "rb int, profile string, feature int, d2 double, donor array<double>, value double, n bigint"
+
 
 def _profile_key(cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce((col(c).cast("double") + F.lit(0.0)).cast("string"), F.lit("")) for c in cols])
@@ -82,56 +87,71 @@ def _block_search(n_cols: int, k: int):
                 gap += np.square(x0[:, f, None] - y0[None, :, f]) * (mx[:, f, None] * my[None, :, f])
             with np.errstate(divide="ignore", invalid="ignore"):
                 d2 = np.where(both > 0, n_cols / both * np.maximum(gap, 0.0), np.inf)
-            for i in range(len(x)):
-                for f in np.flatnonzero(mx[i] == 0):
-                    usable = np.flatnonzero((my[:, f] > 0) & np.isfinite(d2[i]))
-                    # donors are sorted and the sort is stable: ties go to the smaller one
-                    if len(usable) > k:
-                        # all that are as near as the k-th, then in order
-                        usable = usable[d2[i, usable] <= np.partition(d2[i, usable], k - 1)[k - 1]]
-                    near = usable[np.argsort(d2[i, usable], kind="stable")[:k]]
-                    need = int(np.searchsorted(np.cumsum(counts[near]), k)) + 1
-                    out += [
-                        (block, names[start + i], int(f), float(d2[i, j]), tidy[j].tolist(), float(y[j, f]), int(counts[j]))
-                        for j in near[:need]
-                    ]
-        return pd.DataFrame(out, columns=columns)
+            for f in range(x.shape[1]):
+                rows, usable = np.flatnonzero(mx[:, f] == 0), np.flatnonzero(my[:, f] > 0)
+                if not len(rows) or not len(usable):
+                    continue
+                d = d2[np.ix_(rows, usable)]
+                # all that are as near as the k-th, then in order: donors are sorted, ties go to the smaller one
+                edge = np.partition(d, k - 1, axis=1)[:, k - 1 : k] if len(usable) > k else np.inf
+                i, j = np.nonzero(np.isfinite(d) & (d <= edge))
+                order = np.lexsort((j, d[i, j], i))
+                i, j = i[order], j[order]
+                near = np.arange(len(i)) - np.searchsorted(i, i) < k
+                i, j = i[near], j[near]
+                n = counts[usable[j]]
+                before = np.cumsum(n) - n
+                need = before - before[np.searchsorted(i, i)] < k
+                i, j = i[need], j[need]
+                at = usable[j]
+                found = (names[start + rows[i]], f, d[i, j], tidy[at].tolist(), y[at, f], counts[at])
+                out.append(pd.DataFrame(dict(zip(columns, (block, *found), strict=True))))
+        return pd.concat(out) if out else pd.DataFrame(columns=columns)
 
     return search
 
 
-def _dealt(profiles: DataFrame, n_cols: int, size: int, lead: list[int], name: str) -> tuple[DataFrame, int]:
-    """Profiles with the number of their block, and how many blocks there are.
+def _dealt(profiles: DataFrame, size: int, lead: list[int], name: str) -> tuple[DataFrame, int]:
+    """Profiles with the number of their block, and a number that all blocks lie below.
 
-    A block is a range of (missing pattern, leading columns): profiles are
-    distinct, so no range can be hot.
+    A range of (missing pattern, leading columns) is cut by pattern: each pattern with a sixteenth of its
+    rows or more is a block of its own, the others share one.  Profiles are distinct, so no range can be hot.
     """
-    blocks = max(1, math.ceil(profiles.count() / size))
-    if blocks == 1:
+    ranges = max(1, math.ceil(profiles.count() / size))
+    if ranges == 1:
         return profiles.withColumn("block", F.lit(0)), 1
-    pattern = F.transform("x", lambda v: v.isNull())
-    spread = profiles.repartitionByRange(blocks, pattern, *[F.col("x")[i] for i in lead], "profile")
-    return materialise(spread.withColumn("block", F.spark_partition_id()), name), blocks
+    pattern = F.array_join(F.transform("x", lambda v: F.when(v.isNull(), "0").otherwise("1")), "")
+    spread = profiles.repartitionByRange(ranges, pattern, *[F.col("x")[i] for i in lead], "profile")
+    # the range number must not change between two reads
+    spread = materialise(spread.select("*", F.spark_partition_id().alias("part"), pattern.alias("pattern")), name)
+    rows = lambda *by: F.count(F.lit(1)).over(Window.partitionBy("part", *by))
+    often = rows("pattern") * PATTERNS >= F.greatest(rows(), F.lit(size))
+    keyed = spread.select("*", F.when(often, F.col("pattern")).otherwise("").alias("own"))
+    place = F.dense_rank().over(Window.partitionBy("part").orderBy("own")) - 1
+    block = (F.col("part") * (PATTERNS + 1) + place).cast("int")
+    blocks = keyed.select(*profiles.columns, block.alias("block"))
+    return materialise(blocks, name), ranges * (PATTERNS + 1)
 
 
 def _boxes(dealt: DataFrame, n_cols: int, prefix: str) -> DataFrame:
-    """Per block and column: least and greatest value, whether all rows have one, how many table rows do."""
+    """Per block and column: least and greatest value, whether all rows have one, how many table rows do, and how many profiles don't."""
     each = lambda f: F.array(*[f(F.col("x")[i]) for i in range(n_cols)])
     return dealt.groupBy(F.col("block").alias(f"{prefix}b")).agg(
         each(F.min).alias(f"{prefix}_lo"),
         each(F.max).alias(f"{prefix}_hi"),
         each(lambda v: F.count(v) == F.count(F.lit(1))).alias(f"{prefix}_all"),
         each(lambda v: F.sum(F.when(v.isNotNull(), F.col("n")).otherwise(0))).alias(f"{prefix}_n"),
-        F.sum(F.size(F.filter("x", lambda v: v.isNull()))).alias(f"{prefix}_open"),
+        each(lambda v: F.count_if(v.isNull())).alias(f"{prefix}_open"),
     )
 
 
 def _block_pairs(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int, d_blocks: int) -> DataFrame:
-    """``(rb, db, bound, open, place)``: block pairs with a lower bound of the squared distance, nearest first.
+    """``(rb, db, feature, bound, open, place)``: which donor blocks can fill a column of a receiver block, nearest first.
 
-    Only columns that all rows of both blocks have count for the bound; scaling
-    up to all columns can only make a distance larger.  Blocks without enough
-    values of some column come after the others.
+    The bound of the squared distance comes from the columns that all rows of both blocks have.  It is scaled up
+    like the distance, by the most columns that two rows can share; in blocks of one pattern these are the same
+    columns.  Pairs that share no column, or whose donors lack what the receivers miss, don't appear.  Blocks with
+    fewer than ``k`` values of a column come after the others.
     """
     left = _boxes(receivers, n_cols, "r").withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(d_blocks - 1))))
     both = left.join(_boxes(donors, n_cols, "d"), "db")
@@ -140,11 +160,16 @@ def _block_pairs(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int, d
         far = F.greatest(F.col("r_lo")[i] - F.col("d_hi")[i], F.col("d_lo")[i] - F.col("r_hi")[i], F.lit(0.0))
         return F.when(F.col("r_all")[i] & F.col("d_all")[i], far * far).otherwise(F.lit(0.0))
 
-    bound = F.aggregate(F.sequence(F.lit(0), F.lit(n_cols - 1)), F.lit(0.0), lambda s, i: s + gap(i))
-    scarce = F.exists("d_n", lambda n: n < k)
-    near = Window.partitionBy("rb").orderBy(scarce, "bound", "db")
-    return both.withColumn("bound", bound).select(
-        "rb", "db", "bound", F.col("r_open").alias("open"), F.row_number().over(near).alias("place")
+    every = F.sequence(F.lit(0), F.lit(n_cols - 1))
+    shared = F.size(F.filter(every, lambda i: (F.col("r_n")[i] > 0) & (F.col("d_n")[i] > 0)))
+    bound = F.aggregate(every, F.lit(0.0), lambda s, i: s + gap(i)) * F.try_divide(F.lit(float(n_cols)), "shared")
+    fills = F.filter(every, lambda i: (F.col("r_open")[i] > 0) & (F.col("d_n")[i] > 0))
+    by_column = both.withColumn("shared", shared).where("shared > 0").select(
+        "rb", "db", bound.alias("bound"), "r_open", "d_n", F.explode(fills).alias("feature")
+    )
+    near = Window.partitionBy("rb", "feature").orderBy(F.col("d_n")[F.col("feature")] < k, "bound", "db")
+    return by_column.select(
+        "rb", "db", "feature", "bound", F.col("r_open")[F.col("feature")].alias("open"), F.row_number().over(near).alias("place")
     )
 
 
@@ -152,20 +177,30 @@ def _search_pairs(receivers: DataFrame, donors: DataFrame, pairs: DataFrame, n_c
     """At most ``k`` candidates per block pair, profile and missing column."""
     left = receivers.select(F.col("block").alias("rb"), "profile", "x").join(pairs.select("rb", "db"), "rb")
     right = donors.select(F.col("block").alias("db"), "x", "n").join(pairs.select("rb", "db"), "db")
-    return _search(left, right, n_cols, k)
+    return left.groupBy("rb", "db").cogroup(right.groupBy("rb", "db")).applyInPandas(_block_search(n_cols, k), FOUND)
+
+
+def _search_one(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int) -> DataFrame:
+    """Candidates from the only block of donors, sent once to each worker; receivers stay where they are."""
+    # at most DONOR_BLOCK profiles
+    block = donors.select("x", "n").toPandas()
+    block["x"] = [list(row) for row in block["x"]]
+    sent = receivers.sparkSession.sparkContext.broadcast(block)
+    search = _block_search(n_cols, k)
 
+    def over(batches):
+        for batch in batches:
+            yield search(batch, sent.value)
 
-def _search(left: DataFrame, right: DataFrame, n_cols: int, k: int) -> DataFrame:
-    schema = "rb int, profile string, feature int, d2 double, donor array<double>, value double, n bigint"
-    return left.groupBy("rb", "db").cogroup(right.groupBy("rb", "db")).applyInPandas(_block_search(n_cols, k), schema)
+    return receivers.select(F.col("block").alias("rb"), "profile", "x").mapInPandas(over, FOUND)
 
 
 def _reach(found: DataFrame, k: int) -> DataFrame:
-    """Per receiver block: how many missing cells have ``k`` candidates, and the greatest ``k``-th distance of these."""
+    """Per receiver block and column: how many missing cells have ``k`` candidates, and the greatest ``k``-th distance of these."""
     w = Window.partitionBy("rb", "profile", "feature").orderBy("d2").rowsBetween(Window.unboundedPreceding, 0)
     kth = F.min(F.when(F.col("upto") >= k, F.col("d2"))).alias("kth")
     cells = found.withColumn("upto", F.sum("n").over(w)).groupBy("rb", "profile", "feature").agg(kth)
-    return cells.groupBy("rb").agg(F.count("kth").alias("closed"), F.max("kth").alias("reach"))
+    return cells.groupBy("rb", "feature").agg(F.count("kth").alias("closed"), F.max("kth").alias("reach"))
 
 
 def impute_profiles(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int, lead: list[int] | None = None) -> DataFrame:
@@ -176,23 +211,25 @@ def impute_profiles(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int
     the blocks, best those with the widest values; they don't change the result.
     """
     lead = list(range(min(n_cols, LEAD))) if lead is None else lead
-    left, r_blocks = _dealt(receivers, n_cols, RECEIVER_BLOCK, lead, "receivers")
-    right, d_blocks = _dealt(donors, n_cols, DONOR_BLOCK, lead, "donor_blocks")
+    right, d_blocks = _dealt(donors, DONOR_BLOCK, lead, "donor_blocks")
     if d_blocks == 1:
-        # the one block of donors meets every block of receivers
-        meets = F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))).alias("rb")
-        rows = left.select(F.col("block").alias("rb"), F.lit(0).alias("db"), "profile", "x")
-        found = _search(rows, right.select(meets, F.col("block").alias("db"), "x", "n"), n_cols, k)
+        found = _search_one(receivers.withColumn("block", F.lit(0)), right, n_cols, k)
     else:
+        left, _ = _dealt(receivers, RECEIVER_BLOCK, lead, "receivers")
         pairs = materialise(_block_pairs(left, right, n_cols, k, d_blocks), "block_pairs")
-        found = None
+        visited = found = None
+        # a pair of blocks is visited in the round of the column it is nearest for
         for after, upto in zip(ROUNDS, [*ROUNDS[1:], None]):
             nearer = pairs.where(F.col("place") > after)
             nearer = nearer if upto is None else nearer.where(F.col("place") <= upto)
             if found is not None:
-                nearer = nearer.join(_reach(found, k), "rb", "left").where(
+                nearer = nearer.join(_reach(found, k), ["rb", "feature"], "left").where(
                     F.col("closed").isNull() | (F.col("closed") < F.col("open")) | (F.col("bound") <= F.col("reach") * (1 + 1e-9))
                 )
+            nearer = nearer.select("rb", "db").distinct()
+            nearer = nearer if visited is None else nearer.join(visited, ["rb", "db"], "left_anti")
+            nearer = materialise(nearer, "visits")
+            visited = nearer if visited is None else visited.unionByName(nearer)
             more = materialise(_search_pairs(left, right, nearer, n_cols, k), "candidates")
             found = more if found is None else found.unionByName(more)
     # at most k candidates per donor block, profile and feature

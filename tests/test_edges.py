@@ -181,3 +181,34 @@ def test_exchanged_rows_carry_all_columns_of_their_partner(spark, monkeypatch):
     partners = [r._partner.b // 2 for r in out]
     assert sorted(partners) == list(range(200)) and all(p != r.id for p, r in zip(partners, out, strict=True))
     assert all(r._partner.a == (p if p % 3 else None) for p, r in zip(partners, out, strict=True))
+
+
+def test_neighbours_under_twenty_missing_patterns(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    patterns = [[f for f in range(6) if f not in gone] for gone in ([], *[[f] for f in range(6)], *[[f, (f + 1) % 6] for f in range(6)], *[[f, (f + 2) % 6, 5 - f] for f in range(6)], [0, 1, 2, 3, 4])]
+    patterns = list({tuple(p) for p in patterns})[:20]
+    rows, low = [], []
+    for i in range(2000):
+        near = rng.integers(0, 30) * 100.0
+        low += [i] if near < 300 else []
+        has = patterns[i % len(patterns)]
+        rows.append((i, *[float(near * (f + 1) + rng.integers(0, 9)) if f in has else None for f in range(6)]))
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{c} double" for c in "abcdef"))
+    fill = KnnFill(inputCols=list("abcdef"), k=4).fit(df)
+    some = df.where(F.col("id").isin(low))
+    whole = sorted(fill.transform(some).collect())
+    used, search = [], knn._search_pairs
+
+    def counted(left, right, pairs, *more):
+        # compared profiles, not blocks: blocks differ in size
+        sizes = lambda t, name: t.groupBy(F.col("block").alias(name)).agg(F.count("*").alias(f"{name}_rows"))
+        both = pairs.join(sizes(left, "rb"), "rb").join(sizes(right, "db"), "db")
+        used.append(both.agg(F.sum(F.col("rb_rows") * F.col("db_rows"))).first()[0] or 0)
+        return search(left, right, pairs, *more)
+
+    monkeypatch.setattr(knn, "_search_pairs", counted)
+    monkeypatch.setattr(knn, "DONOR_BLOCK", 16)
+    monkeypatch.setattr(knn, "RECEIVER_BLOCK", 16)
+    assert sorted(fill.transform(some).collect()) == whole
+    share = sum(used) / (len(rows) * sum(None in rows[i] for i in low))
+    assert 0 < share < 0.35, share
