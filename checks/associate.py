@@ -11,7 +11,9 @@ from sparkprep.operators import assoc
 from sparkprep.operators import profile as pr
 from sparkprep.operators import stats as st
 from sparkprep.operators import validate as va
+from sparkprep.operators.dependencies import dependencies
 from sparkprep.operators.split import quantile_bins
+from sparkprep.operators.together import missing_together
 
 NUMERIC = ["target", "q1_average_score", "q1_total_timing", "num_low_missing", "num_high_missing", "num_sparse"]
 
@@ -263,6 +265,53 @@ def _(s: Source):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+_ITEM = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+).split()
+_DISTINCT = "SELECT {names}, count(*) AS k FROM (SELECT DISTINCT {cols} FROM {table})"
+
+
+def _all_dependencies(table: str, cols: list[str]) -> str:
+    levels = " UNION ALL ".join(_DISTINCT.format(names=f"'{c}' AS v", cols=c, table=table) for c in cols)
+    pairs = " UNION ALL ".join(
+        _DISTINCT.format(names=f"'{a}' AS a, '{b}' AS b", cols=f"{a}, {b}", table=table) for a, b in combinations(cols, 2)
+    )
+    return (
+        f"WITH lv AS ({levels}), pr AS ({pairs}), rows_in AS (SELECT count(*) AS n FROM {table}), "
+        "both_ways AS (SELECT a, b, k FROM pr UNION ALL SELECT b, a, k FROM pr) "
+        "SELECT a AS lhs, b AS rhs, x.k AS lhs_levels, y.k AS rhs_levels, x.k = n AS lhs_is_key "
+        "FROM both_ways p JOIN lv x ON x.v = p.a JOIN lv y ON y.v = p.b, rows_in WHERE p.k = x.k AND x.k > 1 AND y.k > 1"
+    )
+
+
+@query("dependency_search", _all_dependencies("lineitem", _ITEM))
+def _(s: Source):
+    return dependencies(s.table("lineitem"), _ITEM)
+
+
+@query("dependency_search_survey", with_survey(_all_dependencies("survey", SURVEY_COLUMNS)))
+def _(s: Source):
+    return dependencies(s.survey, SURVEY_COLUMNS)
+
+
+@query(
+    "missing_together",
+    with_survey(
+        "SELECT var_a, var_b, n_rows, n_a, n_b, n_both, round(r, 6) AS r FROM ("
+        + "\nUNION ALL\n".join(
+            f"SELECT '{a}' AS var_a, '{b}' AS var_b, count(*) AS n_rows, count(*) - count({a}) AS n_a, count(*) - count({b}) AS n_b, "
+            f"count(*) FILTER (WHERE {a} IS NULL AND {b} IS NULL) AS n_both, "
+            f"CASE WHEN count({a}) BETWEEN 1 AND count(*) - 1 AND count({b}) BETWEEN 1 AND count(*) - 1 "
+            f"THEN corr(CAST({a} IS NULL AS INT), CAST({b} IS NULL AS INT)) END AS r FROM survey"
+            for a, b in combinations(SURVEY_COLUMNS, 2)
+        )
+        + ")"
+    ),
+)
+def _(s: Source):
+    return _r6(missing_together(s.survey, SURVEY_COLUMNS), "r")
+
+
 _MISS = ["q1_average_score", "q1_total_timing", "num_high_missing"]
 
 

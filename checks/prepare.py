@@ -10,6 +10,7 @@ from checks.clean import KNN_CTES
 from sparkprep.functions.scalar import col
 from sparkprep.operators import derive
 from sparkprep.operators import validate as va
+from sparkprep.operators.component import fit_component
 from sparkprep.operators.impute import RemainingFill
 from sparkprep.operators.knn import KnnFill
 from sparkprep.plans import full, numeric, preprocessors
@@ -254,6 +255,13 @@ def _(s: Source):
     return out.select("id", F.round("wealth", 5).alias("wealth"))
 
 
+@query("component_missing")
+def _(s: Source):
+    names = ["num_low_missing", "num_high_missing", "target", "ord_a"]
+    out = fit_component(s.survey, names).score(s.survey, "wealth")
+    return out.select("id", F.round("wealth", 5).alias("wealth"))
+
+
 # --- validation --------------------------------------------------------------
 
 _COUNT_NULLS = "(" + " + ".join(f"(SELECT count(*) - count({c}) FROM survey)" for c in SURVEY_COLUMNS) + ")"

@@ -9,6 +9,7 @@ from sparkprep.operators import levels as lv
 from sparkprep.operators import profile as pr
 from sparkprep.operators import stats as st
 from sparkprep.operators.columns import SparseColumnDropper
+from sparkprep.operators.grouped import group_quantiles
 from sparkprep.operators.quantiles import exact_medians, exact_quantiles
 from sparkprep.plans.roles import VariableRoles
 
@@ -131,6 +132,22 @@ def _(s: Source):
     return out.select("g", *[r6(c).alias(c) for c in ("p10", "p50", "p90")])
 
 
+_BY_PART = "CASE WHEN l_orderkey % 3 > 0 THEN l_partkey END"
+
+
+@query(
+    "agg_quantile_many_groups",
+    # the null group holds a third of the rows
+    f"SELECT {_BY_PART} AS part, l_returnflag, count(*) AS n, "
+    + ", ".join(f"round(quantile_cont(l_extendedprice, {q}), 6) AS {n}" for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90")))
+    + " FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY ALL",
+)
+def _(s: Source):
+    rows = s.table("lineitem").select(F.expr(_BY_PART).alias("part"), "l_returnflag", "l_extendedprice")
+    out = group_quantiles(rows, ["part", "l_returnflag"], "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+    return out.withColumns({c: r6(c) for c in ("p10", "p50", "p90")})
+
+
 _MODE = (
     "(SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS mode, count(*) AS n FROM survey "
     "WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
