@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions.scalar import col, right_open_bin
@@ -14,7 +19,7 @@ from sparkprep.operators.encode import OrdinalCoder
 from sparkprep.operators.quantiles import exact_quantiles
 from sparkprep.operators.shuffle import with_partner
 from sparkprep.operators.split import fold_number
-from sparkprep.session import materialise
+from sparkprep.session import materialise, scratch_path
 
 #: The searched forest sizes and depths (None = as deep as allowed).
 TREES = [50, 100, 200]
@@ -92,24 +97,77 @@ def forest(trees: int, depth: int | None, seed: int) -> RandomForestRegressor:
     )
 
 
-def search_forest(table: DataFrame, features, trees, depths, folds, parallelism, seed):
-    rf = forest(trees[0], depths[0], seed)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(rf.numTrees, trees)
-        .addGrid(rf.maxDepth, [MAX_DEPTH if d is None else d for d in depths])
-        .build()
-    )
-    cv = CrossValidator(
-        estimator=rf,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(labelCol="_label", metricName="mse"),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=parallelism,
+def _node_arrays(spark: SparkSession, model) -> list[tuple]:
+    """``(left, right, feature, threshold, prediction)`` of each tree, as arrays over its nodes; a leaf leads to itself.
+
+    A forest of Spark lives in the driver, so its nodes fit there.
+    """
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    n = F.col("nodeData")
+    split = n["split"]
+    stored = spark.read.parquet(f"{path}/data").select(
+        "treeID", n["id"].alias("id"), n["leftChild"].alias("left"), n["rightChild"].alias("right"), n["prediction"].alias("prediction"),
+        split["featureIndex"].alias("feature"), F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
     )
-    model = cv.fit(assembled(table, features))
-    rows = [(int(g[rf.numTrees]), int(g[rf.maxDepth]), float(m)) for g, m in zip(grid, model.avgMetrics)]
+    nodes = stored.toPandas().sort_values(["treeID", "id"])
+    out = []
+    for _, t in nodes.groupby("treeID", sort=True):
+        own, inner = t["id"].to_numpy(), t["left"].to_numpy() >= 0
+        pick = lambda c, leaf: np.where(inner, t[c].to_numpy(), leaf)
+        out.append((pick("left", own), pick("right", own), pick("feature", 0).astype(int), pick("threshold", np.inf), t["prediction"].to_numpy()))
+    return out
+
+
+def nested_errors(model, table: DataFrame, trees: list[int], depths: list[int]) -> dict[tuple[int, int], float]:
+    """Mean squared error on ``table`` of each ``(trees, depth)``, all read from one forest that holds the others.
+
+    Its first ``t`` trees are a forest of ``t`` trees.  Cut at depth ``d``, a tree is the one that grows to depth
+    ``d`` on the same draw: splits are found from the root on, and no feature is drawn.  Without rows there are no errors.
+    """
+    sent = table.sparkSession.sparkContext.broadcast(_node_arrays(table.sparkSession, model))
+    counts, levels = sorted(set(trees)), sorted(set(depths))
+
+    def errors(batches):
+        total, rows = np.zeros((len(counts), len(levels))), 0
+        for batch in batches:
+            if batch.empty:
+                continue
+            x, y = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy()
+            at = np.arange(len(y))
+            sums, rows = np.zeros((len(levels), len(y))), rows + len(y)
+            for k, (left, right, feature, threshold, prediction) in enumerate(sent.value[: counts[-1]], 1):
+                node, depth = np.zeros(len(y), dtype=int), 0
+                for i, level in enumerate(levels):
+                    for depth in range(depth, level):
+                        node = np.where(x[at, feature[node]] <= threshold[node], left[node], right[node])
+                    depth = level
+                    sums[i] += prediction[node]
+                if k in counts:
+                    total[counts.index(k)] += ((sums / k - y) ** 2).sum(axis=1)
+        yield pd.DataFrame(
+            [(t, d, float(total[i, j]), rows) for i, t in enumerate(counts) for j, d in enumerate(levels)], columns=["t", "d", "e", "n"]
+        )
+
+    cells = table.select(vector_to_array("_features").alias("x"), F.col("_label").alias("y"))
+    found = cells.mapInPandas(errors, "t int, d int, e double, n bigint").groupBy("t", "d").agg(F.sum("e").alias("e"), F.sum("n").alias("n"))
+    # one row for each setting
+    return {(r.t, r.d): r.e / r.n for r in found.collect() if r.n}
+
+
+def search_forest(table: DataFrame, features, trees, depths, folds, parallelism, seed):
+    """Errors of all settings over the folds: one forest a fold, as large as the largest setting, holds all the others."""
+    depths = [MAX_DEPTH if d is None else d for d in depths]
+    rows = assembled(table, features)
+
+    def of_fold(k: int) -> dict[tuple[int, int], float]:
+        model = forest(max(trees), max(depths), seed).fit(rows.where(F.col("_fold") != k))
+        return nested_errors(model, rows.where(F.col("_fold") == k), trees, depths)
+
+    with ThreadPool(min(parallelism, folds)) as pool:
+        found = pool.map(inheritable_thread_target(table.sparkSession)(of_fold), range(folds))
+    means = {(t, d): [f[(t, d)] for f in found if f] for t in trees for d in depths}
+    rows = [(t, d, sum(m) / len(m)) for (t, d), m in means.items()]
     best = min(rows, key=lambda r: (r[2], r[0], r[1]))
     return rows, {"n_estimators": best[0], "max_depth": best[1], "mse": best[2]}
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from sparkprep.operators import component, dependencies, grouped
+from sparkprep.operators import select as sel
 from sparkprep.operators.component import fit_component
 from sparkprep.operators.grouped import group_quantiles
 from sparkprep.operators.together import missing_together
@@ -155,3 +156,21 @@ def test_component_of_whole_rows_is_the_first_eigenvector(spark, table):
     assert [r.s for r in fit_component(odd, ["a", "b"]).score(odd, "s").collect()] == [None, None]
     with pytest.raises(ValueError, match="at most"):
         fit_component(odd, ["a"] * (component.MOST_COLUMNS + 1))
+
+
+def test_errors_of_a_nested_forest_are_those_of_separate_ones(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 3))
+    y = x[:, 0] * 3 + np.where(x[:, 1] > 0.3, 5, 0) + rng.normal(size=400)
+    df = spark.createDataFrame([(i, *map(float, row), float(v)) for i, (row, v) in enumerate(zip(x, y, strict=True))], "id int, a double, b double, c double, y double")
+    rows = sel.assembled(sel.training_table(df, ["a", "b", "c"], "y", ["id"], 4, 1), ["a", "b", "c"])
+    train, test = rows.where("_fold <> 0"), rows.where("_fold = 0")
+    big = sel.forest(6, 9, 1).fit(train)
+    got = sel.nested_errors(big, test, [2, 6], [1, 4, 9])
+    cells = [(r._features, r._label) for r in test.collect()]
+    for depth in (1, 4, 9):
+        own = sel.forest(6, depth, 1).fit(train)
+        # equal draws, so a tree cut at a depth is the tree grown to it
+        assert got[(6, depth)] == pytest.approx(np.mean([(own.predict(f) - v) ** 2 for f, v in cells]), rel=1e-9)
+        assert got[(2, depth)] == pytest.approx(np.mean([(np.mean([t.predict(f) for t in own.trees[:2]]) - v) ** 2 for f, v in cells]), rel=1e-9)
+    assert sel.nested_errors(big, test.where("false"), [2], [1]) == {}
