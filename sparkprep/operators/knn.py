@@ -104,6 +104,8 @@ def _block_search(n_cols: int, k: int):
                 need = before - before[np.searchsorted(i, i)] < k
                 i, j = i[need], j[need]
                 at = usable[j]
+                if not len(at):
+                    continue
                 found = (names[start + rows[i]], f, d[i, j], tidy[at].tolist(), y[at, f], counts[at])
                 out.append(pd.DataFrame(dict(zip(columns, (block, *found), strict=True))))
         return pd.concat(out) if out else pd.DataFrame(columns=columns)
@@ -190,7 +192,9 @@ def _search_one(receivers: DataFrame, donors: DataFrame, n_cols: int, k: int) ->
 
     def over(batches):
         for batch in batches:
-            yield search(batch, sent.value)
+            found = search(batch, sent.value)
+            if len(found):
+                yield found
 
     return receivers.select(F.col("block").alias("rb"), "profile", "x").mapInPandas(over, FOUND)
 

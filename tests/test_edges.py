@@ -212,3 +212,9 @@ def test_neighbours_under_twenty_missing_patterns(spark, monkeypatch):
     assert sorted(fill.transform(some).collect()) == whole
     share = sum(used) / (len(rows) * sum(None in rows[i] for i in low))
     assert 0 < share < 0.35, share
+
+
+def test_rows_that_share_no_column_with_a_donor_get_the_mean(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, None, 2.0), (3, None, 4.0)], "id int, a double, b double")
+    out = KnnFill(inputCols=["a", "b"], k=2).fit(df).transform(df)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1.0, 3.0), (2, 1.0, 2.0), (3, 1.0, 4.0)]
