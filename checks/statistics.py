@@ -9,6 +9,7 @@ from sparkprep.operators import levels as lv
 from sparkprep.operators import profile as pr
 from sparkprep.operators import stats as st
 from sparkprep.operators.columns import SparseColumnDropper
+from sparkprep.operators.frequent import frequent_levels, frequent_values
 from sparkprep.operators.grouped import group_quantiles
 from sparkprep.operators.quantiles import exact_medians, exact_quantiles
 from sparkprep.plans.roles import VariableRoles
@@ -237,6 +238,44 @@ def _(s: Source):
     return st.top_values(s.survey, "isco", 10)
 
 
+def _frequent(columns: list[str], table: str, k: int, where: str = "true") -> str:
+    return "\nUNION ALL\n".join(
+        f"(SELECT '{c}' AS variable, CAST(row_number() OVER (ORDER BY n DESC, v) AS INT) AS rank, CAST(v AS VARCHAR) AS value, n FROM "
+        f"(SELECT {c} AS v, count(*) AS n FROM {table} WHERE {where.format(c=c)} GROUP BY {c}) QUALIFY rank <= {k})"
+        for c in columns
+    )
+
+
+_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
+
+
+@query("topk_frequent", _frequent(_KEYS, "lineitem", 10))
+def _(s: Source):
+    return frequent_values(s.table("lineitem"), _KEYS, 10)
+
+
+_TEXTS = ["text", "lang", "source", "n_chars", "doc_id"]
+
+
+@query(
+    "topk_frequent_texts",
+    "SELECT variable, rank, md5(value) AS value_md5, n FROM ("
+    + _frequent(_TEXTS, "documents", 20, "{c} IS NOT NULL") + ")",
+)
+def _(s: Source):
+    found = frequent_levels(s.table("documents"), _TEXTS, 20, nulls=False)
+    return found.select("variable", "rank", F.md5(lv.level_text()).alias("value_md5"), "n")
+
+
+@query(
+    "modes_frequent",
+    "SELECT variable, value, n FROM (" + _frequent(["event_id", "user_id", "event_type", "props"], "events", 1, "{c} IS NOT NULL") + ")",
+)
+def _(s: Source):
+    found = frequent_values(s.table("events"), ["event_id", "user_id", "event_type", "props"], 1, nulls=False)
+    return found.drop("rank")
+
+
 _HIST = (
     "SELECT '{c}' AS variable, CAST(least(floor(({c} - lo) / ((hi - lo) / 30)), 29) AS INT) AS bin, count(*) AS n "
     "FROM survey, (SELECT min({c}) AS lo, max({c}) AS hi FROM survey) WHERE {c} IS NOT NULL GROUP BY bin"
