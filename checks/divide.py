@@ -317,3 +317,39 @@ def _(s: Source):
     model = sel.forest(10, 5, 42).fit(sel.assembled(sel.training_table(df, names, "y", ["id"], 2, 42), names))
     found = sel.permutation_importance(df, model, names, "y", ["id"])
     return found.select("variable", F.signum("importance").cast("int").alias("sign"))
+
+
+_BEST = f", r AS (SELECT {_BY_CORR} FROM planted), best AS (SELECT variable FROM (UNPIVOT r ON country_id, num, flat INTO NAME variable VALUE r) ORDER BY r DESC, variable LIMIT 1)"
+
+
+def _selected(s: Source):
+    """One of three columns, by the whole job over the default folds and depths."""
+    return run_selection(_planted(s), ["country_id", "num", "flat"], "y", ["id"], n_features=1, trees=[5, 10])
+
+
+@query(
+    "fs_job_planted",
+    _planted_sql(
+        _BEST + " SELECT id, y, variable, CASE variable WHEN 'country_id' THEN CAST(country_id AS DOUBLE) WHEN 'num' THEN num ELSE flat END AS value "
+        "FROM planted, best"
+    ),
+)
+def _(s: Source):
+    data = _selected(s).data
+    # which column it is, the job says
+    (found,) = set(data.columns) - {"id", "y", "split"}
+    return data.select("id", "y", F.lit(found).alias("variable"), F.col(found).cast("double").alias("value"))
+
+
+@query(
+    "fs_report_planted",
+    _planted_sql(
+        _BEST + " SELECT 'hybrid_mi_rfe' AS method, CAST(3 AS BIGINT) AS n_features_original, count(*) AS n_features_selected, "
+        "min(variable) AS feature, min(variable) AS shared FROM best"
+    ),
+)
+def _(s: Source):
+    path = scratch_path(s.spark, "report")
+    tables.selection_frame(s.spark, _selected(s).report, "20240101_000000").write.json(path)
+    report = s.spark.read.json(path)
+    return report.select("method", "n_features_original", "n_features_selected", F.explode("selected_features").alias("feature"), F.array_join("intersection", ",").alias("shared"))
