@@ -6,9 +6,10 @@ their TF-IDF vectors, with document frequencies over the 32-word pieces of all d
 of the pieces left out of the vectors.
 
 A randomised SVD gives the latent space: the range of ``A^T A`` is found by power steps from a random start, each step
-one Spark job over a bounded hash sample of documents (``SAMPLE_DOCS``) and the benchmark itself; statistics and search
+one Spark job over the passages of every distinct text (copies count once) and the benchmark itself; statistics and search
 cover every document.  Every passage is projected and compared with every segment; cosines of ``COSINE`` or more are
-candidates.  Segments that weigh little beside the text around them (their words are common, be it by copies of the very
+candidates, and so are passages that reach that share of a segment's own length along it, however much stands around it.
+Segments that weigh little beside the text around them (their words are common, be it by copies of the very
 passage, or few) could stay below that: they are faint, and every passage whose words hold half of theirs is a candidate
 too, so they are found by their words alone.
 
@@ -49,8 +50,6 @@ LEAST_WORDS = 8
 MAX_SHARE = 0.1
 #: Squared cosine of a whole segment with a passage around it, below which it is faint.
 FAINT = 0.4
-#: Distinct texts that the latent space is fitted on, besides the benchmark.
-SAMPLE_DOCS = 2000
 #: Items that share one latent space; a larger benchmark is searched space by space in the same pass.
 SPACE_ITEMS = 1000
 #: Characters of texts that a task holds as matrices at once.
@@ -198,33 +197,33 @@ class Space(NamedTuple):
 
     terms: np.ndarray  # vocabulary x rank: idf times direction
     segments: np.ndarray  # segments x rank, unit length
+    length: np.ndarray  # of the segments before that, infinite if the space holds nothing of one
     item: np.ndarray  # item of a segment
     start: np.ndarray  # first word of a segment in its item
     faint: Faint
 
 
-def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """Pieces that hold each word, all pieces, all documents."""
+def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
+    """Pieces that hold each word, all pieces."""
 
     def start():
-        return [np.zeros(len(vocabulary), dtype=np.int64), 0, 0]
+        return [np.zeros(len(vocabulary), dtype=np.int64), 0]
 
     def step(state, texts):
         p = _pieces(texts, vocabulary)
         pair = np.unique(p.piece * len(vocabulary) + p.term)
         state[0] += np.bincount(pair % len(vocabulary), minlength=len(vocabulary))
         state[1] += len(p.doc)
-        state[2] += len(texts)
 
     def finish(state):
         at = np.flatnonzero(state[0])
-        return [np.concatenate([at, [-1, -2]]), np.concatenate([state[0][at], state[1:]])]
+        return [np.append(at, -1), np.append(state[0][at], state[1])]
 
     counts = fold_texts(docs, ["text"], start, step, finish, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     # one row for each benchmark word
     got = {r.term: r.n for r in counts.collect()}
     df = np.array([got.get(i, 0) for i in range(len(vocabulary))], dtype=np.float64)
-    return df, got.get(-1, 0), got.get(-2, 0)
+    return df, got.get(-1, 0)
 
 
 def _added(state: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
@@ -256,8 +255,82 @@ def _rows(term: np.ndarray, row: np.ndarray, n: int, matrix: np.ndarray, block:
     return out
 
 
-def _space(sample: DataFrame, items: list[Item], vocabulary: np.ndarray, idf: np.ndarray, around: float, rank: int, seed: int) -> Space:
-    """Randomised SVD of the sample's and the benchmark's passages."""
+def _passages(docs: DataFrame, vocabulary: np.ndarray, weighs: np.ndarray) -> DataFrame:
+    """One row for each distinct text: its words that weigh, and how many of them each piece holds, as bytes of int32."""
+
+    def pieces_of(texts):
+        p = _pieces(texts, vocabulary)
+        some = weighs[p.term]
+        term = p.term[some].astype(np.int32)
+        size = np.bincount(p.piece[some], minlength=len(p.doc)).astype(np.int32)
+        ends = np.concatenate(([0], np.cumsum(size)))[p.begin]
+        cut = lambda x, at: [x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        return [cut(term, ends), cut(size, p.begin)]
+
+    # copies would fill the space with their own directions
+    distinct = docs.dropDuplicates(["text"])
+    return materialise(map_texts(distinct, [], ["text"], pieces_of, "term binary, size binary", CHUNK), "passages")
+
+
+def _spread(state: np.ndarray, term: np.ndarray, size: np.ndarray, doc: np.ndarray, weighted: np.ndarray, block: int = 2048) -> None:
+    """``state += A^T (A weighted)`` for the passages of texts, both factors ``A`` without weights: pieces of ``size`` words.
+
+    A passage is a piece and the next one of the same text; a text of one piece is one passage.
+    """
+    begin = np.concatenate(([0], np.cumsum(size)))
+    change = doc[1:] != doc[:-1]
+    last = np.append(change, True)
+    alone = last & np.concatenate(([True], change))
+    for a in range(0, len(size), block):
+        b = min(a + block, len(size))
+        e = min(b + 1, len(size))  # the last passage of a block reaches into the next one
+        t, row = term[begin[a] : begin[e]], np.repeat(np.arange(e - a), size[a:e])
+        if not len(t):
+            continue
+        passage = _rows(t, row, e - a, weighted)
+        two = np.flatnonzero(~last[a:b])
+        passage[two] += passage[two + 1]
+        passage[np.flatnonzero(last[a:b] & ~alone[a:b])] = 0
+        passage[b - a :] = 0
+        back = passage.copy()
+        back[two + 1] += passage[two]
+        order = np.argsort(t, kind="stable")
+        held, at = np.unique(t[order], return_inverse=True)
+        state[held] += _rows(row[order], at, len(held), back)
+
+
+def _gathered(passages: DataFrame, q: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """``A^T A q`` over all passages: tasks sum their own, then each word is summed in one place."""
+    weighted = (q * idf[:, None]).astype(np.float32)
+
+    def begin():
+        return np.zeros(weighted.shape, dtype=np.float32)
+
+    def step(state, terms, sizes):
+        doc = np.repeat(np.arange(len(sizes)), [len(x) // 4 for x in sizes])
+        _spread(state, np.frombuffer(b"".join(terms), dtype=np.int32), np.frombuffer(b"".join(sizes), dtype=np.int32), doc, weighted)
+
+    def finish(state):
+        at = np.flatnonzero(state.any(axis=1))
+        return [at, [x.tobytes() for x in state[at]]]
+
+    def add(sums, terms, rows):
+        for t, v in zip(terms, rows, strict=True):
+            sums[t] = sums.get(t, 0) + np.frombuffer(v, dtype=np.float32).astype(np.float64)
+
+    def added(sums):
+        return [list(sums), [x.tobytes() for x in sums.values()]]
+
+    parts = fold_texts(passages, ["term", "size"], begin, step, finish, "word int, v binary").repartition("word")
+    out = np.zeros(weighted.shape)
+    # one row for each benchmark word
+    for r in fold_texts(parts, ["word", "v"], dict, add, added, "word int, v binary").collect():
+        out[r.word] = np.frombuffer(r.v, dtype=np.float64)
+    return out * idf[:, None]
+
+
+def _space(passages: DataFrame, items: list[Item], vocabulary: np.ndarray, idf: np.ndarray, around: float, rank: int, seed: int) -> Space:
+    """Randomised SVD of the documents' and the benchmark's passages."""
     item = np.array([k for k, x in enumerate(items) for _ in range(0, len(x.words), SEGMENT)], dtype=np.int64)
     start = np.array([s for x in items for s in range(0, len(x.words), SEGMENT)], dtype=np.int64)
     own = [items[k].words[s : s + SEGMENT] for k, s in zip(item, start, strict=True)]
@@ -266,41 +339,21 @@ def _space(sample: DataFrame, items: list[Item], vocabulary: np.ndarray, idf: np
     rank = min(rank, len(vocabulary))
     basis = np.random.default_rng(seed).standard_normal((len(vocabulary), rank)).astype(np.float32)
 
-    def gathered(q: np.ndarray) -> np.ndarray:
-        """``A^T A q`` over the sample: a matrix of the benchmark's words."""
-        weighted = q * idf[:, None]
-
-        def begin():
-            return np.zeros((len(vocabulary), rank), dtype=np.float32)
-
-        def step(state, terms):
-            t = np.array([x for xs in terms for x in xs], dtype=np.int64)
-            r = np.repeat(np.arange(len(terms)), [len(x) for x in terms])
-            if len(t):
-                _added(state, t, _rows(t, r, len(terms), weighted)[r] * idf[t][:, None])
-
-        def finish(state):
-            return [np.arange(len(state)), list(state)]
-
-        out = np.zeros((len(vocabulary), rank))
-        for r in fold_texts(sample, ["terms"], begin, step, finish, "term int, v array<float>").toLocalIterator():
-            out[r.term] += r.v
-        return out
-
     for _ in range(2):
-        corpus = gathered(basis)
+        corpus = _gathered(passages, basis, idf)
         weighted = basis * idf[:, None]
         bench = np.zeros((len(vocabulary), rank))
         _added(bench, term, _rows(term, row, len(own), weighted)[row] * idf[term][:, None])
-        # the benchmark weighs as much as the sample, whatever their sizes
+        # the benchmark weighs as much as the documents, whatever their sizes
         scale = np.linalg.norm(corpus) / max(np.linalg.norm(bench), 1e-12)
         basis = np.linalg.qr(corpus + max(scale, 1e-6) * bench + 1e-9 * basis)[0].astype(np.float32)
     terms = (basis * idf[:, None]).astype(np.float32)
     segments = _rows(term, row, len(own), terms)
-    length = np.linalg.norm(segments, axis=1, keepdims=True)
+    length = np.linalg.norm(segments, axis=1)
     whole = np.array([len(items[k].words) == len(x) for k, x in zip(item, own, strict=True)])
     faint = _faint(own, whole, vocabulary, idf, around)
-    return Space(terms, (segments / np.maximum(length, 1e-12)).astype(np.float32), item, start, faint)
+    unit = (segments / np.maximum(length, 1e-12)[:, None]).astype(np.float32)
+    return Space(terms, unit, np.where(length > 1e-9, length, np.inf).astype(np.float32), item, start, faint)
 
 
 def _matcher(spaces: list[tuple[Space, list[Item]]], vocabulary: np.ndarray, weighs: np.ndarray, cosine: float):
@@ -322,9 +375,8 @@ def _matcher(spaces: list[tuple[Space, list[Item]]], vocabulary: np.ndarray, wei
             v = (c + after)[window]
             norm = np.linalg.norm(v, axis=1)
             some = norm > 1e-9
-            seen, v = window[some], v[some] / norm[some][:, None]
-            at, seg = np.nonzero(v @ space.segments.T >= cosine)
-            at = seen[at]
+            at, seg = np.nonzero(v[some] @ space.segments.T >= cosine * np.minimum(norm[some][:, None], space.length))
+            at = window[some][at]
             if len(space.faint.segment):
                 held, part = _holding(p, space.faint)
                 some = np.isin(held, window)
@@ -377,33 +429,18 @@ def benchmark_matches(
         return df.withColumn(found_col, empty)
     vocabulary = np.unique(np.concatenate([x.words for x in items]))
     docs = df.select(text_of(text_col).alias("text"))
-    frequency, pieces, n = _frequencies(docs, vocabulary)
+    frequency, pieces = _frequencies(docs, vocabulary)
     idf = np.log((pieces + 1.0) / (frequency + 1.0)).astype(np.float32)
     # words of too many pieces weigh nothing; if that leaves nothing, all stay
     common = frequency > MAX_SHARE * max(pieces, 1)
     if not common.all():
         idf[common] = 0
     around = float((frequency * idf.astype(np.float64) ** 2).sum()) / max(pieces * PIECE, 1)
-    step = max(1, n // SAMPLE_DOCS)
-
-    def terms_of(texts):
-        out = []
-        for t in texts:
-            p = _pieces([t], vocabulary)
-            # two pieces are a passage
-            weighs = idf[p.term] != 0
-            passage = np.where(weighs, p.piece // 2, -1)
-            out.append([p.term[passage == k].tolist() for k in range(-(-len(p.doc) // 2))])
-        return [out]
-
-    # copies share a hash and would all be chosen
-    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0).dropDuplicates(["text"]).repartition(8)
-    sample = map_texts(chosen, [], ["text"], terms_of, "passages array<array<int>>").select(F.explode("passages").alias("terms"))
-    sample = materialise(sample, "passages")
+    passages = _passages(docs, vocabulary, idf != 0)
     spaces = []
     for at in range(0, len(items), SPACE_ITEMS):
         part = items[at : at + SPACE_ITEMS]
-        spaces.append((_space(sample, part, vocabulary, idf, around, rank, at), part))
+        spaces.append((_space(passages, part, vocabulary, idf, around, rank, at), part))
     # bytes that hold the classes too: executors need no copy of this folder
     shared, stamp = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps((spaces, vocabulary, idf != 0))), uuid.uuid4().hex
 
