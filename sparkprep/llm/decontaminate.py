@@ -89,8 +89,9 @@ def lcs_length(a: list, b: list) -> int:
         mask[x] = mask.get(x, 0) | 1 << i
     full = row = (1 << len(a)) - 1
     for y in b:
-        both = row & mask.get(y, 0)
-        row = (row + both | row - both) & full
+        if y in mask:
+            both = row & mask[y]
+            row = (row + both | row - both) & full
     return len(a) - row.bit_count()
 
 
@@ -203,23 +204,41 @@ class Space(NamedTuple):
     faint: Faint
 
 
-def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
+def _known(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """For each text its hash, its vocabulary words, and how many of them each piece holds, as bytes of int32."""
+
+    def pieces_of(texts):
+        p = _pieces(texts, vocabulary)
+        size = np.bincount(p.piece, minlength=len(p.doc)).astype(np.int32)
+        ends = np.concatenate(([0], np.cumsum(size)))[p.begin]
+        cut = lambda x, at: [x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        return [cut(p.term.astype(np.int32), ends), cut(size, p.begin)]
+
+    hashed = docs.select(F.xxhash64("text").alias("h"), "text")
+    return materialise(map_texts(hashed, ["h"], ["text"], pieces_of, "term binary, size binary", CHUNK), "known_words")
+
+
+def _ints(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), dtype=np.int32)
+
+
+def _frequencies(known: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
     """Pieces that hold each word, all pieces."""
 
     def start():
         return [np.zeros(len(vocabulary), dtype=np.int64), 0]
 
-    def step(state, texts):
-        p = _pieces(texts, vocabulary)
-        pair = np.unique(p.piece * len(vocabulary) + p.term)
+    def step(state, terms, sizes):
+        size = _ints(sizes)
+        pair = np.unique(np.repeat(np.arange(len(size)), size) * len(vocabulary) + _ints(terms))
         state[0] += np.bincount(pair % len(vocabulary), minlength=len(vocabulary))
-        state[1] += len(p.doc)
+        state[1] += len(size)
 
     def finish(state):
         at = np.flatnonzero(state[0])
         return [np.append(at, -1), np.append(state[0][at], state[1])]
 
-    counts = fold_texts(docs, ["text"], start, step, finish, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = fold_texts(known, ["term", "size"], start, step, finish, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     # one row for each benchmark word
     got = {r.term: r.n for r in counts.collect()}
     df = np.array([got.get(i, 0) for i in range(len(vocabulary))], dtype=np.float64)
@@ -255,23 +274,6 @@ def _rows(term: np.ndarray, row: np.ndarray, n: int, matrix: np.ndarray, block:
     return out
 
 
-def _passages(docs: DataFrame, vocabulary: np.ndarray, weighs: np.ndarray) -> DataFrame:
-    """One row for each distinct text: its words that weigh, and how many of them each piece holds, as bytes of int32."""
-
-    def pieces_of(texts):
-        p = _pieces(texts, vocabulary)
-        some = weighs[p.term]
-        term = p.term[some].astype(np.int32)
-        size = np.bincount(p.piece[some], minlength=len(p.doc)).astype(np.int32)
-        ends = np.concatenate(([0], np.cumsum(size)))[p.begin]
-        cut = lambda x, at: [x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-        return [cut(term, ends), cut(size, p.begin)]
-
-    # copies would fill the space with their own directions
-    distinct = docs.dropDuplicates(["text"])
-    return materialise(map_texts(distinct, [], ["text"], pieces_of, "term binary, size binary", CHUNK), "passages")
-
-
 def _spread(state: np.ndarray, term: np.ndarray, size: np.ndarray, doc: np.ndarray, weighted: np.ndarray, block: int = 2048) -> None:
     """``state += A^T (A weighted)`` for the passages of texts, both factors ``A`` without weights: pieces of ``size`` words.
 
@@ -301,14 +303,17 @@ def _spread(state: np.ndarray, term: np.ndarray, size: np.ndarray, doc: np.ndarr
 
 def _gathered(passages: DataFrame, q: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """``A^T A q`` over all passages: tasks sum their own, then each word is summed in one place."""
-    weighted = (q * idf[:, None]).astype(np.float32)
+    weighted, weighs = (q * idf[:, None]).astype(np.float32), idf != 0
 
     def begin():
         return np.zeros(weighted.shape, dtype=np.float32)
 
     def step(state, terms, sizes):
         doc = np.repeat(np.arange(len(sizes)), [len(x) // 4 for x in sizes])
-        _spread(state, np.frombuffer(b"".join(terms), dtype=np.int32), np.frombuffer(b"".join(sizes), dtype=np.int32), doc, weighted)
+        term, size = _ints(terms), _ints(sizes)
+        some = weighs[term]
+        left = np.bincount(np.repeat(np.arange(len(size)), size)[some], minlength=len(size))
+        _spread(state, term[some], left, doc, weighted)
 
     def finish(state):
         at = np.flatnonzero(state.any(axis=1))
@@ -428,15 +433,16 @@ def benchmark_matches(
     if not items:
         return df.withColumn(found_col, empty)
     vocabulary = np.unique(np.concatenate([x.words for x in items]))
-    docs = df.select(text_of(text_col).alias("text"))
-    frequency, pieces = _frequencies(docs, vocabulary)
+    known = _known(df.select(text_of(text_col).alias("text")), vocabulary)
+    frequency, pieces = _frequencies(known, vocabulary)
     idf = np.log((pieces + 1.0) / (frequency + 1.0)).astype(np.float32)
     # words of too many pieces weigh nothing; if that leaves nothing, all stay
     common = frequency > MAX_SHARE * max(pieces, 1)
     if not common.all():
         idf[common] = 0
     around = float((frequency * idf.astype(np.float64) ** 2).sum()) / max(pieces * PIECE, 1)
-    passages = _passages(docs, vocabulary, idf != 0)
+    # copies would fill the space with their own directions
+    passages = materialise(known.dropDuplicates(["h", "term", "size"]).drop("h"), "passages")
     spaces = []
     for at in range(0, len(items), SPACE_ITEMS):
         part = items[at : at + SPACE_ITEMS]
