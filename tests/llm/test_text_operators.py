@@ -395,6 +395,23 @@ def test_items_among_heavier_words_are_candidates(spark):
     assert {r.doc_id: {m.item_id for m in r.bench_matches} for r in got.collect() if r.bench_matches} == {1000 + i: {0} for i in range(4)}
 
 
+def test_pipeline_fits_its_benchmark_stage_on_every_text(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    bench = [(i, sentence(rng, 30, 500)) for i in range(5)]
+    docs = [(i, sentence(rng, 30, 500), "s", "x", 0) for i in range(4400)]
+    docs += [(5000 + i, docs[i][1], "s", "x", 0) for i in range(100)] + [(6000 + i, f"before {t} after", "s", "x", 0) for i, t in bench]
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    seen = []
+    fit = decontaminate._space
+    monkeypatch.setattr(decontaminate, "_space", lambda passages, *a: seen.append(passages.count()) or fit(passages, *a))
+    kept = corpus_pipeline.benchmark_filter(spark, spark.createDataFrame(docs, DOCS), str(tmp_path))
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {d[0] for d in docs if d[0] < 6000}
+    # a text of 30 words is one passage
+    assert seen == [len({d[1] for d in docs})]
+
+
 def test_items_that_copies_make_common_are_found(spark):
     rng = random.Random(21)
     bench = [(i, sentence(rng, 36, 900)) for i in range(6)] + [(6, sentence(rng, 8, 900)), (7, sentence(rng, 70, 900))]
