@@ -82,17 +82,27 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str | N
     return sorted(out, key=lambda x: (x.item_id is None, x.item_id, len(x.words), x.words.tobytes()))
 
 
-def lcs_length(a: list, b: list) -> int:
-    """Length of a longest common subsequence, one column of the table in the bits of a number."""
+def _masks(a: list) -> dict:
+    """For each word the bits of its places."""
     mask: dict = {}
     for i, x in enumerate(a):
         mask[x] = mask.get(x, 0) | 1 << i
-    full = row = (1 << len(a)) - 1
+    return mask
+
+
+def _common(mask: dict, size: int, b: list) -> int:
+    """Length of a longest common subsequence with ``size`` words given by their places; a column of the table is the bits of a number."""
+    full = row = (1 << size) - 1
     for y in b:
         if y in mask:
             both = row & mask[y]
             row = (row + both | row - both) & full
-    return len(a) - row.bit_count()
+    return size - row.bit_count()
+
+
+def lcs_length(a: list, b: list) -> int:
+    """Length of a longest common subsequence."""
+    return _common(_masks(a), len(a), b)
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -114,30 +124,54 @@ def lcs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return on
 
 
+class Lookup(NamedTuple):
+    """Sorted hashes and, for each value of their leading bits, the place of the first one that isn't smaller."""
+
+    words: np.ndarray
+    first: np.ndarray
+    shift: np.uint64
+    longest: int  # most words with the same leading bits
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash among the words, -1 if it is none of them."""
+        at = self.first[hashes >> self.shift]
+        last = len(self.words) - 1
+        for _ in range(self.longest - 1):
+            at += (self.words[at] < hashes) & (at < last)
+        return np.where(self.words[at] == hashes, at, -1)
+
+
+def _lookup(vocabulary: np.ndarray) -> Lookup:
+    bits = len(vocabulary).bit_length() + 2
+    shift = np.uint64(64 - bits)
+    size = np.bincount((vocabulary >> shift).astype(np.int64), minlength=1 << bits)
+    first = np.minimum(np.cumsum(size) - size, len(vocabulary) - 1).astype(np.int32)
+    return Lookup(vocabulary, first, shift, int(size.max()))
+
+
 class _Pieces(NamedTuple):
-    """Vocabulary words of texts: ``term`` is in ``piece``; piece ``p`` is number ``at[p]`` of text ``doc[p]``."""
+    """Vocabulary words of texts: ``term`` is in ``piece``; piece ``p`` is of text ``doc[p]``, whose first one is ``begin[doc[p]]``."""
 
     term: np.ndarray
     piece: np.ndarray
     doc: np.ndarray
     last: np.ndarray
-    words: object
     begin: np.ndarray
 
 
-def _pieces(texts: list[str], vocabulary: np.ndarray) -> _Pieces:
+def _pieces(texts: list[str], lookup: Lookup) -> _Pieces:
     w = words([t.lower() for t in texts], ALNUM)
     span = np.diff(w.first)
     number = -(-span // PIECE)
     begin = np.concatenate(([0], np.cumsum(number)))
     doc = np.repeat(np.arange(w.n), number)
-    at = np.minimum(np.searchsorted(vocabulary, w.hash), len(vocabulary) - 1)
-    known = np.flatnonzero(vocabulary[at] == w.hash)
+    at = lookup.places(w.hash)
+    known = np.flatnonzero(at >= 0)
     place = known - w.first[w.doc[known]]
     piece = begin[w.doc[known]] + place // PIECE
     last = np.zeros(len(doc), dtype=bool)
     last[begin[1:][number > 0] - 1] = True
-    return _Pieces(at[known], piece, doc, last, w, begin)
+    return _Pieces(at[known], piece, doc, last, begin)
 
 
 class Faint(NamedTuple):
@@ -206,9 +240,10 @@ class Space(NamedTuple):
 
 def _known(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """For each text its hash, its vocabulary words, and how many of them each piece holds, as bytes of int32."""
+    lookup = _lookup(vocabulary)
 
     def pieces_of(texts):
-        p = _pieces(texts, vocabulary)
+        p = _pieces(texts, lookup)
         size = np.bincount(p.piece, minlength=len(p.doc)).astype(np.int32)
         ends = np.concatenate(([0], np.cumsum(size)))[p.begin]
         cut = lambda x, at: [x[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -230,8 +265,8 @@ def _frequencies(known: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
 
     def step(state, terms, sizes):
         size = _ints(sizes)
-        pair = np.unique(np.repeat(np.arange(len(size)), size) * len(vocabulary) + _ints(terms))
-        state[0] += np.bincount(pair % len(vocabulary), minlength=len(vocabulary))
+        pair = np.sort(np.repeat(np.arange(len(size)), size) * len(vocabulary) + _ints(terms))
+        state[0] += np.bincount(pair[_changes(pair)] % len(vocabulary), minlength=len(vocabulary))
         state[1] += len(size)
 
     def finish(state):
@@ -245,6 +280,13 @@ def _frequencies(known: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
     return df, got.get(-1, 0)
 
 
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has the first of each value."""
+    new = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return new
+
+
 def _added(state: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """``state[at] += rows``, with repeated places."""
     order = np.argsort(at, kind="stable")
@@ -253,23 +295,25 @@ def _added(state: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     state[at[first]] += np.add.reduceat(rows[order], first, axis=0)
 
 
-def _rows(term: np.ndarray, row: np.ndarray, n: int, matrix: np.ndarray, block: int = 1024) -> np.ndarray:
+def _rows(term: np.ndarray, row: np.ndarray, n: int, matrix: np.ndarray, block: int = 256) -> np.ndarray:
     """Sums of matrix rows by ``row``, which is sorted.
 
     Blocks of rows of like size take their first terms at once, then their second ones and so on, so that only one block
-    of sums is held besides the result.
+    of sums is held besides the result; a block is small enough for a core's cache.
     """
     out = np.zeros((n, matrix.shape[1]), dtype=matrix.dtype)
     if len(term):
         first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
         size = np.diff(np.append(first, len(term)))
         order = np.argsort(-size, kind="stable")
+        taken = np.empty((min(block, len(order)), matrix.shape[1]), dtype=matrix.dtype)
         for b in range(0, len(order), block):
             at, left = first[order[b : b + block]], -size[order[b : b + block]]
-            sums = matrix[term[at]]
+            sums = matrix.take(term[at], axis=0)
             for k in range(1, -left[0]):
                 m = np.searchsorted(left, -k)  # those with a term number k
-                sums[:m] += matrix[term[at[:m] + k]]
+                # terms are places of the matrix; with "clip" numpy writes into the block directly
+                sums[:m] += matrix.take(term[at[:m] + k], axis=0, out=taken[:m], mode="clip")
             out[row[at]] = sums
     return out
 
@@ -289,16 +333,21 @@ def _spread(state: np.ndarray, term: np.ndarray, size: np.ndarray, doc: np.ndarr
         t, row = term[begin[a] : begin[e]], np.repeat(np.arange(e - a), size[a:e])
         if not len(t):
             continue
-        passage = _rows(t, row, e - a, weighted)
-        two = np.flatnonzero(~last[a:b])
-        passage[two] += passage[two + 1]
-        passage[np.flatnonzero(last[a:b] & ~alone[a:b])] = 0
+        held = _rows(t, row, e - a, weighted)
+        passage = np.zeros_like(held)
+        np.add(held[:-1], held[1:], out=passage[:-1])
+        passage[np.flatnonzero(last[a:b])] = 0
         passage[b - a :] = 0
+        # each passage goes back to both of its pieces
         back = passage.copy()
-        back[two + 1] += passage[two]
-        order = np.argsort(t, kind="stable")
-        held, at = np.unique(t[order], return_inverse=True)
-        state[held] += _rows(row[order], at, len(held), back)
+        back[1:] += passage[:-1]
+        single = np.flatnonzero(alone[a:b])
+        back[single] = held[single]
+        order = np.argsort(t.astype(np.uint16) if len(state) <= 1 << 16 else t, kind="stable")
+        t = t[order]
+        new = _changes(t)
+        at = t[new]
+        state[at] += _rows(row[order], np.cumsum(new) - 1, len(at), back)
 
 
 def _gathered(passages: DataFrame, q: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -362,41 +411,47 @@ def _space(passages: DataFrame, items: list[Item], vocabulary: np.ndarray, idf:
 
 
 def _matcher(spaces: list[tuple[Space, list[Item]]], vocabulary: np.ndarray, weighs: np.ndarray, cosine: float):
+    """The search; what it needs of the vocabulary and the segments is made once."""
+    lookup = _lookup(vocabulary)
+    parts = []
+    for space, items in spaces:
+        own = [np.searchsorted(vocabulary, items[i].words[a : a + SEGMENT]) for i, a in zip(space.item, space.start, strict=True)]
+        parts.append([(x, _masks(x.tolist())) for x in own])
+
     def find(texts: list[str]):
-        p = _pieces(texts, vocabulary)
+        p = _pieces(texts, lookup)
         found: list[list[dict]] = [[] for _ in texts]
+        held_at = np.concatenate(([0], np.cumsum(np.bincount(p.piece, minlength=len(p.doc)))))
         some = weighs[p.term]
         term, piece = p.term[some], p.piece[some]
+        # a window is a piece and the next one of the same text; a text of one piece is one window
+        alone = p.last & (np.concatenate(([True], p.doc[1:] != p.doc[:-1])) if len(p.doc) else p.last)
+        window = np.flatnonzero(~p.last | alone)
         best: dict[tuple, np.ndarray] = {}
         for s, (space, items) in enumerate(spaces):
-            c = _rows(term, piece, len(p.doc), space.terms)
-            # a window is a piece and the next one of the same text; a text of one piece is one window
-            after = np.zeros_like(c)
-            if len(c):
-                after[:-1] = c[1:]
-                after[p.last] = 0
-            alone = p.last & (np.concatenate(([True], p.doc[1:] != p.doc[:-1])) if len(p.doc) else p.last)
-            window = np.flatnonzero(~p.last | alone)
-            v = (c + after)[window]
+            v = _rows(term, piece, len(p.doc), space.terms)
+            two = np.flatnonzero(~p.last)
+            v[two] += v[two + 1]
             norm = np.linalg.norm(v, axis=1)
-            some = norm > 1e-9
-            at, seg = np.nonzero(v[some] @ space.segments.T >= cosine * np.minimum(norm[some][:, None], space.length))
-            at = window[some][at]
+            some = window[norm[window] > 1e-9]
+            width = len(space.segments)
+            pair = np.flatnonzero(v[some] @ space.segments.T >= cosine * np.minimum(norm[some][:, None], space.length))
+            at, seg = some[pair // width], pair % width
             if len(space.faint.segment):
                 held, part = _holding(p, space.faint)
                 some = np.isin(held, window)
-                pair = np.unique(np.concatenate([at, held[some]]) * len(space.segments) + np.concatenate([seg, part[some]]))
-                at, seg = pair // len(space.segments), pair % len(space.segments)
-            for k, g in zip(at, seg, strict=True):
-                d = int(p.doc[k])
-                place = int(k - p.begin[d]) * PIECE
-                w = p.words.hash[p.words.first[d] : p.words.first[d + 1]]
-                i, start = int(space.item[g]), int(space.start[g])
-                part = items[i].words[start : start + SEGMENT]
-                near = w[max(0, place - PIECE) : place + 3 * PIECE]
-                if lcs_length(part.tolist(), near.tolist()) < LEAST_COVER * len(part):
+                pair = np.unique(np.concatenate([at, held[some]]) * width + np.concatenate([seg, part[some]]))
+                at, seg = pair // width, pair % width
+            # the words of the window and of a piece more at both ends; words outside the vocabulary are in no segment
+            begin = held_at[np.maximum(at - 1, p.begin[p.doc[at]])]
+            end = held_at[np.minimum(at + 3, p.begin[p.doc[at] + 1])]
+            for d, g, a, b in zip(p.doc[at].tolist(), seg.tolist(), begin.tolist(), end.tolist(), strict=True):
+                part, mask = parts[s][g]
+                near = p.term[a:b]
+                if _common(mask, len(part), near.tolist()) < LEAST_COVER * len(part):
                     continue
                 on = lcs(part, near)
+                i, start = int(space.item[g]), int(space.start[g])
                 key = (d, s, i)
                 if key not in best:
                     best[key] = np.zeros(len(items[i].words), dtype=bool)
@@ -451,7 +506,7 @@ def benchmark_matches(
     shared, stamp = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps((spaces, vocabulary, idf != 0))), uuid.uuid4().hex
 
     def find(texts):
-        return _matcher(*latest("decontaminate", stamp, lambda: pickle.loads(shared.value)), cosine)(texts)
+        return latest("decontaminate", stamp, lambda: _matcher(*pickle.loads(shared.value), cosine))(texts)
 
     kept = [c for c in df.columns if c.lower() != found_col.lower()]
     row, text = F.struct(*[col(c) for c in kept]).alias("row"), text_of(text_col).alias("text")

@@ -429,6 +429,53 @@ def test_items_that_copies_make_common_are_found(spark):
     assert {r.doc_id: {m.item_id for m in r.bench_matches} for r in got.collect() if r.bench_matches} == want
 
 
+def test_candidates_are_compared_by_vocabulary_words(monkeypatch):
+    """Words outside the benchmark can't be on a common subsequence, so the check doesn't visit them."""
+    rng = random.Random(41)
+    item = [f"b{k}" for k in range(40)]
+    body = decontaminate._hashes(" ".join(item))
+    vocabulary = np.unique(body)
+    place = np.searchsorted(vocabulary, body)
+    segments = np.zeros((1, len(vocabulary)), dtype=np.float32)
+    segments[0, place] = 1 / 40**0.5
+    none = decontaminate.Faint(np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros((0, 0), dtype=np.float32), np.zeros(0, dtype=int))
+    first, length = np.zeros(1, dtype=int), np.full(1, 40**0.5, dtype=np.float32)
+    space = decontaminate.Space(np.eye(len(vocabulary), dtype=np.float32), segments, length, first, first, none)
+    around = lambda n: " ".join(f"x{rng.randrange(9000)}" for _ in range(n))
+    texts = [f"{around(n)} {' '.join(item)} {around(90)}" for n in (0, 20, 70, 200)] + ["", around(300), f"{around(50)} {' '.join(item[:20])} {around(50)}"]
+    seen = []
+    full = decontaminate.lcs
+    monkeypatch.setattr(decontaminate, "lcs", lambda a, b: seen.append(len(b)) or full(a, b))
+    (found,) = decontaminate._matcher([(space, [decontaminate.Item(3, body, 40)])], vocabulary, np.ones(len(vocabulary), dtype=bool), 0.5)(texts)
+    assert [[(m["item_id"], m["coverage"]) for m in f] for f in found] == [[(3, 1.0)]] * 4 + [[]] * 3
+    assert seen and max(seen) <= len(item)
+
+
+def test_vocabulary_lookup_and_power_step_match_plain_versions():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 7, 3000):
+        words = rng.integers(0, 2**64, n, dtype=np.uint64)
+        # many with the same leading bits, and both ends of the range
+        words = np.unique(np.concatenate([words, (words[: n // 2] >> np.uint64(40)) << np.uint64(40), words[:5] + np.arange(len(words[:5]), dtype=np.uint64)]))
+        words = np.unique(np.concatenate([words, np.array([0, 2**64 - 1], dtype=np.uint64)])) if n > 2 else words
+        asked = np.concatenate([words, rng.integers(0, 2**64, 500, dtype=np.uint64), words + np.uint64(1), np.array([0, 2**64 - 1], dtype=np.uint64)])
+        of = {w: k for k, w in enumerate(words.tolist())}
+        assert decontaminate._lookup(words).places(asked).tolist() == [of.get(w, -1) for w in asked.tolist()]
+    # vocabularies on both sides of 2^16 words; texts of no, one and many pieces, some pieces without words
+    for n in (50, 70_000):
+        doc = np.repeat(np.arange(40), rng.integers(0, 6, 40))
+        size = rng.integers(0, 9, len(doc))
+        term = rng.integers(0, n, size.sum())
+        weighted = rng.standard_normal((n, 3)).astype(np.float32)
+        pieces = np.zeros((len(doc), n), dtype=np.float32)
+        np.add.at(pieces, (np.repeat(np.arange(len(doc)), size), term), 1)
+        a = np.array([x for d in range(40) for own in [pieces[doc == d]] for x in (own[:-1] + own[1:] if len(own) > 1 else own)])
+        for block in (1, 3, 2048):
+            state = np.zeros_like(weighted)
+            decontaminate._spread(state, term, size, doc, weighted, block)
+            assert np.allclose(state, a.T @ (a @ weighted), atol=1e-3)
+
+
 def test_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(50):
